@@ -18,7 +18,7 @@ def parse_date_multi(c: Column | str, formats=HEADER_DATE_FORMATS) -> Column:
     ``try_to_date`` keeps ANSI mode on while giving null-on-mismatch.
     """
     c = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(*[F.try_to_date(c, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_date(c, f) for f in formats])
 
 
 def year_of(c: Column | str) -> Column:

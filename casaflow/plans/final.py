@@ -37,6 +37,12 @@ def upsert_dim(existing: DataFrame, landings: dict[str, DataFrame],
     new metros get a stable hash key."""
     incoming = dim_rows(landings["house_value"], landings["monthly_payment"],
                         landings["rental_income"], aliases)
+    return upsert_dim_rows(existing, incoming, now, with_action)
+
+
+def upsert_dim_rows(existing: DataFrame, incoming: DataFrame,
+                    now: Column | None = None, with_action: bool = False) -> DataFrame:
+    """Merge one-row-per-metro ``incoming`` (metro, state, county_name)."""
     merged = keyed_merge(existing, incoming, ["metro"], DIM_RULES, now, with_action)
     return merged.withColumn("geo_key", F.coalesce("geo_key", surrogate_key("metro")))
 

@@ -8,7 +8,6 @@ inside the library.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -238,3 +237,259 @@ def vs_market(spark, sf_dir):
     m = ("avg_house_value", "rental_income")
     out = analytics.vs_market(_panel(spark, sf_dir, None), m)
     return _round(out, [*m, *[f"market_{c}" for c in m], *[f"{c}_vs_market" for c in m]])
+
+
+# --- reshaping and gap filling ---------------------------------------------
+
+from casaflow.functions import (parse_date_multi, replace_values,  # noqa: E402
+                                tier_from_path, trim_all)
+from casaflow.operators.facts import legacy_house_value as _legacy_hv  # noqa: E402
+from casaflow.operators.facts import legacy_rental_income as _legacy_ri  # noqa: E402
+from casaflow.operators.gapfill import interpolate_linear  # noqa: E402
+from casaflow.operators.geo import distinct_on  # noqa: E402
+from casaflow.operators.merge import duplicate_keys as _dups  # noqa: E402
+from casaflow.operators.merge import orphan_keys  # noqa: E402
+from casaflow.operators.reshape import (rename_snake, to_wide,  # noqa: E402
+                                        unpivot_wide)
+from casaflow.plans.final import (FACT_KEYS, upsert_dim_rows, upsert_fact,  # noqa: E402
+                                  upsert_legacy)
+from casaflow.plans.landing import reject_report as _reject_report  # noqa: E402
+from casaflow.schemas import LEGACY_RENTAL_INCOME  # noqa: E402
+
+SERIES = ["region_name", "home_tier"]
+HV_IDS = ["region_id", "size_rank", "region_name", "region_type", "state_name",
+          "state", "metro", "county_name", "home_tier"]
+SPLIT_OLD = "1999-01-01"     # existing batch: months before this day
+SPLIT_NEW = "1998-01-01"     # incoming batch: months from this day (overlap 1998)
+
+
+def distinct_months(df: DataFrame, col: str = "metric_date", limit: int = 10_000):
+    """The sorted month list that becomes the wide header.
+
+    Bounded by the calendar (12 per year), not by the data; the guard mirrors
+    Spark's own pivot limit.
+    """
+    months = sorted(r[0] for r in df.select(col).distinct().collect() if r[0] is not None)
+    if len(months) > limit:
+        raise ValueError(f"{len(months)} distinct months exceed the pivot limit")
+    return months
+
+
+def _wide_hv(spark, sf_dir, series=SERIES):
+    lnd = TD.landing_house_value(spark, sf_dir)
+    months = distinct_months(lnd)
+    wide = to_wide(lnd, series, "metric_date", months, "house_value")
+    cols = [(str(m), m, i) for i, m in enumerate(months)]
+    return wide, cols
+
+
+@register
+def unpivot_roundtrip(spark, sf_dir):
+    """Landing -> wide (one column per month) -> unpivot -> non-null cells."""
+    lnd = TD.landing_house_value(spark, sf_dir)
+    months = distinct_months(lnd)
+    wide = to_wide(lnd, HV_IDS, "metric_date", months, "house_value")
+    long = unpivot_wide(wide, HV_IDS, [(str(m), m, i) for i, m in enumerate(months)],
+                        "house_value")
+    return _round(long.dropna(subset=["house_value"])
+                  .select(*HV_IDS, "metric_date", "house_value"), ["house_value"])
+
+
+@register
+def interpolate_series(spark, sf_dir):
+    """Series x month grid with interior gaps filled linearly by position."""
+    wide, cols = _wide_hv(spark, sf_dir)
+    long = unpivot_wide(wide, SERIES, cols, "house_value")
+    out = interpolate_linear(long, SERIES, "pos", "house_value")
+    return _round(out.select(*SERIES, "metric_date", "house_value"), ["house_value"])
+
+
+def _date_texts(spark, sf_dir):
+    o = TD.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate",
+                                                 "o_totalprice", "o_orderpriority")
+    kind = F.col("o_orderkey") % 3
+    text = (F.when(kind == 0, F.date_format("o_orderdate", "M/d/yyyy"))
+            .when(kind == 1, F.date_format("o_orderdate", "yyyy-MM-dd"))
+            .otherwise(F.concat(F.lit("Q"), F.quarter("o_orderdate").cast("string"),
+                                F.lit(" "), F.year("o_orderdate").cast("string"))))
+    return o.withColumn("date_text", text)
+
+
+@register
+def parse_dates(spark, sf_dir):
+    """Text dates in two formats (and unparseable text) -> date or null."""
+    o = _date_texts(spark, sf_dir)
+    return o.select("o_orderkey", "date_text",
+                    parse_date_multi("date_text").alias("metric_date"))
+
+
+@register
+def snake_case_columns(spark, sf_dir):
+    """CamelCase source names -> snake_case landing names."""
+    ri = TD.landing_rental_income(spark, sf_dir)
+    camel = ri.select(
+        F.col("region_id").alias("RegionID"), F.col("size_rank").alias("SizeRank"),
+        F.col("region_name").alias("RegionName"), F.col("region_type").alias("RegionType"),
+        F.col("state_name").alias("StateName"), F.col("state").alias("State"),
+        F.col("city").alias("City"), F.col("metro").alias("Metro"),
+        F.col("county_name").alias("CountyName"), F.col("metric_date").alias("MetricDate"),
+        amt("rental_income").alias("RentalIncome"))
+    return rename_snake(camel)
+
+
+@register
+def home_tier_classify(spark, sf_dir):
+    o = TD.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    f = TD.synthetic_file_name(F.col("o_orderpriority"))
+    return o.select("o_orderkey", f.alias("source_file"),
+                    tier_from_path(f).alias("home_tier"))
+
+
+def _padded_names(spark, sf_dir):
+    c = TD.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    k = F.col("c_custkey") % 4
+    pad = (F.when(k == 0, F.concat(F.lit("  "), "c_name", F.lit("\t")))
+           .when(k == 1, F.concat(F.lit("\u00a0"), "c_name", F.lit("\u3000")))
+           .when(k == 2, F.col("c_name"))
+           .otherwise(F.concat(F.lit("\t "), "c_name", F.lit(" \n"))))
+    return c.withColumn("padded", pad)
+
+
+@register
+def trim_strings(spark, sf_dir):
+    c = _padded_names(spark, sf_dir)
+    return c.select("c_custkey", "padded", trim_all("padded").alias("trimmed"))
+
+
+@register
+def legacy_house_value(spark, sf_dir):
+    return _round(_legacy_hv(TD.landing_house_value(spark, sf_dir)), ["avg_house_value"])
+
+
+# --- keyed merges and constraints --------------------------------------------
+
+def _hv_rows(lands, aliases):
+    hv = lands["house_value"].where(F.col("metro").isNotNull())
+    return hv.select(replace_values("metro", aliases).alias("metro"), "state", "county_name")
+
+
+def _mp_ri_rows(lands, aliases):
+    s = F.lit(None).cast("string")
+    mp = (lands["monthly_payment"].where(F.col("region_name").isNotNull())
+          .select(replace_values("region_name", aliases).alias("metro"),
+                  F.col("state_name").alias("state"), s.alias("county_name")))
+    ri = (lands["rental_income"].where(F.col("metro").isNotNull())
+          .select(replace_values("metro", aliases).alias("metro"),
+                  F.col("state_name").alias("state"), "county_name"))
+    return mp.unionByName(ri)
+
+
+def _first_per_metro(rows):
+    return distinct_on(rows.distinct(), "metro", [("county_name", True), ("state", True)],
+                       ["state", "county_name"])
+
+
+@register
+def dim_upsert(spark, sf_dir):
+    """Existing dimension from house values, incoming metros from payment and
+    rent: new metros inserted, state overwritten, county coalesced."""
+    from casaflow.schemas import DIM_GEOGRAPHY, empty
+    lands = _landings(spark, sf_dir)
+    existing = upsert_dim_rows(empty(spark, DIM_GEOGRAPHY),
+                               _first_per_metro(_hv_rows(lands, TD.TEST_ALIASES)))
+    incoming = _first_per_metro(_mp_ri_rows(lands, TD.TEST_ALIASES))
+    merged = upsert_dim_rows(existing, incoming, with_action=True)
+    return merged.select("metro", "state", "county_name", "merge_action")
+
+
+@register
+def fact_upsert(spark, sf_dir):
+    """House-value fact: first load up to 1998, second load from 1998 on."""
+    from casaflow.operators.facts import fact_average
+    lands, dim, _ = _star(spark, sf_dir)
+    hv = lands["house_value"]
+    old = fact_average(hv.where(F.col("metric_date") < F.lit(SPLIT_OLD).cast("date")),
+                       dim, "house_value", "avg_house_value")
+    new = fact_average(hv.where(F.col("metric_date") >= F.lit(SPLIT_NEW).cast("date")),
+                       dim, "house_value", "avg_house_value")
+    old = old.withColumns({"inserted_at": F.current_timestamp(),
+                           "updated_at": F.current_timestamp()})
+    merged = upsert_fact(old, new, "house_value", with_action=True)
+    return _round(with_metro(merged, dim).select("metro", "metric_date", "year",
+                                                 "avg_house_value", "merge_action"),
+                  ["avg_house_value"])
+
+
+@register
+def legacy_upsert(spark, sf_dir):
+    """Legacy rent final keyed by (region_id, metric_date), two loads."""
+    ri = TD.landing_rental_income(spark, sf_dir)
+    old = _legacy_ri(ri.where(F.col("metric_date") < F.lit(SPLIT_OLD).cast("date")))
+    old = old.withColumn("inserted_at", F.current_timestamp())
+    new = _legacy_ri(ri.where(F.col("metric_date") >= F.lit(SPLIT_NEW).cast("date")))
+    assert set(old.columns) == set(LEGACY_RENTAL_INCOME.fieldNames())
+    merged = upsert_legacy(old, new, "rental_income", touch_updated=False, with_action=True)
+    return _round(merged.select("region_id", "metric_date", "region_name", "metro",
+                                "rental_income", "year", "merge_action"), ["rental_income"])
+
+
+@register
+def duplicate_keys(spark, sf_dir):
+    """Payment rows colliding on (metro, month) once metros are aliased."""
+    mp = TD.landing_monthly_payment(spark, sf_dir)
+    keyed = mp.select(replace_values("region_name", TD.TEST_ALIASES).alias("metro"),
+                      "metric_date")
+    return _dups(keyed, ["metro", "metric_date"])
+
+
+@register
+def orphan_fact_keys(spark, sf_dir):
+    """Payment fact rows whose key is missing from a dimension without the
+    test state (the foreign-key check)."""
+    _, dim, facts = _star(spark, sf_dir)
+    partial = dim.where(F.col("state") != TD.TEST_STATE)
+    orphans = orphan_keys(facts["monthly_payment"], partial, "geo_key")
+    return with_metro(orphans, dim).select("metro", "metric_date")
+
+
+# --- files: lake, CSV end to end, rejects -------------------------------------
+
+@register
+def lake_partition_counts(spark, sf_dir):
+    """Landing written as a (state, year)-partitioned lake, read back, counted."""
+    from casaflow.session import scratch_path
+    from casaflow.sinks.writers import write_lake
+    path = scratch_path(spark, "lake-house-value")
+    write_lake(TD.landing_house_value(spark, sf_dir), path, ("state", "year"))
+    lake = spark.read.parquet(path)
+    return (lake.groupBy("state", "year")
+            .agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.countDistinct("metro").alias("n_metros")))
+
+
+@register
+def csv_landing_house_value(spark, sf_dir):
+    """End to end: house values written as wide CSVs (one file family per
+    tier, alternating header date formats), then landed by the landing job."""
+    from casaflow.plans.csv_fixture import write_house_value_csvs
+    from casaflow.plans.landing import land
+    from casaflow.schemas import HOUSE_VALUE
+    import dataclasses
+    pattern = write_house_value_csvs(spark, TD.landing_house_value(spark, sf_dir, cutoff=None))
+    spec = dataclasses.replace(HOUSE_VALUE, min_date=TD.TEST_CUTOFF)
+    out = land(spark, spec, pattern)
+    return _round(out.drop("inserted_at"), ["house_value"])
+
+
+@register
+def reject_report(spark, sf_dir):
+    """Text cells made from orders (three date spellings, amounts with a
+    currency sign for one priority) counted per synthetic source file."""
+    o = _date_texts(spark, sf_dir)
+    raw = F.when(F.substring("o_orderpriority", 1, 1) == "5",
+                 F.concat(F.lit("$"), F.col("o_totalprice").cast("string"))
+                 ).otherwise(F.col("o_totalprice").cast("string"))
+    cells = o.select(TD.synthetic_file_name(F.col("o_orderpriority")).alias("source_file"),
+                     raw.alias("raw"), raw.try_cast("double").alias("value"),
+                     parse_date_multi("date_text").alias("metric_date"))
+    return _reject_report(cells)
