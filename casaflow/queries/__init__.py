@@ -385,7 +385,7 @@ def _mp_ri_rows(lands, aliases):
 
 
 def _first_per_metro(rows):
-    return distinct_on(rows.distinct(), "metro", [("county_name", True), ("state", True)],
+    return distinct_on(rows, "metro", [("county_name", True), ("state", True)],
                        ["state", "county_name"])
 
 

@@ -129,5 +129,12 @@ LEGACY_RENTAL_INCOME = _fields([
 
 
 def empty(spark, schema: T.StructType):
-    """An empty table of ``schema`` — the state of a table that does not exist yet."""
-    return spark.createDataFrame([], schema)
+    """An empty table of ``schema`` — the state of a table that does not exist yet.
+
+    Built as a false filter so the optimizer sees an empty relation and folds
+    joins and unions against it away (a first load's merge is then a plain
+    projection of the incoming batch).
+    """
+    from pyspark.sql import functions as F
+    cols = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).select(*cols).where(F.lit(False))
