@@ -29,11 +29,16 @@ def unpivot_wide(df: DataFrame, id_cols: list[str],
     operator, no shuffle. Output: ids, ``date_str`` (header text),
     ``metric_date``, ``pos``, ``value_name``.
     """
+    # Every cell struct is cast to one all-nullable type: unpivot takes the
+    # first value column's type, and a non-null date field there would turn
+    # the null date of an unparseable header into 1970-01-01.
+    vtype = dict(df.dtypes)[value_cols[0][0]] if value_cols else "string"
+    cell_type = f"struct<metric_date:date,pos:int,v:{vtype}>"
     cells = []
     for c, d, pos in value_cols:
         cells.append(F.struct(F.lit(d).cast("date").alias("metric_date"),
                               F.lit(pos).cast("int").alias("pos"),
-                              F.col(f"`{c}`").alias("v")).alias(c))
+                              F.col(f"`{c}`").alias("v")).cast(cell_type).alias(c))
     wide = df.select(*[F.col(f"`{c}`") for c in id_cols], *cells)
     long = wide.unpivot([F.col(f"`{c}`") for c in id_cols],
                         [F.col(f"`{c}`") for c, _, _ in value_cols], "date_str", "_cell")

@@ -5,7 +5,8 @@ Each publication writes every table into a fresh version directory
 created in it (file creation is atomic on HDFS and object stores alike).
 Readers take the newest version that has the marker, so a failure part-way
 leaves the previous version visible and nothing is renamed, deleted or
-overwritten in place — which also makes read-modify-write merges safe.
+overwritten in place — which also makes read-modify-write merges safe: the
+new version is computed from the old one and written beside it.
 """
 
 from __future__ import annotations
@@ -38,8 +39,7 @@ def versions(spark: SparkSession, root: str) -> list[str]:
     for st in fs.listStatus(p):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith("v="):
-            marker = jvm.org.apache.hadoop.fs.Path(st.getPath(), MARKER)
-            if fs.exists(marker):
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), MARKER)):
                 out.append(name[2:])
     return sorted(out)
 
@@ -49,16 +49,40 @@ def current_version(spark: SparkSession, root: str) -> str | None:
     return vs[-1] if vs else None
 
 
+class Publication:
+    """One new version: stage tables, read them back, then commit."""
+
+    def __init__(self, spark: SparkSession, root: str, version: str | None = None):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.version = version or new_version()
+        self.base = f"{self.root}/v={self.version}"
+        self.names: list[str] = []
+
+    def path(self, name: str) -> str:
+        return f"{self.base}/{name}"
+
+    def write(self, name: str, df: DataFrame, partition_cols=()) -> DataFrame:
+        """Write a table of this version and return it read back (lineage cut)."""
+        w = df.write.mode("errorifexists")
+        if partition_cols:
+            w = w.partitionBy(*partition_cols)
+        w.parquet(self.path(name))
+        self.names.append(name)
+        return self.spark.read.parquet(self.path(name))
+
+    def commit(self) -> str:
+        fs, _, jvm = _fs(self.spark, self.base)
+        fs.create(jvm.org.apache.hadoop.fs.Path(f"{self.base}/{MARKER}"), False).close()
+        return self.version
+
+
 def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame],
             version: str | None = None) -> str:
     """Write all ``tables`` under a new version, then mark it published."""
-    version = version or new_version()
-    base = f"{root.rstrip('/')}/v={version}"
+    pub = Publication(spark, root, version)
     for name, df in tables.items():
-        df.write.mode("errorifexists").parquet(f"{base}/{name}")
-    fs, _, jvm = _fs(spark, base)
-    fs.create(jvm.org.apache.hadoop.fs.Path(f"{base}/{MARKER}"), False).close()
-    return version
+        pub.write(name, df)
+    return pub.commit()
 
 
 def read_current(spark: SparkSession, root: str, names: list[str]) -> dict[str, DataFrame]:
@@ -67,4 +91,9 @@ def read_current(spark: SparkSession, root: str, names: list[str]) -> dict[str,
     if version is None:
         return {}
     base = f"{root.rstrip('/')}/v={version}"
-    return {n: spark.read.parquet(f"{base}/{n}") for n in names}
+    fs, _, jvm = _fs(spark, base)
+    out = {}
+    for n in names:
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{base}/{n}")):
+            out[n] = spark.read.parquet(f"{base}/{n}")
+    return out
