@@ -18,7 +18,7 @@ from casaflow.operators.gapfill import interpolate_linear
 from casaflow.operators.reshape import to_wide
 from casaflow.plans.landing import long_cells
 from casaflow.schemas import PANDAS_NA_TOKENS
-from casaflow.sources.wide_csv import WideGroup, scan_wide
+from casaflow.sources.wide_csv import WideGroup, list_files, scan_wide
 
 ROW_KEY = ["source_file", "_row"]
 
@@ -56,10 +56,13 @@ def write_cleaned(spark: SparkSession, cleaned: DataFrame, groups: list[WideGrou
 
 
 def clean_files(spark: SparkSession, raw_dir: str, out_dir: str, files) -> None:
-    """Clean the configured (identifier count, input, output) files."""
+    """Clean the configured (identifier count, input, output) files; inputs
+    that are absent are skipped."""
     for n_ids, src, _dst in files:
-        path = os.path.join(raw_dir, src)
-        groups = with_row_ids(scan_wide(spark, [path], n_ids=n_ids))
+        found = list_files(spark, os.path.join(raw_dir, src))
+        if not found:
+            continue
+        groups = with_row_ids(scan_wide(spark, found, n_ids=n_ids))
         cells = long_cells(groups, na_tokens=PANDAS_NA_TOKENS, trim=True)
         cleaned = interpolate_linear(cells, ROW_KEY, "pos", "value")
         write_cleaned(spark, cleaned, groups, out_dir)
