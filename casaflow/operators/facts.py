@@ -9,7 +9,8 @@ from casaflow.functions import replace_values
 
 
 def fact_average(landing: DataFrame, dim: DataFrame, measure: str, out: str,
-                 metro_col: str = "metro", aliases: dict | None = None) -> DataFrame:
+                 metro_col: str = "metro", aliases: dict | None = None,
+                 broadcast_dim: bool = False) -> DataFrame:
     """avg(measure) per (geo_key, metric_date, year) over landing x dim on metro.
 
     The dimension is unique on metro, so grouping by the joined key equals
@@ -18,7 +19,8 @@ def fact_average(landing: DataFrame, dim: DataFrame, measure: str, out: str,
     metro and month. ``year`` derives from ``metric_date`` and is recomputed,
     which lets the grouping key match the later merge key.
     ``aliases`` maps metro names first (payment, rent); house value joins the
-    raw name.
+    raw name. ``broadcast_dim`` is set by callers that checked the
+    dimension's size; otherwise AQE decides from runtime statistics.
     """
     m = F.col(metro_col)
     if aliases:
@@ -26,7 +28,8 @@ def fact_average(landing: DataFrame, dim: DataFrame, measure: str, out: str,
     agg = (landing.where(F.col(metro_col).isNotNull())
            .groupBy(m.alias("metro"), F.col("metric_date"))
            .agg(F.avg(measure).alias(out)))
-    return (agg.join(dim.select("metro", "geo_key"), "metro")
+    d = dim.select("metro", "geo_key")
+    return (agg.join(F.broadcast(d) if broadcast_dim else d, "metro")
             .select("geo_key", out, "metric_date",
                     F.year("metric_date").cast("int").alias("year")))
 

@@ -14,6 +14,7 @@ from casaflow.operators.geo import dim_rows
 from casaflow.operators.merge import (COALESCE, KEEP, SET, STAMP_INSERT, TOUCH,
                                       assert_no_orphans, assert_unique, keyed_merge,
                                       surrogate_key)
+from casaflow.session import checkpoint_root
 from casaflow.schemas import (DIM_GEOGRAPHY, FACT_MEASURES, FACT_SCHEMAS,
                               LEGACY_HOUSE_VALUE, LEGACY_MONTHLY_PAYMENT,
                               LEGACY_RENTAL_INCOME, METRO_ALIASES, empty)
@@ -21,6 +22,8 @@ from casaflow.schemas import (DIM_GEOGRAPHY, FACT_MEASURES, FACT_SCHEMAS,
 DIM_RULES = {"state": SET, "county_name": COALESCE, "geo_key": KEEP,
              "inserted_at": STAMP_INSERT, "updated_at": TOUCH}
 FACT_KEYS = ["geo_key", "metric_date"]
+# one metro row is ~100 bytes: a million rows stays far below broadcast limits
+MAX_DIM_BROADCAST_ROWS = 1_000_000
 LEGACY_KEYS = ["region_id", "metric_date"]
 
 
@@ -54,19 +57,20 @@ def build_dim(spark: SparkSession, landings: dict[str, DataFrame],
 
 
 def batch_facts(landings: dict[str, DataFrame], dim: DataFrame,
-                aliases=METRO_ALIASES, alias_house_value: bool = False) -> dict[str, DataFrame]:
+                aliases=METRO_ALIASES, alias_house_value: bool = False,
+                broadcast_dim: bool = False) -> dict[str, DataFrame]:
     """The three averaged fact batches. House value joins the raw metro name
     unless ``alias_house_value`` (the source pipeline does not alias it, so
     aliased house-value rows find no dimension row)."""
     return {
         "house_value": fact_average(landings["house_value"], dim, "house_value",
                                     "avg_house_value", "metro",
-                                    aliases if alias_house_value else None),
+                                    aliases if alias_house_value else None, broadcast_dim),
         "monthly_payment": fact_average(landings["monthly_payment"], dim,
                                         "monthly_payment", "monthly_payment",
-                                        "region_name", aliases),
+                                        "region_name", aliases, broadcast_dim),
         "rental_income": fact_average(landings["rental_income"], dim, "rental_income",
-                                      "rental_income", "metro", aliases),
+                                      "rental_income", "metro", aliases, broadcast_dim),
     }
 
 
@@ -97,7 +101,8 @@ class FinalTables:
 
 def load_final(spark: SparkSession, landings: dict[str, DataFrame],
                current: dict[str, DataFrame] | None = None, aliases=METRO_ALIASES,
-               alias_house_value: bool = False, check: bool = True) -> FinalTables:
+               alias_house_value: bool = False, check: bool = True,
+               max_broadcast_rows: int = MAX_DIM_BROADCAST_ROWS) -> FinalTables:
     """Dimension upsert, then three fact upserts that read the new dimension.
 
     The dimension is checkpointed (to the shared checkpoint folder): it feeds
@@ -106,13 +111,17 @@ def load_final(spark: SparkSession, landings: dict[str, DataFrame],
     key for a dimension row before anything is returned for publication.
     """
     current = current or {}
+    checkpoint_root(spark)
     now = F.current_timestamp()
     dim_old = current.get("dim_geography", empty(spark, DIM_GEOGRAPHY))
     dim = upsert_dim(dim_old, landings, aliases, now).checkpoint()
     if check:
         assert_unique(dim, ["metro"], "dim_geography")
         assert_unique(dim, ["geo_key"], "dim_geography")
-    batches = batch_facts(landings, dim, aliases, alias_house_value)
+    # the dimension is materialised, so its size is known before choosing a
+    # broadcast; above the limit the joins stay shuffle joins
+    small = dim.count() <= max_broadcast_rows
+    batches = batch_facts(landings, dim, aliases, alias_house_value, small)
     facts = {}
     for name, batch in batches.items():
         if check:

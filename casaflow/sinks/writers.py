@@ -14,12 +14,13 @@ def write_lake(df: DataFrame, path: str, partition_cols=("state", "year"),
                mode: str = "overwrite", dynamic: bool = True) -> None:
     """Parquet lake partitioned by e.g. (state, year).
 
-    Rows are clustered by the partition columns first so each task writes few
-    files per partition directory, instead of every task writing one file into
-    every directory. ``dynamic`` replaces only the partitions present in
-    ``df``.
+    A ``rebalance`` hint clusters rows by the partition columns, so each task
+    writes into few directories (not every task into every directory), and
+    lets AQE split an oversized (hot) partition value across several tasks
+    instead of one task writing it alone. ``dynamic`` replaces only the
+    partitions present in ``df``.
     """
-    w = (df.repartition(*partition_cols).write.mode(mode)
+    w = (df.hint("rebalance", *partition_cols).write.mode(mode)
          .option("partitionOverwriteMode", "dynamic" if dynamic else "static"))
     w.partitionBy(*partition_cols).parquet(path)
 

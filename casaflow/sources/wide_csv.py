@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import csv
 import io
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,10 +71,15 @@ def read_header(spark: SparkSession, path: str, max_bytes: int = 1 << 20) -> lis
     return next(csv.reader(io.StringIO(line)), [])
 
 
-def header_groups(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
+def header_groups(spark: SparkSession, files: list[str],
+                  threads: int = 16) -> dict[tuple[str, ...], list[str]]:
+    """Files grouped by identical header; header lines are fetched
+    concurrently (I/O bound: one small read per file)."""
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files)))) as pool:
+        headers = list(pool.map(lambda f: tuple(read_header(spark, f)), files))
     groups: dict[tuple[str, ...], list[str]] = {}
-    for f in files:
-        groups.setdefault(tuple(read_header(spark, f)), []).append(f)
+    for f, h in zip(files, headers):
+        groups.setdefault(h, []).append(f)
     return groups
 
 
