@@ -18,6 +18,11 @@ def split_columns(columns: list[str], id_cols=None, n_ids: int | None = None):
     return list(columns[:n_ids]), list(columns[n_ids:])
 
 
+def _q(name: str) -> str:
+    """Quote a column name for a SQL expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def unpivot_wide(df: DataFrame, id_cols: list[str],
                  value_cols: list[tuple[str, dt.date | None, int]],
                  value_name: str = "value") -> DataFrame:
@@ -31,15 +36,16 @@ def unpivot_wide(df: DataFrame, id_cols: list[str],
     """
     # Every cell struct is cast to one all-nullable type: unpivot takes the
     # first value column's type, and a non-null date field there would turn
-    # the null date of an unparseable header into 1970-01-01.
+    # the null date of an unparseable header into 1970-01-01. The projection
+    # is sent as one SQL-expression list (one call, not several per column).
     vtype = dict(df.dtypes)[value_cols[0][0]] if value_cols else "string"
     cell_type = f"struct<metric_date:date,pos:int,v:{vtype}>"
     cells = []
     for c, d, pos in value_cols:
-        cells.append(F.struct(F.lit(d).cast("date").alias("metric_date"),
-                              F.lit(pos).cast("int").alias("pos"),
-                              F.col(f"`{c}`").alias("v")).cast(cell_type).alias(c))
-    wide = df.select(*[F.col(f"`{c}`") for c in id_cols], *cells)
+        date_sql = f"DATE'{d.isoformat()}'" if d is not None else "CAST(NULL AS DATE)"
+        cells.append(f"CAST(named_struct('metric_date', {date_sql}, 'pos', {int(pos)}, "
+                     f"'v', {_q(c)}) AS {cell_type}) AS {_q(c)}")
+    wide = df.selectExpr(*[_q(c) for c in id_cols], *cells)
     long = wide.unpivot([F.col(f"`{c}`") for c in id_cols],
                         [F.col(f"`{c}`") for c, _, _ in value_cols], "date_str", "_cell")
     return long.select(*[F.col(f"`{c}`") for c in id_cols], "date_str",

@@ -8,6 +8,7 @@ inside the library.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,11 +44,16 @@ def _round(df: DataFrame, amounts=(), ratios=()) -> DataFrame:
 
 
 # --- shared building blocks (lazy DataFrames; nothing is collected) --------
+# Memoised per (session, folder): a DataFrame is an immutable plan handle, so
+# queries share the analysed landing / dimension / fact plans instead of
+# re-analysing them on every call. No data is cached.
 
+@functools.lru_cache(maxsize=32)
 def _landings(spark, sf_dir):
     return TD.landings(spark, sf_dir)
 
 
+@functools.lru_cache(maxsize=32)
 def _star(spark, sf_dir):
     lands = _landings(spark, sf_dir)
     dim = build_dim(spark, lands, TD.TEST_ALIASES)
@@ -55,11 +61,13 @@ def _star(spark, sf_dir):
     return lands, dim, facts
 
 
+@functools.lru_cache(maxsize=64)
 def _panel(spark, sf_dir, state=TD.TEST_STATE):
     _, dim, facts = _star(spark, sf_dir)
     return P.combined_panel(facts, dim, state)
 
 
+@functools.lru_cache(maxsize=32)
 def _selected(spark, sf_dir):
     panel = _panel(spark, sf_dir)
     return P.select_metros(panel, P.default_metros(panel))
@@ -275,10 +283,16 @@ def distinct_months(df: DataFrame, col: str = "metric_date", limit: int = 10_000
     return months
 
 
-def _wide_hv(spark, sf_dir, series=SERIES):
+@functools.lru_cache(maxsize=32)
+def _hv_months(spark, sf_dir):
+    return tuple(distinct_months(TD.landing_house_value(spark, sf_dir)))
+
+
+@functools.lru_cache(maxsize=32)
+def _wide_hv(spark, sf_dir, series=tuple(SERIES)):
     lnd = TD.landing_house_value(spark, sf_dir)
-    months = distinct_months(lnd)
-    wide = to_wide(lnd, series, "metric_date", months, "house_value")
+    months = list(_hv_months(spark, sf_dir))
+    wide = to_wide(lnd, list(series), "metric_date", months, "house_value")
     cols = [(str(m), m, i) for i, m in enumerate(months)]
     return wide, cols
 
@@ -287,7 +301,7 @@ def _wide_hv(spark, sf_dir, series=SERIES):
 def unpivot_roundtrip(spark, sf_dir):
     """Landing -> wide (one column per month) -> unpivot -> non-null cells."""
     lnd = TD.landing_house_value(spark, sf_dir)
-    months = distinct_months(lnd)
+    months = list(_hv_months(spark, sf_dir))
     wide = to_wide(lnd, HV_IDS, "metric_date", months, "house_value")
     long = unpivot_wide(wide, HV_IDS, [(str(m), m, i) for i, m in enumerate(months)],
                         "house_value")

@@ -20,6 +20,7 @@ the state filter. The same definitions are written as SQL for the oracle.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +37,11 @@ PRIORITY_FILE_TIER = {"1": "0.67_1.0", "2": "0.67_1.0", "3": "0.33_0.67",
                       "4": "0.0_0.33"}
 
 
+@functools.lru_cache(maxsize=256)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table as a (lazy) DataFrame, resolved once per session: each
+    ``read.parquet`` call runs a schema job, which would otherwise repeat for
+    every query that mentions the table."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -63,6 +68,7 @@ def synthetic_file_name(priority_col) -> F.Column:
                     F.lit("_sm_sa_month.csv"))
 
 
+@functools.lru_cache(maxsize=64)
 def landing_house_value(spark: SparkSession, sf_dir: str,
                         cutoff: dt.date | None = TEST_CUTOFF) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice",
@@ -96,6 +102,7 @@ def landing_house_value(spark: SparkSession, sf_dir: str,
             .withColumn("year", F.year("metric_date")))
 
 
+@functools.lru_cache(maxsize=64)
 def landing_monthly_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice",
                                                  "l_discount", "l_shipdate")
@@ -117,6 +124,7 @@ def landing_monthly_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("year", F.year("metric_date")))
 
 
+@functools.lru_cache(maxsize=64)
 def landing_rental_income(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_extendedprice",
                                                  "l_discount", "l_shipdate")
