@@ -42,7 +42,14 @@ def keyed_merge(existing: DataFrame, incoming: DataFrame, keys: list[str],
                         F.lit(True).alias("_e"))
     i = incoming.select(*keys, *[F.col(c).alias(f"_i_{c}") for c in cols if c in inc_cols],
                         F.lit(True).alias("_i"))
-    j = e.join(i, keys, "full")
+    # Rows with a null key can never match; they bypass the join (all null
+    # keys would otherwise hash to one join partition) and are unioned back.
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    j = (e.where(~null_key).join(i.where(~null_key), keys, "full")
+         .unionByName(e.where(null_key), allowMissingColumns=True)
+         .unionByName(i.where(null_key), allowMissingColumns=True))
     has_e, has_i = F.col("_e").isNotNull(), F.col("_i").isNotNull()
     matched = has_e & has_i
     out = []

@@ -30,8 +30,10 @@ def write_jdbc(df: DataFrame, url: str, table: str, *, user: str | None = None,
                mode: str = "overwrite", num_partitions: int | None = None,
                batchsize: int = 10000, truncate: bool = False) -> None:
     """JDBC write; ``num_partitions`` caps concurrent connections so a large
-    cluster does not open one connection per task against the database."""
-    out = df.coalesce(num_partitions) if num_partitions else df
+    cluster does not open one connection per task against the database. The
+    cap is a repartition, not a coalesce, so the stage computing ``df`` keeps
+    its full parallelism and only the write narrows."""
+    out = df.repartition(num_partitions) if num_partitions else df
     w = (out.write.format("jdbc").mode(mode).option("url", url)
          .option("dbtable", table).option("batchsize", batchsize)
          .option("truncate", str(truncate).lower()))

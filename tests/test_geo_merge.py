@@ -97,3 +97,13 @@ def test_merge_null_keys_never_match(spark):
     i = spark.createDataFrame([(None, 2.0)], "k string, v double")
     out = keyed_merge(e, i, ["k"], {"v": "set"}).collect()
     assert sorted(r.v for r in out) == [1.0, 2.0]
+
+
+def test_merge_null_keys_rules_apply(spark):
+    t0 = dt.datetime(2020, 1, 1)
+    e = spark.createDataFrame([(None, 1.0, t0), ("a", 2.0, t0)], "k string, v double, ts timestamp")
+    i = spark.createDataFrame([(None, 5.0), ("a", 6.0), ("b", 7.0)], "k string, v double")
+    out = keyed_merge(e, i, ["k"], {"v": "set", "ts": "stamp"}, with_action=True).collect()
+    got = sorted(((r.k or ""), r.v, r.merge_action, r.ts == t0) for r in out)
+    assert got == [("", 1.0, "unchanged", True), ("", 5.0, "insert", False),
+                   ("a", 6.0, "update", True), ("b", 7.0, "insert", False)]
