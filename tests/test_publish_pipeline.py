@@ -77,3 +77,38 @@ def test_end_to_end_pipeline(spark, tmp_dir):
     t2 = read_current(spark, store, ["dim_geography", "fact_monthly_payment"])
     assert {r.metro: r.geo_key for r in t2["dim_geography"].collect()} == keys1
     assert t2["fact_monthly_payment"].count() == 3
+
+
+def test_pipeline_from_cleaned_files_and_dashboard(spark, tmp_dir):
+    from casaflow.plans.dashboard import Dashboard
+    raw = os.path.join(tmp_dir, "raw")
+    os.makedirs(raw)
+    _raw_files(raw)
+    # an interior gap that only the cleaning step fills
+    _write(os.path.join(raw, "raw_Zip_zori_uc_sfrcondomfr_sm_sa_month.csv"),
+           "RegionID,SizeRank,RegionName,RegionType,StateName,State,City,Metro,CountyName,"
+           "2012-01-31,2012-02-29,2012-03-31\n"
+           "7,1,98101,zip,WA,WA,Seattle,\"Seattle-Tacoma-Bellevue, WA\",King County,1800,,2000\n")
+    store = os.path.join(tmp_dir, "store")
+    cfg = PipelineConfig(raw, store, cleaned_dir=os.path.join(tmp_dir, "cleaned"),
+                         source="cleaned", legacy=False)
+    run(spark, cfg)
+    t = read_current(spark, store, ["dim_geography", "fact_house_value",
+                                    "fact_monthly_payment", "fact_rental_income"])
+    ri = t["fact_rental_income"].orderBy("metric_date").collect()
+    assert [r.rental_income for r in ri] == [1800.0, 1900.0, 2000.0]
+    facts = {k: t[f"fact_{k}"] for k in ("house_value", "monthly_payment", "rental_income")}
+    dash = Dashboard(t["dim_geography"], facts, state="WA")
+    try:
+        assert [r.metro for r in dash.metros().collect()] == ["Seattle-Tacoma-Bellevue, WA",
+                                                              "Tacoma, WA"]
+        feeds = dash.feeds()
+        assert set(feeds) == {"house_value", "rental_income", "monthly_payment", "value_vs_rent",
+                              "gross_yield", "rent_vs_mortgage", "cash_flow", "raw_combined"}
+        cf = {str(r.metric_month): r.cash_flow for r in feeds["cash_flow"].collect()
+              if r.metro.startswith("Seattle")}
+        assert cf == {"2012-01-01": 300.0, "2012-02-01": 390.0}
+        cov = {r.metro: r for r in dash.coverage().collect()}
+        assert cov["Tacoma, WA"].has_house_value and not cov["Seattle-Tacoma-Bellevue, WA"].has_house_value
+    finally:
+        dash.close()
