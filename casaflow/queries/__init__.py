@@ -116,7 +116,7 @@ def landing_rental_income(spark, sf_dir):
 @register
 def metro_alias(spark, sf_dir):
     from casaflow.functions import replace_values
-    mp = TD.landing_monthly_payment(spark, sf_dir)
+    mp = _landings(spark, sf_dir)["monthly_payment"]
     return mp.select("region_name", "metric_date",
                      replace_values("region_name", TD.TEST_ALIASES).alias("metro"))
 
@@ -303,12 +303,12 @@ def distinct_months(df: DataFrame, col: str = "metric_date", limit: int = 10_000
 
 @functools.lru_cache(maxsize=32)
 def _hv_months(spark, sf_dir):
-    return tuple(distinct_months(TD.landing_house_value(spark, sf_dir)))
+    return tuple(distinct_months(_landings(spark, sf_dir)["house_value"]))
 
 
 @functools.lru_cache(maxsize=32)
 def _wide_hv(spark, sf_dir, series=tuple(SERIES)):
-    lnd = TD.landing_house_value(spark, sf_dir)
+    lnd = _landings(spark, sf_dir)["house_value"]
     months = list(_hv_months(spark, sf_dir))
     wide = to_wide(lnd, list(series), "metric_date", months, "house_value")
     cols = [(str(m), m, i) for i, m in enumerate(months)]
@@ -318,7 +318,7 @@ def _wide_hv(spark, sf_dir, series=tuple(SERIES)):
 @register
 def unpivot_roundtrip(spark, sf_dir):
     """Landing -> wide (one column per month) -> unpivot -> non-null cells."""
-    lnd = TD.landing_house_value(spark, sf_dir)
+    lnd = _landings(spark, sf_dir)["house_value"]
     months = list(_hv_months(spark, sf_dir))
     wide = to_wide(lnd, HV_IDS, "metric_date", months, "house_value")
     long = unpivot_wide(wide, HV_IDS, [(str(m), m, i) for i, m in enumerate(months)],
@@ -358,7 +358,7 @@ def parse_dates(spark, sf_dir):
 @register
 def snake_case_columns(spark, sf_dir):
     """CamelCase source names -> snake_case landing names."""
-    ri = TD.landing_rental_income(spark, sf_dir)
+    ri = _landings(spark, sf_dir)["rental_income"]
     camel = ri.select(
         F.col("region_id").alias("RegionID"), F.col("size_rank").alias("SizeRank"),
         F.col("region_name").alias("RegionName"), F.col("region_type").alias("RegionType"),
@@ -395,7 +395,7 @@ def trim_strings(spark, sf_dir):
 
 @register
 def legacy_house_value(spark, sf_dir):
-    return _round(_legacy_hv(TD.landing_house_value(spark, sf_dir)), ["avg_house_value"])
+    return _round(_legacy_hv(_landings(spark, sf_dir)["house_value"]), ["avg_house_value"])
 
 
 # --- keyed merges and constraints --------------------------------------------
@@ -455,7 +455,7 @@ def fact_upsert(spark, sf_dir):
 @register
 def legacy_upsert(spark, sf_dir):
     """Legacy rent final keyed by (region_id, metric_date), two loads."""
-    ri = TD.landing_rental_income(spark, sf_dir)
+    ri = _landings(spark, sf_dir)["rental_income"]
     old = _legacy_ri(ri.where(F.col("metric_date") < F.lit(SPLIT_OLD).cast("date")))
     old = old.withColumn("inserted_at", F.current_timestamp())
     new = _legacy_ri(ri.where(F.col("metric_date") >= F.lit(SPLIT_NEW).cast("date")))
@@ -468,7 +468,7 @@ def legacy_upsert(spark, sf_dir):
 @register
 def duplicate_keys(spark, sf_dir):
     """Payment rows colliding on (metro, month) once metros are aliased."""
-    mp = TD.landing_monthly_payment(spark, sf_dir)
+    mp = _landings(spark, sf_dir)["monthly_payment"]
     keyed = mp.select(replace_values("region_name", TD.TEST_ALIASES).alias("metro"),
                       "metric_date")
     return _dups(keyed, ["metro", "metric_date"])
@@ -492,7 +492,7 @@ def lake_partition_counts(spark, sf_dir):
     from casaflow.session import scratch_path
     from casaflow.sinks.writers import write_lake
     path = scratch_path(spark, "lake-house-value")
-    write_lake(TD.landing_house_value(spark, sf_dir), path, ("state", "year"))
+    write_lake(_landings(spark, sf_dir)["house_value"], path, ("state", "year"))
     lake = spark.read.parquet(path)
     return (lake.groupBy("state", "year")
             .agg(F.count(F.lit(1)).alias("n_rows"),
