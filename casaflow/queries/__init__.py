@@ -499,15 +499,23 @@ def lake_partition_counts(spark, sf_dir):
                  F.countDistinct("metro").alias("n_metros")))
 
 
+@functools.lru_cache(maxsize=32)
+def _hv_csv_files(spark, sf_dir):
+    """The wide CSV input of the landing job, written once per session from
+    the test tables (one file family per tier, two header date spellings)."""
+    from casaflow.plans.csv_fixture import write_house_value_csvs
+    return write_house_value_csvs(spark, TD.landing_house_value(spark, sf_dir, cutoff=None))
+
+
 @register
 def csv_landing_house_value(spark, sf_dir):
-    """End to end: house values written as wide CSVs (one file family per
-    tier, alternating header date formats), then landed by the landing job."""
-    from casaflow.plans.csv_fixture import write_house_value_csvs
+    """End to end through files: the landing job over wide house-value CSVs
+    (header groups, header-date parsing, cut-off pruning, unpivot, tier from
+    the path, null drop, snake_case names)."""
     from casaflow.plans.landing import land
     from casaflow.schemas import HOUSE_VALUE
     import dataclasses
-    pattern = write_house_value_csvs(spark, TD.landing_house_value(spark, sf_dir, cutoff=None))
+    pattern = _hv_csv_files(spark, sf_dir)
     spec = dataclasses.replace(HOUSE_VALUE, min_date=TD.TEST_CUTOFF)
     out = land(spark, spec, pattern)
     return _round(out.drop("inserted_at"), ["house_value"])
