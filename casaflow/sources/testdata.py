@@ -73,6 +73,13 @@ def landing_house_value(spark: SparkSession, sf_dir: str,
                         cutoff: dt.date | None = TEST_CUTOFF) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice",
                                               "o_orderdate", "o_orderpriority")
+    if cutoff is not None:
+        # the exact rule is on the month end (below); the bound it implies on
+        # the raw order date (a month ending after the cut-off starts no
+        # earlier than the cut-off's month) reaches the Parquet scan as a
+        # pushed filter and skips row groups by their statistics
+        month_floor = dt.datetime(cutoff.year, cutoff.month, 1)
+        o = o.where(F.col("o_orderdate") >= F.lit(month_floor).cast("timestamp_ntz"))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey",
                                                 "c_mktsegment")
     seg = None
