@@ -7,6 +7,7 @@ values is unchanged.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,3 +39,59 @@ def interpolate_linear(df: DataFrame, series_cols: list[str], pos_col: str,
               .when(F.col("_prev").isNotNull() & F.col("_next").isNotNull(),
                     slope * (p.cast("double") - F.col("_prev.p")) + F.col("_prev.v")))
     return out.withColumn(out_col, filled).drop("_prev", "_next")
+
+
+# --- wide form: one row holds the whole series ------------------------------
+
+def interpolate_rows(vals):
+    """Interior linear fill along axis 1 of a 2-D float array (NaN = missing),
+    vectorised over all rows: nearest known position to the left and to the
+    right come from running max/min of the known positions."""
+    import numpy as np
+
+    n, k = vals.shape
+    if n == 0 or k == 0:
+        return vals
+    known = ~np.isnan(vals)
+    pos = np.arange(k)
+    left = np.maximum.accumulate(np.where(known, pos, -1), axis=1)
+    right = np.minimum.accumulate(np.where(known, pos, k)[:, ::-1], axis=1)[:, ::-1]
+    r, c = np.nonzero(~known & (left >= 0) & (right < k))
+    p0, p1 = left[r, c], right[r, c]
+    v0, v1 = vals[r, p0], vals[r, p1]
+    out = vals.copy()
+    out[r, c] = (v1 - v0) / (p1 - p0).astype("float64") * (c - p0).astype("float64") + v0
+    return out
+
+
+def _interp_udf():
+    import numpy as np
+    from pyspark.sql import types as T
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def interp(arrays: pd.Series) -> pd.Series:
+        if len(arrays) == 0:
+            return arrays
+        vals = np.vstack([np.asarray(a, dtype="float64") for a in arrays])
+        return pd.Series(list(interpolate_rows(vals)))
+
+    return interp
+
+
+def interpolate_wide(df: DataFrame, value_cols: list[str]) -> DataFrame:
+    """Fill interior gaps along each row of a wide frame (one column per
+    position), with no shuffle.
+
+    A wide row already holds its whole series in one task, so the values go
+    as one array to an Arrow-batched pandas UDF that fills a whole batch of
+    rows with vectorised numpy; identifiers stay in the JVM. Same arithmetic
+    as ``interpolate_linear``; NaN comes back as null.
+    """
+    q = [f"`{c}`" for c in value_cols]
+    arr = _interp_udf()(F.array(*[F.col(c).cast("double") for c in q]))
+    out = df.withColumn("_filled", arr)
+    filled = {}
+    for i, c in enumerate(value_cols):
+        x = F.col("_filled")[i]
+        filled[c] = F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x)
+    return out.withColumns(filled).drop("_filled")

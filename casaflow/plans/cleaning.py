@@ -1,10 +1,13 @@
 """Cleaning job: trim identifier text, turn NA tokens into nulls and fill
 interior gaps of every wide-file row by linear interpolation along the row.
 
-The source did this one file at a time in a single pandas process; here all
-files are one Spark job. Each wide row is tagged with a row id before the
-unpivot, so a series is exactly one input row (bounded by the number of month
-columns) even when identifier values repeat.
+The source did this one file at a time in a single pandas process. Here the
+file-to-file job (``clean_files``) stays in wide form: scan -> trim / cast ->
+row-wise fill -> CSV write, a single narrow stage with no shuffle, because a
+wide row already holds its whole series. ``clean_cells`` gives the same values
+in long form (window over the row's cells) for callers that continue in long
+form; there each wide row is tagged with a row id before the unpivot, so a
+series is exactly one input row even when identifier values repeat.
 """
 
 from __future__ import annotations
@@ -14,8 +17,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casaflow.operators.gapfill import interpolate_linear
-from casaflow.operators.reshape import to_wide
+from casaflow.functions import trim_all
+from casaflow.operators.gapfill import interpolate_linear, interpolate_wide
 from casaflow.plans.landing import long_cells
 from casaflow.schemas import PANDAS_NA_TOKENS
 from casaflow.sources.wide_csv import WideGroup, list_files, scan_wide
@@ -40,29 +43,30 @@ def clean_cells(spark: SparkSession, pattern: str | list[str], id_cols=None,
     return interpolate_linear(cells, ROW_KEY, "pos", "value")
 
 
-def write_cleaned(spark: SparkSession, cleaned: DataFrame, groups: list[WideGroup],
-                  out_dir: str) -> None:
-    """Pivot cleaned cells back to the wide layout, one output per input file
-    (``out_dir/file=<input name>/part-*.csv``), header order preserved."""
-    for g in groups:
-        ids = [c for c in g.id_cols if c != "_row"]
-        part = (cleaned.where(F.col("source_file").isin(g.files))
-                .withColumn("file", F.element_at(F.split("source_file", "/"), -1)))
-        wide = to_wide(part, [*ids, "file", "_row"], "date_str", list(g.measure_cols), "value")
-        (wide.select(*[F.col(f"`{c}`") for c in ids], "file",
-                     *[F.col(f"`{c}`") for c in g.measure_cols])
-         .write.mode("append").option("header", True).partitionBy("file")
-         .csv(out_dir))
+def clean_wide(group: WideGroup, na_tokens=PANDAS_NA_TOKENS) -> DataFrame:
+    """One header group cleaned in wide form: identifiers trimmed, NA tokens
+    null, measures as doubles with interior gaps filled; plus ``file``."""
+    df = group.df
+    types = dict(df.dtypes)
+    sel = [trim_all(f"`{c}`").alias(c) if types[c] == "string" else F.col(f"`{c}`")
+           for c in group.id_cols]
+    for c in group.measure_cols:
+        raw = F.col(f"`{c}`")
+        if na_tokens:
+            raw = F.when(raw.isin(list(na_tokens)), F.lit(None)).otherwise(raw)
+        sel.append(F.trim(raw).try_cast("double").alias(c))
+    sel.append(F.element_at(F.split("source_file", "/"), -1).alias("file"))
+    return interpolate_wide(df.select(*sel), list(group.measure_cols))
 
 
 def clean_files(spark: SparkSession, raw_dir: str, out_dir: str, files) -> None:
-    """Clean the configured (identifier count, input, output) files; inputs
-    that are absent are skipped."""
+    """Clean the configured (identifier count, input, output) files into
+    ``out_dir/file=<input name>/part-*.csv`` (header order kept); inputs that
+    are absent are skipped. One narrow stage per header group."""
     for n_ids, src, _dst in files:
         found = list_files(spark, os.path.join(raw_dir, src))
         if not found:
             continue
-        groups = with_row_ids(scan_wide(spark, found, n_ids=n_ids))
-        cells = long_cells(groups, na_tokens=PANDAS_NA_TOKENS, trim=True)
-        cleaned = interpolate_linear(cells, ROW_KEY, "pos", "value")
-        write_cleaned(spark, cleaned, groups, out_dir)
+        for g in scan_wide(spark, found, n_ids=n_ids):
+            (clean_wide(g).write.mode("append").option("header", True)
+             .partitionBy("file").csv(out_dir))

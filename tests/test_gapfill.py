@@ -65,3 +65,23 @@ def test_differential_against_pandas(spark):
                 assert a is None
             else:
                 assert a == pytest.approx(b, rel=1e-12, abs=1e-9)
+
+
+def test_wide_matches_pandas_and_long(spark):
+    from casaflow.operators.gapfill import interpolate_wide
+    rnd = random.Random(3)
+    k = 12
+    rows = []
+    for i in range(80):
+        vals = [None if rnd.random() < 0.45 else round(rnd.uniform(1e3, 1e6), 2) for _ in range(k)]
+        rows.append((f"s{i}", *vals))
+    cols = [f"m{j}" for j in range(k)]
+    df = spark.createDataFrame(rows, "sid string, " + ", ".join(f"{c} double" for c in cols))
+    got = {r.sid: [r[c] for c in cols] for r in interpolate_wide(df, cols).collect()}
+    long = _run(spark, {r[0]: list(r[1:]) for r in rows})
+    for r in rows:
+        exp = _pandas(list(r[1:]))
+        assert got[r[0]] == [None if e is None else e for e in exp] or all(
+            (a is None and b is None) or (a is not None and b is not None and abs(a - b) < 1e-9)
+            for a, b in zip(got[r[0]], exp))
+        assert got[r[0]] == long[r[0]]
