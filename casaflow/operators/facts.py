@@ -34,9 +34,10 @@ def fact_average(landing: DataFrame, dim: DataFrame, measure: str, out: str,
                     F.year("metric_date").cast("int").alias("year")))
 
 
-def with_metro(fact: DataFrame, dim: DataFrame) -> DataFrame:
+def with_metro(fact: DataFrame, dim: DataFrame, broadcast_dim: bool = False) -> DataFrame:
     """Replace the surrogate key by the metro name (for reporting / comparison)."""
-    return fact.join(dim.select("geo_key", "metro"), "geo_key").drop("geo_key")
+    d = dim.select("geo_key", "metro")
+    return fact.join(F.broadcast(d) if broadcast_dim else d, "geo_key").drop("geo_key")
 
 
 LEGACY_HV_KEYS = ["region_id", "size_rank", "region_name", "region_type", "state",

@@ -1,0 +1,21 @@
+"""Broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# a dimension row is ~100 bytes: a million rows stays far below broadcast limits
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def fits_broadcast(stored: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Row-count check for a *stored* table (a count over materialised data is
+    cheap; do not call it on an expensive unmaterialised plan)."""
+    return stored.count() <= max_rows
+
+
+def sized_broadcast(stored: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(stored)`` when its row count is within ``max_rows``,
+    otherwise the frame unchanged (the join stays a shuffle join)."""
+    return F.broadcast(stored) if fits_broadcast(stored, max_rows) else stored

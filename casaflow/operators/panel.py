@@ -18,24 +18,27 @@ PANEL_KEYS = ["metro", "metric_month"]
 MEASURES = ("avg_house_value", "rental_income", "monthly_payment")
 
 
-def _dim_in_state(dim: DataFrame, state: str | None) -> DataFrame:
+def _dim_in_state(dim: DataFrame, state: str | None,
+                  broadcast_dim: bool = False) -> DataFrame:
     d = dim.where(F.col("metro").isNotNull())
     if state is not None:
         d = d.where(F.col("state") == state)
-    return d.select("geo_key", "metro")
+    d = d.select("geo_key", "metro")
+    return F.broadcast(d) if broadcast_dim else d
 
 
 def monthly_metric(fact: DataFrame, dim: DataFrame, measure: str,
-                   state: str | None) -> DataFrame:
+                   state: str | None, broadcast_dim: bool = False) -> DataFrame:
     """avg(measure) per (metro, first day of month) for the dimension rows of
-    one state (all states when ``state`` is None)."""
-    return (fact.join(_dim_in_state(dim, state), "geo_key")
+    one state (all states when ``state`` is None). ``broadcast_dim`` is for
+    callers that checked the dimension's size (``operators.joins``)."""
+    return (fact.join(_dim_in_state(dim, state, broadcast_dim), "geo_key")
             .groupBy("metro", month_start("metric_date").alias("metric_month"))
             .agg(F.avg(measure).alias(measure)))
 
 
 def combined_panel(facts: dict[str, DataFrame], dim: DataFrame,
-                   state: str | None) -> DataFrame:
+                   state: str | None, broadcast_dim: bool = False) -> DataFrame:
     """Metro x month with the three monthly averages and the three ratios.
 
     The three-way full outer join on (metro, month) is expressed as one
@@ -54,7 +57,7 @@ def combined_panel(facts: dict[str, DataFrame], dim: DataFrame,
             *[(F.col(measure) if m == measure else null).alias(m) for m in MEASURES]))
     u = parts[0].unionByName(parts[1]).unionByName(parts[2])
     panel = (u.where(F.col("metric_date").isNotNull())
-             .join(_dim_in_state(dim, state), "geo_key")
+             .join(_dim_in_state(dim, state, broadcast_dim), "geo_key")
              .groupBy("metro", month_start("metric_date").alias("metric_month"))
              .agg(*[F.avg(m).alias(m) for m in MEASURES]))
     return investment_metrics(panel)

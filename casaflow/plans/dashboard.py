@@ -10,6 +10,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from casaflow.operators import panel as P
+from casaflow.operators.joins import fits_broadcast
 from casaflow.schemas import DEFAULT_STATE, PREFERRED_METROS
 
 
@@ -17,7 +18,9 @@ class Dashboard:
     def __init__(self, dim: DataFrame, facts: dict[str, DataFrame],
                  state: str | None = DEFAULT_STATE, preferred=PREFERRED_METROS):
         self.preferred = preferred
-        self.panel = P.combined_panel(facts, dim, state).persist(StorageLevel.MEMORY_AND_DISK)
+        small = fits_broadcast(dim)  # dim is a stored table: the count is cheap
+        self.panel = P.combined_panel(facts, dim, state, small).persist(
+            StorageLevel.MEMORY_AND_DISK)
 
     def metros(self) -> DataFrame:
         return P.metro_list(self.panel)

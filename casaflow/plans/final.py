@@ -14,6 +14,7 @@ from casaflow.operators.geo import dim_rows
 from casaflow.operators.merge import (COALESCE, KEEP, SET, STAMP_INSERT, TOUCH,
                                       assert_no_orphans, assert_unique, keyed_merge,
                                       surrogate_key)
+from casaflow.operators.joins import MAX_BROADCAST_ROWS, fits_broadcast
 from casaflow.session import checkpoint_root
 from casaflow.schemas import (DIM_GEOGRAPHY, FACT_MEASURES, FACT_SCHEMAS,
                               LEGACY_HOUSE_VALUE, LEGACY_MONTHLY_PAYMENT,
@@ -22,8 +23,7 @@ from casaflow.schemas import (DIM_GEOGRAPHY, FACT_MEASURES, FACT_SCHEMAS,
 DIM_RULES = {"state": SET, "county_name": COALESCE, "geo_key": KEEP,
              "inserted_at": STAMP_INSERT, "updated_at": TOUCH}
 FACT_KEYS = ["geo_key", "metric_date"]
-# one metro row is ~100 bytes: a million rows stays far below broadcast limits
-MAX_DIM_BROADCAST_ROWS = 1_000_000
+MAX_DIM_BROADCAST_ROWS = MAX_BROADCAST_ROWS
 LEGACY_KEYS = ["region_id", "metric_date"]
 
 
@@ -120,7 +120,7 @@ def load_final(spark: SparkSession, landings: dict[str, DataFrame],
         assert_unique(dim, ["geo_key"], "dim_geography")
     # the dimension is materialised, so its size is known before choosing a
     # broadcast; above the limit the joins stay shuffle joins
-    small = dim.count() <= max_broadcast_rows
+    small = fits_broadcast(dim, max_broadcast_rows)
     batches = batch_facts(landings, dim, aliases, alias_house_value, small)
     facts = {}
     for name, batch in batches.items():

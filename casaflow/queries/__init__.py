@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from casaflow.operators import analytics, panel as P
 from casaflow.operators.facts import with_metro
+from casaflow.operators.joins import fits_broadcast
 from casaflow.operators.geo import geo_candidates
 from casaflow.plans.final import batch_facts, build_dim
 from casaflow.session import checkpoint_root
@@ -67,9 +68,16 @@ def _dim(spark, sf_dir):
     return _store(build_dim(spark, _landings(spark, sf_dir), TD.TEST_ALIASES))
 
 
+@functools.lru_cache(maxsize=32)
+def _dim_small(spark, sf_dir):
+    """Size check of the stored dimension, deciding its broadcast."""
+    return fits_broadcast(_dim(spark, sf_dir))
+
+
 @functools.lru_cache(maxsize=32)
 def _fact_tables(spark, sf_dir):
-    facts = batch_facts(_landings(spark, sf_dir), _dim(spark, sf_dir), TD.TEST_ALIASES)
+    facts = batch_facts(_landings(spark, sf_dir), _dim(spark, sf_dir), TD.TEST_ALIASES,
+                        broadcast_dim=_dim_small(spark, sf_dir))
     return {k: _store(v) for k, v in facts.items()}
 
 
@@ -81,7 +89,7 @@ def _star(spark, sf_dir):
 @functools.lru_cache(maxsize=64)
 def _panel(spark, sf_dir, state=TD.TEST_STATE):
     _, dim, facts = _star(spark, sf_dir)
-    return P.combined_panel(facts, dim, state)
+    return P.combined_panel(facts, dim, state, _dim_small(spark, sf_dir))
 
 
 @functools.lru_cache(maxsize=32)
@@ -139,8 +147,8 @@ def dim_geography(spark, sf_dir):
 def _fact(name, measure):
     def q(spark, sf_dir):
         lands, dim = _landings(spark, sf_dir), _dim(spark, sf_dir)
-        facts = batch_facts(lands, dim, TD.TEST_ALIASES)
-        return _round(with_metro(facts[name], dim), [measure])
+        facts = batch_facts(lands, dim, TD.TEST_ALIASES, broadcast_dim=_dim_small(spark, sf_dir))
+        return _round(with_metro(facts[name], dim, _dim_small(spark, sf_dir)), [measure])
     q.__name__ = f"fact_{name}"
     return q
 
@@ -155,7 +163,8 @@ fact_rental_income = register(_fact("rental_income", "rental_income"))
 def _monthly(name, measure):
     def q(spark, sf_dir):
         _, dim, facts = _star(spark, sf_dir)
-        return _round(P.monthly_metric(facts[name], dim, measure, TD.TEST_STATE), [measure])
+        return _round(P.monthly_metric(facts[name], dim, measure, TD.TEST_STATE,
+                                       _dim_small(spark, sf_dir)), [measure])
     q.__name__ = f"monthly_{name}"
     return q
 
@@ -247,7 +256,8 @@ def feed_cash_flow(spark, sf_dir):
 @register
 def roi_5y(spark, sf_dir):
     _, dim, facts = _star(spark, sf_dir)
-    monthly = P.monthly_metric(facts["house_value"], dim, "avg_house_value", None)
+    monthly = P.monthly_metric(facts["house_value"], dim, "avg_house_value", None,
+                               _dim_small(spark, sf_dir))
     return _round(analytics.roi_5y(monthly), ["avg_house_value", "value_5y_ago"],
                   ["roi_5y"])
 
@@ -458,7 +468,7 @@ def fact_upsert(spark, sf_dir):
     old = old.withColumns({"inserted_at": F.current_timestamp(),
                            "updated_at": F.current_timestamp()})
     merged = upsert_fact(old, new, "house_value", with_action=True)
-    return _round(with_metro(merged, dim).select("metro", "metric_date", "year",
+    return _round(with_metro(merged, dim, _dim_small(spark, sf_dir)).select("metro", "metric_date", "year",
                                                  "avg_house_value", "merge_action"),
                   ["avg_house_value"])
 
@@ -492,7 +502,7 @@ def orphan_fact_keys(spark, sf_dir):
     _, dim, facts = _star(spark, sf_dir)
     partial = dim.where(F.col("state") != TD.TEST_STATE)
     orphans = orphan_keys(facts["monthly_payment"], partial, "geo_key")
-    return with_metro(orphans, dim).select("metro", "metric_date")
+    return with_metro(orphans, dim, _dim_small(spark, sf_dir)).select("metro", "metric_date")
 
 
 # --- files: lake, CSV end to end, rejects -------------------------------------
