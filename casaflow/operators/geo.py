@@ -33,9 +33,14 @@ def geo_candidates(house_value: DataFrame, monthly_payment: DataFrame,
 
 
 def distinct_on(df: DataFrame, key: str | list[str],
-                order: list[tuple[str, bool]], payload: list[str]) -> DataFrame:
+                order: list[tuple[str, bool]], payload: list[str],
+                collation: str | None = None) -> DataFrame:
     """First row per ``key`` under ``order`` ((column, nulls_last) ascending).
 
+    String order is binary unless ``collation`` names a Spark collation (e.g.
+    ``"UNICODE"``, ``"UNICODE_CI"``) for the order columns; payload values
+    are returned as stored.
+
     Written as ``min(struct(sort keys..., payload...))`` per key: a plain
     aggregate, so it combines map-side and never gathers a key's rows into one
     task. Payload columns after the sort keys break any remaining tie, making
@@ -56,7 +61,10 @@ def distinct_on(df: DataFrame, key: str | list[str],
             fields.append(F.col(c).isNull().alias(f"_n{i}"))
         else:
             fields.append(F.col(c).isNotNull().alias(f"_n{i}"))
-        fields.append(F.col(c).alias(f"_o{i}"))
+        oc = F.col(c)
+        if collation and dict(df.dtypes).get(c) == "string":
+            oc = F.collate(oc, collation)
+        fields.append(oc.alias(f"_o{i}"))
     for j, c in enumerate(payload):
         fields.append(F.col(c).alias(f"_p{j}"))
     fields.append(F.col("_rows"))
@@ -66,10 +74,11 @@ def distinct_on(df: DataFrame, key: str | list[str],
 
 
 def dim_rows(house_value: DataFrame, monthly_payment: DataFrame,
-             rental_income: DataFrame, aliases=METRO_ALIASES) -> DataFrame:
+             rental_income: DataFrame, aliases=METRO_ALIASES,
+             collation: str | None = None) -> DataFrame:
     """One row per metro: smallest county (nulls last), then state (nulls last)."""
     cand = geo_candidates(house_value, monthly_payment, rental_income, aliases,
                           distinct=False)
     return distinct_on(cand, "metro",
                        [("county_name", True), ("state", True)],
-                       ["state", "county_name"])
+                       ["state", "county_name"], collation)

@@ -59,14 +59,19 @@ def clean_wide(group: WideGroup, na_tokens=PANDAS_NA_TOKENS) -> DataFrame:
     return interpolate_wide(df.select(*sel), list(group.measure_cols))
 
 
-def clean_files(spark: SparkSession, raw_dir: str, out_dir: str, files) -> None:
+def clean_files(spark: SparkSession, raw_dir: str, out_dir: str, files,
+                fmt: str = "csv") -> None:
     """Clean the configured (identifier count, input, output) files into
-    ``out_dir/file=<input name>/part-*.csv`` (header order kept); inputs that
-    are absent are skipped. One narrow stage per header group."""
+    ``out_dir/file=<input name>/part-*`` (header order kept) as CSV or
+    Parquet; inputs that are absent are skipped. One narrow stage per header
+    group."""
     for n_ids, src, _dst in files:
         found = list_files(spark, os.path.join(raw_dir, src))
         if not found:
             continue
         for g in scan_wide(spark, found, n_ids=n_ids):
-            (clean_wide(g).write.mode("append").option("header", True)
-             .partitionBy("file").csv(out_dir))
+            w = clean_wide(g).write.mode("append").partitionBy("file")
+            if fmt == "parquet":
+                w.parquet(out_dir)
+            else:
+                w.option("header", True).csv(out_dir)

@@ -107,3 +107,12 @@ def test_merge_null_keys_rules_apply(spark):
     got = sorted(((r.k or ""), r.v, r.merge_action, r.ts == t0) for r in out)
     assert got == [("", 1.0, "unchanged", True), ("", 5.0, "insert", False),
                    ("a", 6.0, "update", True), ("b", 7.0, "insert", False)]
+
+
+def test_distinct_on_collation(spark):
+    df = spark.createDataFrame([("M", "WA", "b"), ("M", "OR", "B"), ("M", "ID", "a")], GEO)
+    order = [("county_name", True), ("state", True)]
+    binary = distinct_on(df, "metro", order, ["state", "county_name"]).first()
+    assert binary.county_name == "B"          # 'B' < 'a' < 'b' in binary order
+    uni = distinct_on(df, "metro", order, ["state", "county_name"], "UNICODE").first()
+    assert uni.county_name == "a"             # 'a' < 'b' < 'B' in UNICODE order

@@ -83,3 +83,12 @@ def test_cleaning_matches_pandas(spark, tmp_dir):
     back = spark.read.option("header", True).csv(out)
     assert back.count() == 3
     assert {r.RegionName for r in back.collect()} == {"Seattle", "Tacoma", "Olympia"}
+
+
+def test_cleaning_to_parquet(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "raw_Zip_zori_x.csv")
+    _write(path, f"{ZORI_HDR},2015-03-31\n1,1,01001,zip,MA,MA,Agawam,\"S, MA\",H,1000,,1020\n")
+    out = os.path.join(tmp_dir, "cleaned_pq")
+    clean_files(spark, tmp_dir, out, [(9, "raw_Zip_zori_x.csv", "x")], fmt="parquet")
+    r = spark.read.parquet(out).first()
+    assert (r.RegionName, r["2015-02-28"]) == ("01001", 1010.0)
