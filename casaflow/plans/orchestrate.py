@@ -20,7 +20,7 @@ from casaflow.plans.final import load_final, load_legacy
 from casaflow.plans.landing import land
 from casaflow.schemas import CLEANING_FILES, LANDING_SPECS, METRO_ALIASES
 from casaflow.sinks.publish import Publication, read_current
-from casaflow.sinks.writers import write_jdbc, write_lake
+from casaflow.sinks.writers import ensure_jdbc_schema, write_jdbc, write_lake
 
 FINAL_TABLES = ["dim_geography", "fact_house_value", "fact_monthly_payment",
                 "fact_rental_income"]
@@ -34,7 +34,7 @@ class PipelineConfig:
     cleaned_dir: str | None = None     # write cleaned CSVs here when set
     source: str = "raw"                # land from "raw" or "cleaned" files
     lake_root: str | None = None       # optional (state, year) Parquet lake
-    jdbc: dict = field(default_factory=dict)  # url, user, password, driver
+    jdbc: dict = field(default_factory=dict)  # url, user, password, driver, schema, connections
     aliases: dict = field(default_factory=lambda: dict(METRO_ALIASES))
     alias_house_value: bool = False
     legacy: bool = True
@@ -48,15 +48,21 @@ def _landing_job(spark: SparkSession, cfg: PipelineConfig, pub: Publication, spe
     if cfg.lake_root:
         write_lake(staged, f"{cfg.lake_root.rstrip('/')}/{spec.name}", spec.partition_cols)
     if cfg.jdbc.get("url"):
-        write_jdbc(staged, cfg.jdbc["url"], f"landing.{spec.table}",
+        schema = cfg.jdbc.get("schema", "landing")
+        table = f"{schema}.{spec.table}" if schema else spec.table
+        write_jdbc(staged, cfg.jdbc["url"], table,
                    user=cfg.jdbc.get("user"), password=cfg.jdbc.get("password"),
-                   driver=cfg.jdbc.get("driver"))
+                   driver=cfg.jdbc.get("driver"), num_partitions=cfg.jdbc.get("connections"))
     return staged
 
 
 def run(spark: SparkSession, cfg: PipelineConfig) -> str:
     """Run every stage; return the published version. The first failure
     aborts before the commit, so readers keep seeing the previous version."""
+    if cfg.jdbc.get("url") and cfg.jdbc.get("schema", "landing"):
+        ensure_jdbc_schema(spark, cfg.jdbc["url"], cfg.jdbc.get("schema", "landing"),
+                           user=cfg.jdbc.get("user"), password=cfg.jdbc.get("password"),
+                           driver=cfg.jdbc.get("driver"))
     if cfg.cleaned_dir:
         clean_files(spark, cfg.raw_dir, cfg.cleaned_dir, CLEANING_FILES)
     pub = Publication(spark, cfg.store_root)

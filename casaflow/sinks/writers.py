@@ -41,3 +41,28 @@ def write_jdbc(df: DataFrame, url: str, table: str, *, user: str | None = None,
         if v is not None:
             w = w.option(k, v)
     w.save()
+
+
+def ensure_jdbc_schema(spark, url: str, schema: str, *, user: str | None = None,
+                       password: str | None = None, driver: str | None = None) -> None:
+    """Create a database schema if it is absent (JDBC writes create tables,
+    not schemas). Runs one statement on the driver through the JVM's JDBC
+    ``DriverManager``; "already exists" is not an error."""
+    jvm = spark._jvm
+    if driver:
+        jvm.java.lang.Class.forName(driver)
+    props = jvm.java.util.Properties()
+    if user is not None:
+        props.setProperty("user", user)
+    if password is not None:
+        props.setProperty("password", password)
+    conn = jvm.java.sql.DriverManager.getConnection(url, props)
+    try:
+        meta = conn.getMetaData().getSchemas()
+        names = set()
+        while meta.next():
+            names.add(meta.getString(1).lower())
+        if schema.lower() not in names:
+            conn.createStatement().execute(f"CREATE SCHEMA {schema}")
+    finally:
+        conn.close()
