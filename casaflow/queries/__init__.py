@@ -14,11 +14,22 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casaflow.operators import analytics, panel as P
+from casaflow.functions import (parse_date_multi, replace_values, tier_from_path,
+                                trim_all)
+from casaflow.operators import analytics
+from casaflow.operators import panel as P
+from casaflow.operators.facts import legacy_house_value as _legacy_hv
+from casaflow.operators.facts import legacy_rental_income as _legacy_ri
 from casaflow.operators.facts import with_metro
+from casaflow.operators.gapfill import interpolate_linear
+from casaflow.operators.geo import distinct_on, geo_candidates
 from casaflow.operators.joins import fits_broadcast
-from casaflow.operators.geo import geo_candidates
-from casaflow.plans.final import batch_facts, build_dim
+from casaflow.operators.merge import duplicate_keys as _dups
+from casaflow.operators.merge import orphan_keys
+from casaflow.operators.reshape import rename_snake, to_wide, unpivot_wide
+from casaflow.plans.final import (batch_facts, build_dim, upsert_dim_rows, upsert_fact,
+                                  upsert_legacy)
+from casaflow.plans.landing import reject_report as _reject_report
 from casaflow.session import checkpoint_root
 from casaflow.sources import testdata as TD
 
@@ -123,7 +134,6 @@ def landing_rental_income(spark, sf_dir):
 
 @register
 def metro_alias(spark, sf_dir):
-    from casaflow.functions import replace_values
     mp = _landings(spark, sf_dir)["monthly_payment"]
     return mp.select("region_name", "metric_date",
                      replace_values("region_name", TD.TEST_ALIASES).alias("metro"))
@@ -277,21 +287,6 @@ def vs_market(spark, sf_dir):
 
 # --- reshaping and gap filling ---------------------------------------------
 
-from casaflow.functions import (parse_date_multi, replace_values,  # noqa: E402
-                                tier_from_path, trim_all)
-from casaflow.operators.facts import legacy_house_value as _legacy_hv  # noqa: E402
-from casaflow.operators.facts import legacy_rental_income as _legacy_ri  # noqa: E402
-from casaflow.operators.gapfill import interpolate_linear  # noqa: E402
-from casaflow.operators.geo import distinct_on  # noqa: E402
-from casaflow.operators.merge import duplicate_keys as _dups  # noqa: E402
-from casaflow.operators.merge import orphan_keys  # noqa: E402
-from casaflow.operators.reshape import (rename_snake, to_wide,  # noqa: E402
-                                        unpivot_wide)
-from casaflow.plans.final import (FACT_KEYS, upsert_dim_rows, upsert_fact,  # noqa: E402
-                                  upsert_legacy)
-from casaflow.plans.landing import reject_report as _reject_report  # noqa: E402
-from casaflow.schemas import LEGACY_RENTAL_INCOME  # noqa: E402
-
 SERIES = ["region_name", "home_tier"]
 HV_IDS = ["region_id", "size_rank", "region_name", "region_type", "state_name",
           "state", "metro", "county_name", "home_tier"]
@@ -480,7 +475,6 @@ def legacy_upsert(spark, sf_dir):
     old = _legacy_ri(ri.where(F.col("metric_date") < F.lit(SPLIT_OLD).cast("date")))
     old = old.withColumn("inserted_at", F.current_timestamp())
     new = _legacy_ri(ri.where(F.col("metric_date") >= F.lit(SPLIT_NEW).cast("date")))
-    assert set(old.columns) == set(LEGACY_RENTAL_INCOME.fieldNames())
     merged = upsert_legacy(old, new, "rental_income", touch_updated=False, with_action=True)
     return _round(merged.select("region_id", "metric_date", "region_name", "metro",
                                 "rental_income", "year", "merge_action"), ["rental_income"])
