@@ -5,10 +5,10 @@ import pandas as pd
 
 from casaflow.plans.cleaning import clean_cells, clean_files, with_row_ids
 from casaflow.schemas import HOUSE_VALUE, RENTAL_INCOME
-from casaflow.sinks.publish import read_current, versions
 from casaflow.sinks.writers import write_jdbc
 from casaflow.sources.tables import read_jdbc
-from casaflow.streaming.incremental import landing_stream, stream_to_lake, stream_upsert
+from casaflow.streaming.incremental import (compact, landing_stream, read_upserted,
+                                           stream_to_lake, stream_upsert)
 from tests.test_landing import HV_HDR, _write
 
 ZORI_HDR = ("RegionID,SizeRank,RegionName,RegionType,StateName,State,City,Metro,CountyName,"
@@ -27,21 +27,23 @@ def test_stream_to_lake_and_upsert(spark, tmp_dir):
     q.awaitTermination()
     assert spark.read.parquet(lake).count() == 2
 
-    store = os.path.join(tmp_dir, "store")
+    log = os.path.join(tmp_dir, "log")
+    snap = os.path.join(tmp_dir, "snap")
     ck = os.path.join(tmp_dir, "ck2")
-    stream_upsert(landing_stream(spark, RENTAL_INCOME, src, header), store, "rental_income",
-                  "rental_income", ck).awaitTermination()
+    stream_upsert(landing_stream(spark, RENTAL_INCOME, src, header), log, ck).awaitTermination()
+    first = {(r.region_id, str(r.metric_date)): r for r in read_upserted(spark, log).collect()}
+    assert compact(spark, log, snap) is not None
     # a second file revises February and adds a region
     _write(os.path.join(src, "b_zori.csv"),
            f"{ZORI_HDR}\n1,1,01001,zip,MA,MA,Agawam,\"Springfield, MA\",Hampden,,1020\n"
            "2,2,98101,zip,WA,WA,Seattle,\"Seattle, WA\",King,2000,\n")
-    stream_upsert(landing_stream(spark, RENTAL_INCOME, src, header), store, "rental_income",
-                  "rental_income", ck).awaitTermination()
-    assert len(versions(spark, store)) == 2
-    t = read_current(spark, store, ["rental_income"])["rental_income"]
-    got = {(r.region_id, str(r.metric_date)): r.rental_income for r in t.collect()}
-    assert got == {(1, "2015-01-31"): 1000.0, (1, "2015-02-28"): 1020.0,
-                   (2, "2015-01-31"): 2000.0}
+    stream_upsert(landing_stream(spark, RENTAL_INCOME, src, header), log, ck).awaitTermination()
+    for t in (read_upserted(spark, log), read_upserted(spark, log, snapshot_root=snap)):
+        got = {(r.region_id, str(r.metric_date)): r for r in t.collect()}
+        assert {k: r.rental_income for k, r in got.items()} == {
+            (1, "2015-01-31"): 1000.0, (1, "2015-02-28"): 1020.0, (2, "2015-01-31"): 2000.0}
+        # first insertion time is kept for a revised key
+        assert got[(1, "2015-02-28")].inserted_at == first[(1, "2015-02-28")].inserted_at
 
 
 def test_jdbc_round_trip_in_process_derby(spark):
