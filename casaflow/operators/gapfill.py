@@ -85,13 +85,16 @@ def interpolate_wide(df: DataFrame, value_cols: list[str]) -> DataFrame:
     A wide row already holds its whole series in one task, so the values go
     as one array to an Arrow-batched pandas UDF that fills a whole batch of
     rows with vectorised numpy; identifiers stay in the JVM. Same arithmetic
-    as ``interpolate_linear``; NaN comes back as null.
+    as ``interpolate_linear``; NaN comes back as null. Projections are sent as
+    SQL-expression lists (two calls, not several per column).
     """
-    q = [f"`{c}`" for c in value_cols]
-    arr = _interp_udf()(F.array(*[F.col(c).cast("double") for c in q]))
-    out = df.withColumn("_filled", arr)
-    filled = {}
-    for i, c in enumerate(value_cols):
-        x = F.col("_filled")[i]
-        filled[c] = F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x)
-    return out.withColumns(filled).drop("_filled")
+    def q(c):
+        return "`" + c.replace("`", "``") + "`"
+
+    arr = F.expr("array(" + ", ".join(f"CAST({q(c)} AS DOUBLE)" for c in value_cols) + ")")
+    keep = [q(c) for c in df.columns if c not in set(value_cols)]
+    with_arr = df.select(*[F.col(c) for c in keep], _interp_udf()(arr).alias("_filled"))
+    filled = {c: f"CASE WHEN isnan(_filled[{i}]) THEN CAST(NULL AS DOUBLE) "
+                 f"ELSE _filled[{i}] END AS {q(c)}" for i, c in enumerate(value_cols)}
+    out = [filled.get(c, q(c)) for c in df.columns]
+    return with_arr.selectExpr(*out)

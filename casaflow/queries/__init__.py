@@ -313,9 +313,12 @@ def _hv_months(spark, sf_dir):
 
 @functools.lru_cache(maxsize=32)
 def _wide_hv(spark, sf_dir, series=tuple(SERIES)):
+    """House values in the wide source layout (one row per series, one column
+    per month), stored once per session: the input of the interpolation
+    queries, as the wide files are the input of the cleaning job."""
     lnd = _landings(spark, sf_dir)["house_value"]
     months = list(_hv_months(spark, sf_dir))
-    wide = to_wide(lnd, list(series), "metric_date", months, "house_value")
+    wide = _store(to_wide(lnd, list(series), "metric_date", months, "house_value"))
     cols = [(str(m), m, i) for i, m in enumerate(months)]
     return wide, cols
 
