@@ -49,3 +49,22 @@ class Dashboard:
 
     def close(self) -> None:
         self.panel.unpersist()
+
+
+def export_feeds(dim: DataFrame, facts: dict[str, DataFrame], out_root: str,
+                 state: str | None = DEFAULT_STATE, metros=None,
+                 preferred=PREFERRED_METROS) -> list[str]:
+    """Write every chart feed, the metro list and the coverage report as
+    Parquet under ``out_root/<feed>`` for a BI tool; the panel is computed
+    once for all of them."""
+    dash = Dashboard(dim, facts, state, preferred)
+    written = []
+    try:
+        outputs = {**dash.feeds(metros), "metros": dash.metros(), "coverage": dash.coverage()}
+        for name, df in outputs.items():
+            path = f"{out_root.rstrip('/')}/{name}"
+            df.write.mode("overwrite").parquet(path)
+            written.append(path)
+    finally:
+        dash.close()
+    return written

@@ -16,9 +16,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from casaflow.plans.cleaning import clean_files
+from casaflow.plans.dashboard import export_feeds
 from casaflow.plans.final import load_final, load_legacy
 from casaflow.plans.landing import land
-from casaflow.schemas import CLEANING_FILES, LANDING_SPECS, METRO_ALIASES
+from casaflow.schemas import CLEANING_FILES, DEFAULT_STATE, LANDING_SPECS, METRO_ALIASES
 from casaflow.sinks.publish import Publication, read_current
 from casaflow.sinks.writers import ensure_jdbc_schema, write_jdbc, write_lake
 
@@ -38,6 +39,8 @@ class PipelineConfig:
     aliases: dict = field(default_factory=lambda: dict(METRO_ALIASES))
     alias_house_value: bool = False
     legacy: bool = True
+    feeds_dir: str | None = None       # export dashboard feeds here when set
+    state: str | None = DEFAULT_STATE  # dashboard state filter
 
 
 def _landing_job(spark: SparkSession, cfg: PipelineConfig, pub: Publication, spec) -> DataFrame:
@@ -77,7 +80,13 @@ def run(spark: SparkSession, cfg: PipelineConfig) -> str:
     if cfg.legacy:
         for name, df in load_legacy(spark, landings, current).items():
             pub.write(name, df)
-    return pub.commit()
+    version = pub.commit()
+    if cfg.feeds_dir:
+        t = read_current(spark, cfg.store_root, FINAL_TABLES)
+        facts = {k: t[f"fact_{k}"] for k in ("house_value", "monthly_payment", "rental_income")}
+        export_feeds(t["dim_geography"], facts, f"{cfg.feeds_dir.rstrip('/')}/v={version}",
+                     cfg.state)
+    return version
 
 
 def main(argv: list[str] | None = None) -> str:
@@ -92,6 +101,8 @@ def main(argv: list[str] | None = None) -> str:
     ap.add_argument("--jdbc-driver")
     ap.add_argument("--jdbc-password-env", help="environment variable holding the password")
     ap.add_argument("--alias-house-value", action="store_true")
+    ap.add_argument("--feeds", help="export dashboard feeds under this folder")
+    ap.add_argument("--state", default=DEFAULT_STATE, help="dashboard state filter")
     args = ap.parse_args(argv)
     jdbc = {}
     if args.jdbc_url:
@@ -100,7 +111,8 @@ def main(argv: list[str] | None = None) -> str:
     from casaflow.session import get_session
     spark = get_session("casaflow-pipeline")
     cfg = PipelineConfig(args.raw, args.store, args.cleaned, args.source, args.lake, jdbc,
-                         alias_house_value=args.alias_house_value)
+                         alias_house_value=args.alias_house_value, feeds_dir=args.feeds,
+                         state=args.state)
     return run(spark, cfg)
 
 

@@ -131,6 +131,11 @@ def test_pipeline_lake_and_jdbc_landing(spark, tmp_dir):
     assert {(r.state, r.year) for r in lake.select("state", "year").distinct().collect()} == {("WA", 2012)}
     # the command-line entry point runs the same job
     store2 = os.path.join(tmp_dir, "store2")
-    version = main(["--raw", raw, "--store", store2])
+    feeds = os.path.join(tmp_dir, "feeds")
+    version = main(["--raw", raw, "--store", store2, "--feeds", feeds, "--state", "WA"])
     assert read_current(spark, store2, ["dim_geography"])["dim_geography"].count() == 2
-    assert version
+    base = os.path.join(feeds, f"v={version}")
+    assert sorted(os.listdir(base)) == sorted(
+        ["house_value", "rental_income", "monthly_payment", "value_vs_rent", "gross_yield",
+         "rent_vs_mortgage", "cash_flow", "raw_combined", "metros", "coverage"])
+    assert spark.read.parquet(os.path.join(base, "metros")).count() == 2
