@@ -82,31 +82,32 @@ def landing_house_value(spark: SparkSession, sf_dir: str,
         o = o.where(F.col("o_orderdate") >= F.lit(month_floor).cast("timestamp_ntz"))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey",
                                                 "c_mktsegment")
+    rows = (o.join(c, o.o_custkey == c.c_custkey)
+            .select("c_nationkey", "c_mktsegment", "o_totalprice",
+                    tier_from_path(synthetic_file_name(F.col("o_orderpriority"))).alias("home_tier"),
+                    _month_end("o_orderdate").alias("metric_date")))
+    if cutoff is not None:
+        rows = rows.where(F.col("metric_date") > F.lit(cutoff))
+    # aggregate on the natural key; every descriptive column is a function of
+    # it and is attached afterwards from the 25-row geography
+    agg = (rows.groupBy("c_nationkey", "c_mktsegment", "home_tier", "metric_date")
+           .agg(F.avg("o_totalprice").alias("house_value")))
     seg = None
     for k, v in SEGMENT_CODES.items():
         cond = F.col("c_mktsegment") == k
         seg = F.when(cond, v) if seg is None else seg.when(cond, v)
-    rows = (o.join(c, o.o_custkey == c.c_custkey)
-            .join(_geo(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
-            .select(
-                (F.col("c_nationkey") * 10 + seg.otherwise(0)).cast("int").alias("region_id"),
-                (F.col("n_nationkey") + 1).cast("int").alias("size_rank"),
-                F.concat_ws("-", "n_name", "c_mktsegment").alias("region_name"),
-                F.lit("city").alias("region_type"),
-                F.col("r_name").alias("state_name"),
-                F.col("r_name").alias("state"),
-                F.when(F.col("n_nationkey") == 24, F.lit(None).cast("string"))
-                 .otherwise(F.col("n_name")).alias("metro"),
-                F.col("c_mktsegment").alias("county_name"),
-                tier_from_path(synthetic_file_name(F.col("o_orderpriority"))).alias("home_tier"),
-                _month_end("o_orderdate").alias("metric_date"),
-                F.col("o_totalprice")))
-    if cutoff is not None:
-        rows = rows.where(F.col("metric_date") > F.lit(cutoff))
-    keys = ["region_id", "size_rank", "region_name", "region_type", "state_name",
-            "state", "metro", "county_name", "home_tier", "metric_date"]
-    return (rows.groupBy(*keys).agg(F.avg("o_totalprice").alias("house_value"))
-            .withColumn("year", F.year("metric_date")))
+    return (agg.join(_geo(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
+            .select((F.col("c_nationkey") * 10 + seg.otherwise(0)).cast("int").alias("region_id"),
+                    (F.col("n_nationkey") + 1).cast("int").alias("size_rank"),
+                    F.concat(F.col("n_name"), F.lit("-"), F.col("c_mktsegment")).alias("region_name"),
+                    F.lit("city").alias("region_type"),
+                    F.col("r_name").alias("state_name"),
+                    F.col("r_name").alias("state"),
+                    F.when(F.col("n_nationkey") == 24, F.lit(None).cast("string"))
+                     .otherwise(F.col("n_name")).alias("metro"),
+                    F.col("c_mktsegment").alias("county_name"),
+                    "home_tier", "metric_date", "house_value",
+                    F.year("metric_date").alias("year")))
 
 
 @functools.lru_cache(maxsize=64)
@@ -115,20 +116,19 @@ def landing_monthly_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                  "l_discount", "l_shipdate")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    rows = (li.join(o, li.l_orderkey == o.o_orderkey)
-            .join(c, F.col("o_custkey") == F.col("c_custkey"))
-            .join(_geo(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
+    agg = (li.join(o, li.l_orderkey == o.o_orderkey)
+           .join(c, F.col("o_custkey") == F.col("c_custkey"))
+           .groupBy("c_nationkey", _month_end("l_shipdate").alias("metric_date"))
+           .agg((F.avg(F.col("l_extendedprice") * (1 - F.col("l_discount"))) / 10)
+                .alias("monthly_payment")))
+    return (agg.join(_geo(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
             .select(F.col("n_nationkey").cast("int").alias("region_id"),
                     (F.col("n_nationkey") + 1).cast("int").alias("size_rank"),
                     F.col("n_name").alias("region_name"),
                     F.lit("msa").alias("region_type"),
                     F.col("r_name").alias("state_name"),
-                    _month_end("l_shipdate").alias("metric_date"),
-                    (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("pay")))
-    keys = ["region_id", "size_rank", "region_name", "region_type", "state_name",
-            "metric_date"]
-    return (rows.groupBy(*keys).agg((F.avg("pay") / 10).alias("monthly_payment"))
-            .withColumn("year", F.year("metric_date")))
+                    "metric_date", "monthly_payment",
+                    F.year("metric_date").alias("year")))
 
 
 @functools.lru_cache(maxsize=64)
@@ -136,8 +136,12 @@ def landing_rental_income(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_extendedprice",
                                                  "l_discount", "l_shipdate")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    # lineitem is aggregated per (supplier, month) before any join
+    agg = (li.groupBy("l_suppkey", _month_end("l_shipdate").alias("metric_date"))
+           .agg(F.avg(F.col("l_extendedprice") * (F.col("l_discount") + 0.01))
+                .alias("rental_income")))
     k3 = F.col("s_suppkey") % 3
-    rows = (li.join(s, li.l_suppkey == s.s_suppkey)
+    return (agg.join(s, agg.l_suppkey == s.s_suppkey)
             .join(_geo(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey"))
             .select(F.col("s_suppkey").cast("int").alias("region_id"),
                     (F.col("s_suppkey") + 1).cast("int").alias("size_rank"),
@@ -149,12 +153,8 @@ def landing_rental_income(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n_name").alias("metro"),
                     F.when(k3 == 0, F.lit(None).cast("string"))
                      .otherwise(F.concat(F.lit("COUNTY_"), k3.cast("string"))).alias("county_name"),
-                    _month_end("l_shipdate").alias("metric_date"),
-                    (F.col("l_extendedprice") * (F.col("l_discount") + 0.01)).alias("rent")))
-    keys = ["region_id", "size_rank", "region_name", "region_type", "state_name",
-            "state", "city", "metro", "county_name", "metric_date"]
-    return (rows.groupBy(*keys).agg(F.avg("rent").alias("rental_income"))
-            .withColumn("year", F.year("metric_date")))
+                    "metric_date", "rental_income",
+                    F.year("metric_date").alias("year")))
 
 
 def landings(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
