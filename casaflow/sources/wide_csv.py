@@ -57,8 +57,8 @@ def list_files(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(out)
 
 
-def read_header(spark: SparkSession, path: str, max_bytes: int = 1 << 20) -> list[str]:
-    """The first line of a CSV file, parsed; only that line is read."""
+def read_header(spark: SparkSession, path: str) -> list[str]:
+    """The first line of a CSV file, parsed whole; only that line is read."""
     fs, p = _fs_and_path(spark, path)
     jvm = spark._jvm
     stream = fs.open(p)
@@ -67,7 +67,7 @@ def read_header(spark: SparkSession, path: str, max_bytes: int = 1 << 20) -> lis
         line = reader.readLine() or ""
     finally:
         stream.close()
-    line = line[:max_bytes].lstrip("﻿")
+    line = line.lstrip("﻿")
     return next(csv.reader(io.StringIO(line)), [])
 
 
