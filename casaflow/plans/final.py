@@ -56,22 +56,32 @@ def build_dim(spark: SparkSession, landings: dict[str, DataFrame],
     return upsert_dim(empty(spark, DIM_GEOGRAPHY), landings, aliases)
 
 
+# fact name -> (landing measure, fact measure, landing metro column, aliased?)
+FACT_SPECS = {
+    "house_value": ("house_value", "avg_house_value", "metro", False),
+    "monthly_payment": ("monthly_payment", "monthly_payment", "region_name", True),
+    "rental_income": ("rental_income", "rental_income", "metro", True),
+}
+
+
+def batch_fact(landings: dict[str, DataFrame], dim: DataFrame, name: str,
+               aliases=METRO_ALIASES, alias_house_value: bool = False,
+               broadcast_dim: bool = False) -> DataFrame:
+    """One averaged fact batch. House value joins the raw metro name unless
+    ``alias_house_value`` (the source pipeline does not alias it, so aliased
+    house-value rows find no dimension row)."""
+    measure, out, metro_col, aliased = FACT_SPECS[name]
+    use_aliases = aliases if (aliased or alias_house_value) else None
+    return fact_average(landings[name], dim, measure, out, metro_col, use_aliases,
+                        broadcast_dim)
+
+
 def batch_facts(landings: dict[str, DataFrame], dim: DataFrame,
                 aliases=METRO_ALIASES, alias_house_value: bool = False,
                 broadcast_dim: bool = False) -> dict[str, DataFrame]:
-    """The three averaged fact batches. House value joins the raw metro name
-    unless ``alias_house_value`` (the source pipeline does not alias it, so
-    aliased house-value rows find no dimension row)."""
-    return {
-        "house_value": fact_average(landings["house_value"], dim, "house_value",
-                                    "avg_house_value", "metro",
-                                    aliases if alias_house_value else None, broadcast_dim),
-        "monthly_payment": fact_average(landings["monthly_payment"], dim,
-                                        "monthly_payment", "monthly_payment",
-                                        "region_name", aliases, broadcast_dim),
-        "rental_income": fact_average(landings["rental_income"], dim, "rental_income",
-                                      "rental_income", "metro", aliases, broadcast_dim),
-    }
+    """The three averaged fact batches."""
+    return {name: batch_fact(landings, dim, name, aliases, alias_house_value, broadcast_dim)
+            for name in FACT_SPECS}
 
 
 def upsert_fact(existing: DataFrame, batch: DataFrame, name: str,

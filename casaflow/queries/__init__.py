@@ -27,8 +27,8 @@ from casaflow.operators.joins import fits_broadcast
 from casaflow.operators.merge import duplicate_keys as _dups
 from casaflow.operators.merge import orphan_keys
 from casaflow.operators.reshape import rename_snake, to_wide, unpivot_wide
-from casaflow.plans.final import (batch_facts, build_dim, upsert_dim_rows, upsert_fact,
-                                  upsert_legacy)
+from casaflow.plans.final import (batch_fact, batch_facts, build_dim, upsert_dim_rows,
+                                  upsert_fact, upsert_legacy)
 from casaflow.plans.landing import reject_report as _reject_report
 from casaflow.session import checkpoint_root
 from casaflow.sources import testdata as TD
@@ -157,8 +157,9 @@ def dim_geography(spark, sf_dir):
 def _fact(name, measure):
     def q(spark, sf_dir):
         lands, dim = _landings(spark, sf_dir), _dim(spark, sf_dir)
-        facts = batch_facts(lands, dim, TD.TEST_ALIASES, broadcast_dim=_dim_small(spark, sf_dir))
-        return _round(with_metro(facts[name], dim, _dim_small(spark, sf_dir)), [measure])
+        fact = batch_fact(lands, dim, name, TD.TEST_ALIASES,
+                          broadcast_dim=_dim_small(spark, sf_dir))
+        return _round(with_metro(fact, dim, _dim_small(spark, sf_dir)), [measure])
     q.__name__ = f"fact_{name}"
     return q
 
