@@ -108,8 +108,9 @@ def main(argv: list[str] | None = None) -> str:
     if args.jdbc_url:
         jdbc = {"url": args.jdbc_url, "user": args.jdbc_user, "driver": args.jdbc_driver,
                 "password": os.environ.get(args.jdbc_password_env or "", None)}
-    from casaflow.session import get_session
+    from casaflow.session import apply_sizing, get_session
     spark = get_session("casaflow-pipeline")
+    apply_sizing(spark, args.raw)
     cfg = PipelineConfig(args.raw, args.store, args.cleaned, args.source, args.lake, jdbc,
                          alias_house_value=args.alias_house_value, feeds_dir=args.feeds,
                          state=args.state)

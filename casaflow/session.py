@@ -55,3 +55,46 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+MB = 1 << 20
+
+
+def sizing(input_bytes: int, total_cores: int, target_split: int = 256 * MB,
+           target_shuffle: int = 200 * MB, shuffle_fraction: float = 1.0) -> dict[str, str]:
+    """Partition settings for an input of ``input_bytes`` on ``total_cores``.
+
+    Scan splits aim at ``target_split`` but shrink so every core gets at
+    least ~3 splits (and never below 32 MB). The shuffle partition count aims
+    at ``target_shuffle`` bytes per partition, between 3 and 10 waves of the
+    cores: more reduce partitions would multiply the shuffle blocks (map
+    tasks x partitions) without adding parallelism. Reduce-side sorts spill,
+    and AQE coalesces small partitions and splits skewed ones toward the
+    advisory size.
+    """
+    cores = max(1, total_cores)
+    split = min(target_split, max(32 * MB, input_bytes // (3 * cores) or 32 * MB))
+    shuffled = int(input_bytes * shuffle_fraction)
+    partitions = min(10 * cores, max(3 * cores, -(-shuffled // target_shuffle)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MB),
+    }
+
+
+def input_size(spark: SparkSession, path: str) -> int:
+    """Total bytes under ``path`` from file-system metadata (no data read)."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
+def apply_sizing(spark: SparkSession, path: str) -> dict[str, str]:
+    """Size the session's partitions for the data under ``path``."""
+    cores = spark.sparkContext.defaultParallelism
+    conf = sizing(input_size(spark, path), cores)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf

@@ -67,3 +67,16 @@ def test_investment_metrics_null_and_zero(spark):
     assert rows[1].gross_yield is None and rows[1].cash_flow is None
     assert rows[2].price_to_rent_ratio is None and rows[2].gross_yield == 0.0
     assert rows[3].gross_yield is None and rows[3].cash_flow is None
+
+
+def test_sizing():
+    from casaflow.session import MB, sizing
+    tb100 = 100 * (1 << 40)
+    big = sizing(tb100, 8000)
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 * MB
+    assert int(big["spark.sql.shuffle.partitions"]) == 80000   # capped at 10 waves
+    mid = sizing(1 << 40, 8000)
+    assert int(mid["spark.sql.shuffle.partitions"]) == 24000  # floor of 3 waves
+    small = sizing(10 * MB, 8)
+    assert int(small["spark.sql.files.maxPartitionBytes"]) == 32 * MB
+    assert int(small["spark.sql.shuffle.partitions"]) == 24
