@@ -94,3 +94,16 @@ def test_cleaning_to_parquet(spark, tmp_dir):
     clean_files(spark, tmp_dir, out, [(9, "raw_Zip_zori_x.csv", "x")], fmt="parquet")
     r = spark.read.parquet(out).first()
     assert (r.RegionName, r["2015-02-28"]) == ("01001", 1010.0)
+
+
+def test_stream_rejects_a_shifted_header(spark, tmp_dir):
+    import pytest
+    src = os.path.join(tmp_dir, "incoming")
+    os.makedirs(src)
+    shifted = ZORI_HDR.replace("2015-01-31,2015-02-28", "2015-02-28,2015-03-31")
+    _write(os.path.join(src, "c_zori.csv"),
+           f"{shifted}\n1,1,01001,zip,MA,MA,Agawam,\"S, MA\",H,1000,1010\n")
+    q = stream_to_lake(landing_stream(spark, RENTAL_INCOME, src, ZORI_HDR.split(",")),
+                       os.path.join(tmp_dir, "lake"), os.path.join(tmp_dir, "ck"))
+    with pytest.raises(Exception):
+        q.awaitTermination()
