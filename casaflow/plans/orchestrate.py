@@ -1,7 +1,7 @@
 """The whole batch: clean -> three landings in parallel -> final load ->
 all-or-nothing publication. Also a ``spark-submit`` entry point.
 
-    spark-submit -m casaflow.plans.orchestrate --raw s3://bucket/raw \
+    spark-submit --py-files casaflow.zip casaflow_submit.py --raw s3://bucket/raw \
         --store s3://bucket/warehouse [--lake s3://bucket/processed] \
         [--jdbc-url ... --jdbc-user ... --jdbc-password-env VAR]
 """
