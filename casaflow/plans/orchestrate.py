@@ -44,6 +44,8 @@ class PipelineConfig:
 
 
 def _landing_job(spark: SparkSession, cfg: PipelineConfig, pub: Publication, spec) -> DataFrame:
+    # one scheduler pool per landing (effective with spark.scheduler.mode=FAIR)
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"landing_{spec.name}")
     base = cfg.cleaned_dir if cfg.source == "cleaned" else cfg.raw_dir
     pattern = f"{base.rstrip('/')}/{spec.file_glob}"
     df = land(spark, spec, pattern)
