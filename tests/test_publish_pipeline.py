@@ -139,3 +139,35 @@ def test_pipeline_lake_and_jdbc_landing(spark, tmp_dir):
         ["house_value", "rental_income", "monthly_payment", "value_vs_rent", "gross_yield",
          "rent_vs_mortgage", "cash_flow", "raw_combined", "metros", "coverage"])
     assert spark.read.parquet(os.path.join(base, "metros")).count() == 2
+
+
+def test_constraint_violation_aborts_before_publication(spark, tmp_dir):
+    from casaflow.operators.merge import ConstraintViolation
+    raw = os.path.join(tmp_dir, "raw")
+    os.makedirs(raw)
+    _raw_files(raw)
+    store = os.path.join(tmp_dir, "store")
+    cfg = PipelineConfig(raw, store)
+    v1 = run(spark, cfg)
+    # a second rent file repeats region 7: its legacy key (region_id, month) collides
+    _write(os.path.join(raw, "raw_Zip_zori_extra.csv"),
+           "RegionID,SizeRank,RegionName,RegionType,StateName,State,City,Metro,CountyName,"
+           "2012-01-31\n7,1,98101,zip,WA,WA,Seattle,\"Seattle-Tacoma-Bellevue, WA\",King,1850\n")
+    with pytest.raises(ConstraintViolation):
+        run(spark, cfg)
+    from casaflow.sinks.publish import current_version
+    assert current_version(spark, store) == v1
+
+
+def test_alias_house_value_switch(spark, tmp_dir):
+    raw = os.path.join(tmp_dir, "raw")
+    os.makedirs(raw)
+    _raw_files(raw)
+    for flag, expected in ((False, {"Tacoma, WA"}),
+                           (True, {"Tacoma, WA", "Seattle-Tacoma-Bellevue, WA"})):
+        store = os.path.join(tmp_dir, f"store_{flag}")
+        run(spark, PipelineConfig(raw, store, alias_house_value=flag, legacy=False))
+        t = read_current(spark, store, ["dim_geography", "fact_house_value"])
+        metros = {r.metro for r in t["fact_house_value"].join(t["dim_geography"], "geo_key")
+                  .select("metro").collect()}
+        assert metros == expected
