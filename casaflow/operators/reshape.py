@@ -54,16 +54,31 @@ def unpivot_wide(df: DataFrame, id_cols: list[str],
                        F.col("_cell.v").alias(value_name))
 
 
+def _sql_literal(v) -> str:
+    if isinstance(v, dt.datetime):
+        return f"TIMESTAMP_NTZ'{v.isoformat(sep=' ')}'"
+    if isinstance(v, dt.date):
+        return f"DATE'{v.isoformat()}'"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    return repr(v)
+
+
 def to_wide(long: DataFrame, series_cols: list[str], pivot_col: str,
             pivot_values: list, value_col: str) -> DataFrame:
     """Long -> wide with an explicit column list (no extra distinct job).
 
-    One aggregate per series; each output cell is the series' value in that
-    column (null when absent).
+    One aggregate per series with a conditional ``first`` per output column:
+    a single shuffle with map-side combine (Spark's ``pivot`` plans two
+    aggregation phases, i.e. two shuffles). Each cell is the series' value in
+    that column, null when absent; (series, column) is expected unique.
     """
-    return (long.groupBy(*series_cols)
-            .pivot(pivot_col, pivot_values)
-            .agg(F.first(value_col, ignorenulls=True)))
+    aggs = [F.expr(f"first(CASE WHEN {_q(pivot_col)} = {_sql_literal(v)} "
+                   f"THEN {_q(value_col)} END, true) AS {_q(str(v))}")
+            for v in pivot_values]
+    return long.groupBy(*series_cols).agg(*aggs)
 
 
 def melt(df: DataFrame, id_cols: list[str], value_cols: list[str],
