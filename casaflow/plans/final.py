@@ -34,12 +34,12 @@ def fact_rules(measure: str) -> dict[str, str]:
 
 def upsert_dim(existing: DataFrame, landings: dict[str, DataFrame],
                aliases=METRO_ALIASES, now: Column | None = None,
-               with_action: bool = False) -> DataFrame:
+               with_action: bool = False, collation: str | None = None) -> DataFrame:
     """Insert new metros, update matched ones (state overwritten even by null,
     county only by a non-null value); keys of existing metros never change and
     new metros get a stable hash key."""
     incoming = dim_rows(landings["house_value"], landings["monthly_payment"],
-                        landings["rental_income"], aliases)
+                        landings["rental_income"], aliases, collation)
     return upsert_dim_rows(existing, incoming, now, with_action)
 
 
@@ -112,7 +112,8 @@ class FinalTables:
 def load_final(spark: SparkSession, landings: dict[str, DataFrame],
                current: dict[str, DataFrame] | None = None, aliases=METRO_ALIASES,
                alias_house_value: bool = False, check: bool = True,
-               max_broadcast_rows: int = MAX_DIM_BROADCAST_ROWS) -> FinalTables:
+               max_broadcast_rows: int = MAX_DIM_BROADCAST_ROWS,
+               collation: str | None = None) -> FinalTables:
     """Dimension upsert, then three fact upserts that read the new dimension.
 
     The dimension is checkpointed (to the shared checkpoint folder): it feeds
@@ -124,7 +125,7 @@ def load_final(spark: SparkSession, landings: dict[str, DataFrame],
     checkpoint_root(spark)
     now = F.current_timestamp()
     dim_old = current.get("dim_geography", empty(spark, DIM_GEOGRAPHY))
-    dim = upsert_dim(dim_old, landings, aliases, now).checkpoint()
+    dim = upsert_dim(dim_old, landings, aliases, now, collation=collation).checkpoint()
     if check:
         assert_unique(dim, ["metro"], "dim_geography")
         assert_unique(dim, ["geo_key"], "dim_geography")

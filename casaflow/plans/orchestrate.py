@@ -39,6 +39,7 @@ class PipelineConfig:
     aliases: dict = field(default_factory=lambda: dict(METRO_ALIASES))
     alias_house_value: bool = False
     legacy: bool = True
+    collation: str | None = None       # e.g. "UNICODE" for the distinct-on order
     feeds_dir: str | None = None       # export dashboard feeds here when set
     state: str | None = DEFAULT_STATE  # dashboard state filter
 
@@ -76,7 +77,8 @@ def run(spark: SparkSession, cfg: PipelineConfig) -> str:
                    for name, spec in LANDING_SPECS.items()}
         landings = {name: f.result() for name, f in futures.items()}
     current = read_current(spark, cfg.store_root, FINAL_TABLES + LEGACY_TABLES)
-    final = load_final(spark, landings, current, cfg.aliases, cfg.alias_house_value)
+    final = load_final(spark, landings, current, cfg.aliases, cfg.alias_house_value,
+                       collation=cfg.collation)
     for name, df in final.tables().items():
         pub.write(name, df)
     if cfg.legacy:
@@ -105,6 +107,7 @@ def main(argv: list[str] | None = None) -> str:
     ap.add_argument("--alias-house-value", action="store_true")
     ap.add_argument("--feeds", help="export dashboard feeds under this folder")
     ap.add_argument("--state", default=DEFAULT_STATE, help="dashboard state filter")
+    ap.add_argument("--collation", help="string order for the dimension's distinct-on")
     args = ap.parse_args(argv)
     jdbc = {}
     if args.jdbc_url:
@@ -115,7 +118,7 @@ def main(argv: list[str] | None = None) -> str:
     apply_sizing(spark, args.raw)
     cfg = PipelineConfig(args.raw, args.store, args.cleaned, args.source, args.lake, jdbc,
                          alias_house_value=args.alias_house_value, feeds_dir=args.feeds,
-                         state=args.state)
+                         state=args.state, collation=args.collation)
     return run(spark, cfg)
 
 
