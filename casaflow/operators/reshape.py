@@ -29,29 +29,34 @@ def unpivot_wide(df: DataFrame, id_cols: list[str],
     """Wide -> long: one row per (row, measure column), nulls kept.
 
     ``value_cols`` holds (column, parsed header date, column position). The
-    date and position are literals, parsed once per column on the driver, so
-    no per-row date parsing remains. Planned as a single ``Expand`` — a narrow
-    operator, no shuffle. Output: ids, ``date_str`` (header text),
-    ``metric_date``, ``pos``, ``value_name``.
+    date and position are parsed once per column on the driver, so no per-row
+    date parsing remains. Planned as a single ``Expand`` — a narrow operator,
+    no shuffle. Output: ids, ``date_str`` (header text), ``metric_date``,
+    ``pos``, ``value_name``.
+
+    The measure columns are unpivoted under their position number, and date
+    and header text are looked up by position in constant arrays (O(1) per
+    row). The unpivot output stays flat and narrow, so it stays inside
+    whole-stage code generation however many month columns the file has.
     """
-    # Every cell struct is cast to one all-nullable type: unpivot takes the
-    # first value column's type, and a non-null date field there would turn
-    # the null date of an unparseable header into 1970-01-01. The projection
-    # is sent as one SQL-expression list (one call, not several per column).
-    vtype = dict(df.dtypes)[value_cols[0][0]] if value_cols else "string"
-    cell_type = f"struct<metric_date:date,pos:int,v:{vtype}>"
-    cells = []
-    for c, d, pos in value_cols:
-        date_sql = f"DATE'{d.isoformat()}'" if d is not None else "CAST(NULL AS DATE)"
-        cells.append(f"CAST(named_struct('metric_date', {date_sql}, 'pos', {int(pos)}, "
-                     f"'v', {_q(c)}) AS {cell_type}) AS {_q(c)}")
-    wide = df.selectExpr(*[_q(c) for c in id_cols], *cells)
-    long = wide.unpivot([F.col(f"`{c}`") for c in id_cols],
-                        [F.col(f"`{c}`") for c, _, _ in value_cols], "date_str", "_cell")
-    return long.select(*[F.col(f"`{c}`") for c in id_cols], "date_str",
-                       F.col("_cell.metric_date").alias("metric_date"),
-                       F.col("_cell.pos").alias("pos"),
-                       F.col("_cell.v").alias(value_name))
+    if not value_cols:
+        raise ValueError("no measure columns")
+    prefix = "__cf_slot_"
+    pos_names = [f"{prefix}{i}" for i in range(len(value_cols))]
+    renamed = df.selectExpr(*[_q(c) for c in id_cols],
+                            *[f"{_q(c)} AS {n}" for (c, _, _), n in zip(value_cols, pos_names)])
+    long = renamed.unpivot([_q(c) for c in id_cols], pos_names, "__cf_slot", value_name)
+    dates = ", ".join(f"DATE'{d.isoformat()}'" if d is not None else "CAST(NULL AS DATE)"
+                      for _, d, _ in value_cols)
+    texts = ", ".join(_sql_literal(c) for c, _, _ in value_cols)
+    positions = ", ".join(str(int(p)) for _, _, p in value_cols)
+    slot = f"(CAST(substr(__cf_slot, {len(prefix) + 1}) AS INT) + 1)"
+    return long.selectExpr(
+        *[_q(c) for c in id_cols],
+        f"element_at(array({texts}), {slot}) AS date_str",
+        f"element_at(array({dates}), {slot}) AS metric_date",
+        f"element_at(array({positions}), {slot}) AS pos",
+        _q(value_name))
 
 
 def _sql_literal(v) -> str:
