@@ -78,20 +78,23 @@ def _interp_udf():
     return interp
 
 
-def interpolate_wide(df: DataFrame, value_cols: list[str]) -> DataFrame:
+def interpolate_wide(df: DataFrame, value_cols: list[str],
+                     value_sql: str = "CAST({c} AS DOUBLE)") -> DataFrame:
     """Fill interior gaps along each row of a wide frame (one column per
     position), with no shuffle.
 
     A wide row already holds its whole series in one task, so the values go
     as one array to an Arrow-batched pandas UDF that fills a whole batch of
     rows with vectorised numpy; identifiers stay in the JVM. Same arithmetic
-    as ``interpolate_linear``; NaN comes back as null. Projections are sent as
-    SQL-expression lists (two calls, not several per column).
+    as ``interpolate_linear``; NaN comes back as null. ``value_sql`` turns a
+    (quoted) column into its double value inside the array expression, so
+    parsing and casting happen in the same narrow projection. Projections are
+    sent as SQL-expression lists (two calls, not several per column).
     """
     def q(c):
         return "`" + c.replace("`", "``") + "`"
 
-    arr = F.expr("array(" + ", ".join(f"CAST({q(c)} AS DOUBLE)" for c in value_cols) + ")")
+    arr = F.expr("array(" + ", ".join(value_sql.replace("{c}", q(c)) for c in value_cols) + ")")
     keep = [q(c) for c in df.columns if c not in set(value_cols)]
     with_arr = df.select(*[F.col(c) for c in keep], _interp_udf()(arr).alias("_filled"))
     filled = {c: f"CASE WHEN isnan(_filled[{i}]) THEN CAST(NULL AS DOUBLE) "

@@ -45,18 +45,24 @@ def clean_cells(spark: SparkSession, pattern: str | list[str], id_cols=None,
 
 def clean_wide(group: WideGroup, na_tokens=PANDAS_NA_TOKENS) -> DataFrame:
     """One header group cleaned in wide form: identifiers trimmed, NA tokens
-    null, measures as doubles with interior gaps filled; plus ``file``."""
+    null, measures as doubles with interior gaps filled; plus ``file``.
+
+    Token check, trim and cast are folded into the array handed to the fill,
+    so no intermediate projection carries all measure columns."""
     df = group.df
     types = dict(df.dtypes)
-    sel = [trim_all(f"`{c}`").alias(c) if types[c] == "string" else F.col(f"`{c}`")
+    ids = [trim_all(f"`{c}`").alias(c) if types[c] == "string" else F.col(f"`{c}`")
            for c in group.id_cols]
-    for c in group.measure_cols:
-        raw = F.col(f"`{c}`")
-        if na_tokens:
-            raw = F.when(raw.isin(list(na_tokens)), F.lit(None)).otherwise(raw)
-        sel.append(F.trim(raw).try_cast("double").alias(c))
-    sel.append(F.element_at(F.split("source_file", "/"), -1).alias("file"))
-    return interpolate_wide(df.select(*sel), list(group.measure_cols))
+    base = df.select(*ids, *[F.col(f"`{c}`") for c in group.measure_cols],
+                     F.element_at(F.split("source_file", "/"), -1).alias("file"))
+    if na_tokens:
+        tokens = ", ".join("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'"
+                           for t in na_tokens)
+        value_sql = (f"try_cast(trim(CASE WHEN {{c}} IN ({tokens}) THEN NULL ELSE {{c}} END) "
+                     "AS DOUBLE)")
+    else:
+        value_sql = "try_cast(trim({c}) AS DOUBLE)"
+    return interpolate_wide(base, list(group.measure_cols), value_sql)
 
 
 def clean_files(spark: SparkSession, raw_dir: str, out_dir: str, files,
