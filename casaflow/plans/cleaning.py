@@ -43,6 +43,12 @@ def clean_cells(spark: SparkSession, pattern: str | list[str], id_cols=None,
     return interpolate_linear(cells, ROW_KEY, "pos", "value")
 
 
+def input_name(path_col: str) -> F.Column:
+    """Name of the input a row came from: the file name, or for a directory
+    of part files the directory's name (without a ``key=`` prefix)."""
+    return F.regexp_extract(F.col(path_col), r"(?:[^/=]*=)?([^/]+?)(?:/part-[^/]*)?$", 1)
+
+
 def clean_wide(group: WideGroup, na_tokens=PANDAS_NA_TOKENS) -> DataFrame:
     """One header group cleaned in wide form: identifiers trimmed, NA tokens
     null, measures as doubles with interior gaps filled; plus ``file``.
@@ -54,7 +60,7 @@ def clean_wide(group: WideGroup, na_tokens=PANDAS_NA_TOKENS) -> DataFrame:
     ids = [trim_all(f"`{c}`").alias(c) if types[c] == "string" else F.col(f"`{c}`")
            for c in group.id_cols]
     base = df.select(*ids, *[F.col(f"`{c}`") for c in group.measure_cols],
-                     F.element_at(F.split("source_file", "/"), -1).alias("file"))
+                     input_name("source_file").alias("file"))
     if na_tokens:
         tokens = ", ".join("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'"
                            for t in na_tokens)

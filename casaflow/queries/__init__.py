@@ -356,6 +356,24 @@ def interpolate_wide_rows(spark, sf_dir):
     return _round(long.select(*SERIES, "metric_date", "house_value"), ["house_value"])
 
 
+@register
+def clean_house_value_files(spark, sf_dir):
+    """The cleaning job over wide house-value CSVs derived from the test
+    tables: identifiers trimmed, NA tokens null, interior gaps of every row
+    filled (no shuffle); reported as cells per (region, tier, month)."""
+    from casaflow.functions import header_date
+    from casaflow.plans.cleaning import clean_wide
+    from casaflow.sources.wide_csv import scan_wide
+    out = None
+    for g in scan_wide(spark, _hv_csv_files(spark, sf_dir), n_ids=8):
+        cleaned = clean_wide(g).withColumn("home_tier", tier_from_path("file"))
+        cols = [(c, header_date(c), i) for i, c in enumerate(g.measure_cols)]
+        long = unpivot_wide(cleaned, ["RegionName", "home_tier"], cols, "house_value")
+        out = long if out is None else out.unionByName(long)
+    return _round(out.select(F.col("RegionName").alias("region_name"), "home_tier",
+                             "metric_date", "house_value"), ["house_value"])
+
+
 def _date_texts(spark, sf_dir):
     o = TD.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate",
                                                  "o_totalprice", "o_orderpriority")
