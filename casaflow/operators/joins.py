@@ -10,9 +10,10 @@ MAX_BROADCAST_ROWS = 1_000_000
 
 
 def fits_broadcast(stored: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Row-count check for a *stored* table (a count over materialised data is
-    cheap; do not call it on an expensive unmaterialised plan)."""
-    return stored.count() <= max_rows
+    """Row-count check for a *stored* table (do not call it on an expensive
+    unmaterialised plan). Counting stops after ``max_rows + 1`` rows, so the
+    check stays cheap however large the table is."""
+    return stored.limit(max_rows + 1).count() <= max_rows
 
 
 def sized_broadcast(stored: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:

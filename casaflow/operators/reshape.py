@@ -10,6 +10,16 @@ from pyspark.sql import functions as F
 from casaflow.functions import replace_values, snake_case
 
 
+def distinct_values(df: DataFrame, col: str, limit: int = 10_000) -> list:
+    """Sorted distinct non-null values of a column that becomes a wide
+    header (e.g. months: bounded by the calendar, not by the data). The
+    guard mirrors Spark's own pivot limit."""
+    vals = sorted(r[0] for r in df.select(col).distinct().collect() if r[0] is not None)
+    if len(vals) > limit:
+        raise ValueError(f"{len(vals)} distinct values of {col} exceed the wide-header limit")
+    return vals
+
+
 def split_columns(columns: list[str], id_cols=None, n_ids: int | None = None):
     """Identifiers vs measure columns: by name list, or by leading position."""
     if id_cols is not None:

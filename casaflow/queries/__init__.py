@@ -26,7 +26,7 @@ from casaflow.operators.geo import distinct_on, geo_candidates
 from casaflow.operators.joins import fits_broadcast
 from casaflow.operators.merge import duplicate_keys as _dups
 from casaflow.operators.merge import orphan_keys
-from casaflow.operators.reshape import rename_snake, to_wide, unpivot_wide
+from casaflow.operators.reshape import distinct_values, rename_snake, to_wide, unpivot_wide
 from casaflow.plans.final import (batch_fact, batch_facts, build_dim, upsert_dim_rows,
                                   upsert_fact, upsert_legacy)
 from casaflow.plans.landing import reject_report as _reject_report
@@ -296,15 +296,9 @@ SPLIT_NEW = "1998-01-01"     # incoming batch: months from this day (overlap 199
 
 
 def distinct_months(df: DataFrame, col: str = "metric_date", limit: int = 10_000):
-    """The sorted month list that becomes the wide header.
-
-    Bounded by the calendar (12 per year), not by the data; the guard mirrors
-    Spark's own pivot limit.
-    """
-    months = sorted(r[0] for r in df.select(col).distinct().collect() if r[0] is not None)
-    if len(months) > limit:
-        raise ValueError(f"{len(months)} distinct months exceed the pivot limit")
-    return months
+    """The sorted month list that becomes the wide header (bounded by the
+    calendar, 12 per year)."""
+    return distinct_values(df, col, limit)
 
 
 @functools.lru_cache(maxsize=32)
