@@ -87,10 +87,17 @@ def default_metros(panel: DataFrame, preferred=PREFERRED_METROS,
             .where(F.col("_pref") | ~F.col("_any")).select("metro"))
 
 
-def select_metros(panel: DataFrame, metros: DataFrame | list[str]) -> DataFrame:
-    """Keep the panel rows of the selected metros (IN-list or semi-join)."""
+def select_metros(panel: DataFrame, metros: DataFrame | list[str],
+                  max_rows: int | None = None) -> DataFrame:
+    """Keep the panel rows of the selected metros (IN-list or semi-join).
+
+    A selection frame is broadcast only when the caller knows its size bound
+    (``max_rows``, e.g. the top-k default selection); otherwise the semi-join
+    is left to AQE's runtime size check.
+    """
     if isinstance(metros, DataFrame):
-        return panel.join(F.broadcast(metros.select("metro")), "metro", "left_semi")
+        m = metros.select("metro")
+        return panel.join(F.broadcast(m) if max_rows is not None else m, "metro", "left_semi")
     return panel.where(F.col("metro").isin(list(metros)))
 
 

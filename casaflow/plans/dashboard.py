@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 
 from casaflow.operators import panel as P
 from casaflow.operators.joins import fits_broadcast
-from casaflow.schemas import DEFAULT_STATE, PREFERRED_METROS
+from casaflow.schemas import DEFAULT_METRO_COUNT, DEFAULT_STATE, PREFERRED_METROS
 
 
 class Dashboard:
@@ -29,7 +29,9 @@ class Dashboard:
         return P.default_metros(self.panel, self.preferred)
 
     def selected(self, metros: DataFrame | list[str] | None = None) -> DataFrame:
-        return P.select_metros(self.panel, self.default_metros() if metros is None else metros)
+        if metros is None:  # the default selection has at most DEFAULT_METRO_COUNT rows
+            return P.select_metros(self.panel, self.default_metros(), DEFAULT_METRO_COUNT)
+        return P.select_metros(self.panel, metros)
 
     def feeds(self, metros: DataFrame | list[str] | None = None) -> dict[str, DataFrame]:
         sel = self.selected(metros)

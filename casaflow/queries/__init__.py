@@ -30,6 +30,7 @@ from casaflow.operators.reshape import distinct_values, rename_snake, to_wide, u
 from casaflow.plans.final import (batch_fact, batch_facts, build_dim, upsert_dim_rows,
                                   upsert_fact, upsert_legacy)
 from casaflow.plans.landing import reject_report as _reject_report
+from casaflow.schemas import DEFAULT_METRO_COUNT
 from casaflow.session import checkpoint_root
 from casaflow.sources import testdata as TD
 
@@ -106,7 +107,7 @@ def _panel(spark, sf_dir, state=TD.TEST_STATE):
 @functools.lru_cache(maxsize=32)
 def _selected(spark, sf_dir):
     panel = _panel(spark, sf_dir)
-    return P.select_metros(panel, P.default_metros(panel))
+    return P.select_metros(panel, P.default_metros(panel), DEFAULT_METRO_COUNT)
 
 
 PANEL_AMOUNTS = ("avg_house_value", "rental_income", "monthly_payment", "cash_flow")
