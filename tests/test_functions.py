@@ -80,3 +80,12 @@ def test_sizing():
     small = sizing(10 * MB, 8)
     assert int(small["spark.sql.files.maxPartitionBytes"]) == 32 * MB
     assert int(small["spark.sql.shuffle.partitions"]) == 24
+
+
+def test_checkpoint_root_uses_the_configured_folder(spark):
+    from casaflow.session import checkpoint_root, scratch_path
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    root = checkpoint_root(spark)
+    assert configured and root.rstrip("/").endswith(configured.rstrip("/").split(":")[-1])
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and a.startswith(root.rstrip("/"))
