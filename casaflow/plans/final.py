@@ -166,3 +166,28 @@ def load_legacy(spark: SparkSession, landings: dict[str, DataFrame],
         old = current.get(name, empty(spark, schema))
         out[name] = upsert_legacy(old, batch, measure, touch, now)
     return out
+
+
+# table -> (unique keys..., foreign key to the dimension or None)
+CONSTRAINTS = {
+    "dim_geography": ([["metro"], ["geo_key"]], None),
+    "fact_house_value": ([FACT_KEYS], "geo_key"),
+    "fact_monthly_payment": ([FACT_KEYS], "geo_key"),
+    "fact_rental_income": ([FACT_KEYS], "geo_key"),
+    "house_value": ([LEGACY_KEYS], None),
+    "monthly_payment": ([LEGACY_KEYS], None),
+    "rental_income": ([LEGACY_KEYS], None),
+}
+
+
+def check_tables(tables: dict[str, DataFrame]) -> None:
+    """Uniqueness and reference checks on *written* tables (cheap scans of
+    materialised data), before a version is published. A duplicate key in an
+    incoming batch shows up here as a duplicate key of the merged table."""
+    dim = tables.get("dim_geography")
+    for name, df in tables.items():
+        uniques, fk = CONSTRAINTS.get(name, ([], None))
+        for keys in uniques:
+            assert_unique(df, keys, name)
+        if fk and dim is not None:
+            assert_no_orphans(df, dim, fk, name)

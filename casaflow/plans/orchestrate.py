@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from casaflow.plans.cleaning import clean_files
 from casaflow.plans.dashboard import export_feeds
-from casaflow.plans.final import load_final, load_legacy
+from casaflow.plans.final import check_tables, load_final, load_legacy
 from casaflow.plans.landing import land
 from casaflow.schemas import CLEANING_FILES, DEFAULT_STATE, LANDING_SPECS, METRO_ALIASES
 from casaflow.sinks.publish import Publication, read_current
@@ -77,13 +77,15 @@ def run(spark: SparkSession, cfg: PipelineConfig) -> str:
                    for name, spec in LANDING_SPECS.items()}
         landings = {name: f.result() for name, f in futures.items()}
     current = read_current(spark, cfg.store_root, FINAL_TABLES + LEGACY_TABLES)
+    # tables are computed once, written, and checked on the written copies
+    # (cheap scans) before the version is published
     final = load_final(spark, landings, current, cfg.aliases, cfg.alias_house_value,
-                       collation=cfg.collation)
-    for name, df in final.tables().items():
-        pub.write(name, df)
+                       check=False, collation=cfg.collation)
+    written = {name: pub.write(name, df) for name, df in final.tables().items()}
     if cfg.legacy:
-        for name, df in load_legacy(spark, landings, current).items():
-            pub.write(name, df)
+        for name, df in load_legacy(spark, landings, current, check=False).items():
+            written[name] = pub.write(name, df)
+    check_tables(written)
     version = pub.commit()
     if cfg.feeds_dir:
         t = read_current(spark, cfg.store_root, FINAL_TABLES)
