@@ -57,9 +57,13 @@ def stream_upsert(stream: DataFrame, log_root: str, checkpoint: str,
     ``compact``. Duplicate keys inside one batch fail it.
     """
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        assert_unique(batch, list(keys), "micro-batch")
-        (batch.write.mode("overwrite")
-         .parquet(f"{log_root.rstrip('/')}/batch={batch_id:012d}"))
+        batch = batch.persist()  # checked and written: compute the micro-batch once
+        try:
+            assert_unique(batch, list(keys), "micro-batch")
+            (batch.write.mode("overwrite")
+             .parquet(f"{log_root.rstrip('/')}/batch={batch_id:012d}"))
+        finally:
+            batch.unpersist()
 
     return (stream.writeStream.foreachBatch(write_batch)
             .option("checkpointLocation", checkpoint)
