@@ -89,3 +89,19 @@ def test_checkpoint_root_uses_the_configured_folder(spark):
     assert configured and root.rstrip("/").endswith(configured.rstrip("/").split(":")[-1])
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(root.rstrip("/"))
+
+
+def test_apply_sizing_reads_metadata_only(spark, tmp_dir):
+    import os
+    from casaflow.session import MB, apply_sizing, input_size
+    with open(os.path.join(tmp_dir, "a.csv"), "w") as f:
+        f.write("x" * 1000)
+    assert input_size(spark, tmp_dir) == 1000
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        conf = apply_sizing(spark, tmp_dir)
+        assert int(conf["spark.sql.files.maxPartitionBytes"]) == 32 * MB
+        assert spark.conf.get("spark.sql.shuffle.partitions") == conf["spark.sql.shuffle.partitions"]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
