@@ -132,7 +132,12 @@ def test_pipeline_lake_and_jdbc_landing(spark, tmp_dir):
     # the command-line entry point runs the same job
     store2 = os.path.join(tmp_dir, "store2")
     feeds = os.path.join(tmp_dir, "feeds")
-    version = main(["--raw", raw, "--store", store2, "--feeds", feeds, "--state", "WA"])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        version = main(["--raw", raw, "--store", store2, "--feeds", feeds, "--state", "WA"])
+    finally:  # main() sizes the (shared) session; restore it for later tests
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert read_current(spark, store2, ["dim_geography"])["dim_geography"].count() == 2
     base = os.path.join(feeds, f"v={version}")
     assert sorted(os.listdir(base)) == sorted(
