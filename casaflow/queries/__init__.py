@@ -1,9 +1,11 @@
 """Registered queries over the driver's test tables.
 
-Each callable takes (spark, sf_dir), builds the landing frames from the whole
-test tables and runs library operators. Compared doubles are passed through
-``amt`` (4 decimals) or ``ratio`` (6 decimals) offset floors here only, never
-inside the library.
+Each callable takes (spark, sf_dir) and runs library operators over data
+derived from the whole test tables. Layers are materialised once per session
+(landing -> dimension -> facts, plus the wide and CSV inputs of the reshaping
+and cleaning queries) and each query computes its own layer from the one
+below. Compared doubles are passed through ``amt`` (4 decimals) or ``ratio``
+(6 decimals) offset floors here only, never inside the library.
 """
 
 from __future__ import annotations
