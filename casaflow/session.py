@@ -7,10 +7,12 @@ setting is absent (local runs and tests).
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -46,12 +48,42 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
+        if not (sc.master or "").startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="casaflow-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``casaflow`` importable in the Python workers: the package's sources
+    go out once per application as a zip (Spark serves it to the executors)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_casaflow_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(package):      # already a zip on sys.path under spark-submit --py-files
+        path = os.path.join(tempfile.mkdtemp(prefix="casaflow-py-"), "casaflow_src.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, names in os.walk(package):
+                for name in names:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        z.write(full, os.path.relpath(full, os.path.dirname(package)))
+        sc.addPyFile(path)
+    sc._casaflow_shipped = True
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared scratch root and read it back:
+    lineage ends at files that survive executors, and later plans get column
+    pruning, pushed filters and size statistics."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

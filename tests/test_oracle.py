@@ -10,7 +10,7 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 from tools.compare_oracle import TABLES, rows_of
 
-KEYS = sorted(E.queries())
+KEYS = sorted(E.Q.REGISTRY)
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +24,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(E.O.ORACLE) == set(KEYS)
 
 
 @pytest.mark.parametrize("key", KEYS)
