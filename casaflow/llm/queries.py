@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casaflow.llm import records
+from casaflow.llm.ngram_join import ngram_join
 from casaflow.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +36,10 @@ def op10_token_records(spark, sf_dir):
     records.write_records(table(spark, sf_dir, "documents"), folder,
                           public_tokenizers.path("byte_bpe_50k.json"))
     return records.read_records(spark, folder, with_ids=False)
+
+
+@register
+def op9_ngram_join(spark, sf_dir):
+    """Documents whose 3-word shingle sets have a Jaccard similarity of 0.9 or
+    more, as connected components."""
+    return ngram_join(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
