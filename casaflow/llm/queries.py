@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from casaflow.llm import records
 from casaflow.llm.ngram_join import ngram_join
+from casaflow.llm.url_filter import url_filter
 from casaflow.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +44,43 @@ def op9_ngram_join(spark, sf_dir):
     """Documents whose 3-word shingle sets have a Jaccard similarity of 0.9 or
     more, as connected components."""
     return ngram_join(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
+#: Rules of the URL query: (host, path prefix, action).
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
+             ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+#: The block list of the URL query: each name under each of the three domains.
+LISTED_NAMES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+LISTED_DOMAINS = ("example.com", "example.net", "example.org")
+
+
+@register
+def op3_url_filter(spark, sf_dir):
+    """Every page's url judged by rules, then by the block list."""
+    listed = spark.createDataFrame([(f"{n}.{d}",) for n in LISTED_NAMES for d in LISTED_DOMAINS], "key string")
+    return url_filter(table(spark, sf_dir, "pages"), URL_RULES, listed)
+
+
+_FIT = "(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
+_BY_LENGTH = sorted(URL_RULES, key=lambda r: -len(r[0] + r[1]))
+_LISTED = ", ".join(f"('{n}.{d}')" for n in LISTED_NAMES for d in LISTED_DOMAINS)
+
+ORACLE["op3_url_filter"] = f"""
+WITH parts AS (
+  SELECT page_id, coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+hosts AS (SELECT DISTINCT host FROM parts),
+on_list AS (
+  SELECT host, arg_max(k, length(k)) AS listed_key
+  FROM hosts JOIN (VALUES {_LISTED}) AS l(k) ON host = k OR ends_with(host, '.' || k)
+  GROUP BY host),
+judged AS (
+  SELECT *, CASE {" ".join(f"WHEN {_FIT.format(h=h, p=p)} THEN '{h}{p}'" for h, p, _ in _BY_LENGTH)} END AS rule,
+         CASE {" ".join(f"WHEN {_FIT.format(h=h, p=p)} THEN '{a}'" for h, p, a in _BY_LENGTH)} END AS action
+  FROM parts LEFT JOIN on_list USING (host))
+SELECT page_id, host, path, rule,
+       coalesce(action, CASE WHEN listed_key IS NULL THEN 'allow' ELSE 'block' END) AS verdict, listed_key
+FROM judged
+"""
