@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from casaflow.llm import records
 from casaflow.llm.ngram_join import ngram_join
+from casaflow.llm.topk import sign_code, topk_codes
 from casaflow.llm.url_filter import url_filter
 from casaflow.session import scratch_path
 
@@ -84,3 +85,28 @@ SELECT page_id, host, path, rule,
        coalesce(action, CASE WHEN listed_key IS NULL THEN 'allow' ELSE 'block' END) AS verdict, listed_key
 FROM judged
 """
+
+
+#: Neighbours of each query of the search.
+TOP_K = 10
+
+
+@register
+def op8_topk_codes(spark, sf_dir):
+    """The ten rows whose sign codes are nearest to each vector whose id is
+    divisible by 50, itself included."""
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), sign_code(F.col("embedding")).alias("code"))
+    return topk_codes(rows, rows.where("id % 50 = 0"), TOP_K)
+
+
+ORACLE["op8_topk_codes"] = f"""
+WITH codes AS (
+  SELECT vec_id AS id, [coalesce(x, 0) > 0 AND NOT isnan(coalesce(x, 0)) for x in embedding] AS code
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+pairs AS (
+  SELECT q.id AS query_id, r.id,
+         CAST(len([1 for p in list_zip(q.code, r.code) if p[1] <> p[2]]) AS INTEGER) AS distance
+  FROM codes q CROSS JOIN codes r WHERE q.id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS INTEGER) AS rank, id, distance
+FROM pairs QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, id) <= {TOP_K}
+"""
