@@ -62,6 +62,26 @@ class Bitmap:
         return (words[hashes >> 6] >> (hashes & 63).astype(np.uint64)) & np.uint64(1) != 0
 
 
+def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (sorted by key) whose key has another row; holds one row back."""
+    last: pa.RecordBatch | None = None
+    last_met = False
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column(0).to_numpy()
+        same = key[1:] == key[:-1]
+        before = last is not None and last.column(0)[0].as_py() == key[0]
+        if last is not None and (last_met or before):
+            yield last
+        met = np.concatenate([[before], same]) | np.append(same, False)
+        if met[:-1].any():
+            yield batch.slice(0, batch.num_rows - 1).filter(pa.array(met[:-1]))
+        last, last_met = batch.slice(batch.num_rows - 1), bool(met[-1])
+    if last is not None and last_met:
+        yield last
+
+
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Replace a partition's edges (u, v) by stars of its own components."""
     pairs = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]

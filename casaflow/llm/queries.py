@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casaflow.llm import records
+from casaflow.llm.embed_dedup import embed_dedup
 from casaflow.llm.ngram_join import ngram_join
 from casaflow.llm.topk import sign_code, topk_codes
 from casaflow.llm.url_filter import url_filter
@@ -110,3 +111,31 @@ pairs AS (
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS INTEGER) AS rank, id, distance
 FROM pairs QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, id) <= {TOP_K}
 """
+
+
+@register
+def op1_embed_dedup(spark, sf_dir):
+    """Vectors of one label with a cosine of 0.98 or more, as components."""
+    return embed_dedup(table(spark, sf_dir, "embeddings"), 0.98)
+
+
+ORACLE["op1_embed_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, [CAST(x AS DOUBLE) for x in embedding] AS e FROM embeddings),
+ok AS (
+  SELECT vec_id, label, e, sqrt(list_sum([x * x for x in e])) AS norm FROM v
+  WHERE label IS NOT NULL AND e IS NOT NULL AND len([1 for x in e if x IS NULL OR NOT isfinite(x)]) = 0
+    AND list_sum([x * x for x in e]) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id
+   AND list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.98),
+reach(node, root) AS (
+  SELECT vec_id, vec_id FROM v
+  UNION
+  SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.node),
+component AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node),
+counts AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN component ON node = vec_id LEFT JOIN counts ON a = vec_id
+"""
