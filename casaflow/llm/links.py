@@ -39,27 +39,28 @@ def split_groups(rows: DataFrame, key: str, member: str, limit: int = GROUP_LIMI
 
 
 class Bitmap:
-    """A fixed-size set of hashed keys: may hold more than was put in, never
-    less. 2^bits bits reach the driver as at most 2^bits / 64 words."""
+    """A fixed-size set of hashed keys: may pass more than was put in, never
+    less. Its 2^bits bits are a table of at most 2^bits / 64 words (2 MiB at the
+    default), so testing rows against it is a broadcast join of bounded size."""
 
-    def __init__(self, keys: DataFrame, key: Column, bits: int = 23):
+    def __init__(self, keys: DataFrame, key: Column | str, bits: int = 23):
         self.bits = bits
-        h = F.pmod(F.xxhash64(key), F.lit(1 << bits))
-        words = (keys.select(h.alias("h"))
-                 .groupBy(F.shiftrightunsigned("h", 6).alias("at"))
-                 .agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63L as int))")).alias("word")))
-        table = np.zeros(1 << (bits - 6), np.int64)
-        for r in words.toLocalIterator():
-            table[r["at"]] = r["word"]
-        self.shared = keys.sparkSession.sparkContext.broadcast(table.view(np.uint64))
-
-    def hash(self, key: Column) -> Column:
-        """The column a task tests with ``test``."""
-        return F.pmod(F.xxhash64(key), F.lit(1 << self.bits))
-
-    @staticmethod
-    def test(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-        return (words[hashes >> 6] >> (hashes & 63).astype(np.uint64)) & np.uint64(1) != 0
+        self.words = materialize(
+            keys.select(self._hash(key).alias("h")).groupBy(F.shiftright("h", 6).alias("_at"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63L as int))")).alias("_word")), "bitmap")
+
+    def _hash(self, key: Column | str) -> Column:
+        return F.pmod(F.xxhash64(F.lit(3), key), F.lit(1 << self.bits))
+
+    def flag(self, frame: DataFrame, key: Column | str, name: str) -> DataFrame:
+        """``frame`` with ``name``: whether the key may be in the set."""
+        hit = F.expr("shiftrightunsigned(_word, cast(_h & 63L as int)) & 1L = 1L")
+        return (frame.withColumn("_h", self._hash(key)).join(F.broadcast(self.words), F.shiftright("_h", 6) == F.col("_at"), "left")
+                .withColumn(name, F.coalesce(hit, F.lit(False))).drop("_h", "_at", "_word"))
+
+    def keep(self, frame: DataFrame, key: Column | str) -> DataFrame:
+        """The rows whose key may be in the set."""
+        return self.flag(frame, key, "_maybe").where("_maybe").drop("_maybe")
 
 
 def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

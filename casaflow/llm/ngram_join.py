@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from casaflow.llm.arrays import (U64, Forest, byte_chunks, column_bytes, key_runs, mix, run_bounds,
                                  shingles, word_hashes)
-from casaflow.llm.links import Bitmap, components, split_groups
+from casaflow.llm.links import Bitmap, components, repeated, split_groups
 from casaflow.session import materialize, ship_package
 
 GROUPS = 64          # coordinates of a count vector
@@ -251,7 +251,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               .withColumnRenamed("row", "rep"))
 
     routes = points.select(F.explode("keys").alias("key"), "rep").repartition("key").sortWithinPartitions("key")
-    met = materialize(routes.mapInArrow(_repeated, "key long, rep long"), "ngram-routes")
+    met = materialize(routes.mapInArrow(repeated, "key long, rep long"), "ngram-routes")
     # many nodes are met by the same rows: one of them is enough
     nodes = (met.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("s"), F.min("rep").alias("m"))
              .groupBy("c", "s", "m").agg(F.min("key").alias("key")).select("key"))
@@ -276,50 +276,23 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (sorted by key) whose key has another row; holds one row back."""
-    last: pa.RecordBatch | None = None
-    last_met = False
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        key = batch.column(0).to_numpy()
-        same = key[1:] == key[:-1]
-        before = last is not None and last.column(0)[0].as_py() == key[0]
-        if last is not None and (last_met or before):
-            yield last
-        met = np.concatenate([[before], same]) | np.append(same, False)
-        if met[:-1].any():
-            yield batch.slice(0, batch.num_rows - 1).filter(pa.array(met[:-1]))
-        last, last_met = batch.slice(batch.num_rows - 1), bool(met[-1])
-    if last is not None and last_met:
-        yield last
-
-
 def _wanted_sets(texts: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """(rep, tokens) of the wanted rows, computed again from their texts: a
     scan passes a fixed-size bitmap of the wanted ids, an exact join follows."""
-    filt = Bitmap(wanted, F.coalesce(F.col("rep_id"), F.lit(-1)))
-    shared = filt.shared
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
         for batch in batches:
-            hit = Bitmap.test(words, batch.column(0).to_numpy())
-            if not hit.any():
-                continue
-            batch = batch.filter(pa.array(hit))
             d1, d2, tokens = [], [], []
-            for _, own in _sets(batch, 2, k):
+            for _, own in _sets(batch, 1, k):
                 h = mix(own + U64(len(own)))
                 d1.append(int(h.sum(dtype=U64).view(np.int64)))
                 d2.append(int(mix(h).sum(dtype=U64).view(np.int64)))
                 tokens.append(own.tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(tokens, pa.binary())],
+                [batch.column(0), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(tokens, pa.binary())],
                 names=["id", "e1", "e2", "tokens"])
 
-    found = (texts.select(filt.hash(F.coalesce("doc_id", F.lit(-1))).alias("h"), "doc_id", "text")
-             .mapInArrow(compute, "id long, e1 long, e2 long, tokens binary"))
+    near = Bitmap(wanted, F.coalesce("rep_id", F.lit(-1))).keep(texts, F.coalesce("doc_id", F.lit(-1)))
+    found = near.select("doc_id", "text").mapInArrow(compute, "id long, e1 long, e2 long, tokens binary")
     on = F.col("id").eqNullSafe(F.col("rep_id")) & (F.col("e1") == F.col("d1")) & (F.col("e2") == F.col("d2"))
     return wanted.join(found, on).select("rep", "tokens").dropDuplicates(["rep"])

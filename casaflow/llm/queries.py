@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from casaflow.llm import records
 from casaflow.llm.embed_dedup import embed_dedup
 from casaflow.llm.ngram_join import ngram_join
+from casaflow.llm.suffix_dedup import dedup_strings
 from casaflow.llm.topk import sign_code, topk_codes
 from casaflow.llm.url_filter import url_filter
 from casaflow.session import scratch_path
@@ -139,3 +140,18 @@ counts AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
 SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
 FROM v JOIN component ON node = vec_id LEFT JOIN counts ON a = vec_id
 """
+
+
+#: Bytes of a repeated string.
+REPEAT_BYTES = 400
+
+
+@register
+def op7_suffix_dedup(spark, sf_dir):
+    """Documents without the bytes of strings of 400 bytes that occur twice."""
+    out = dedup_strings(table(spark, sf_dir, "documents"), REPEAT_BYTES)
+    removed = F.aggregate(F.coalesce("spans", F.array().cast("array<struct<start:long,end:long>>")), F.lit(0).cast("long"),
+                          lambda s, x: s + x["end"] - x["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"),
+                      F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
