@@ -26,7 +26,9 @@ def split_groups(rows: DataFrame, key: str, member: str, limit: int = GROUP_LIMI
     members still meet in one cell: nothing is capped.
     """
     sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
-    sizes = sizes.select(F.col(key).alias("_k"), F.ceil(F.col("_n") / limit).cast("int").alias("_chunks"))
+    sizes = materialize(sizes.select(F.col(key).alias("_k"), F.ceil(F.col("_n") / limit).cast("int").alias("_chunks")), "hot-groups")
+    if sizes.isEmpty():
+        return rows.withColumns({"cell": F.col(key), "side": F.lit(0)})
     joined = rows.join(sizes, F.col(key) == F.col("_k"), "left").drop("_k")
     chunk = F.pmod(F.xxhash64(F.lit(11), F.col(member)), F.col("_chunks")).cast("int")
     other = F.explode(F.when(F.col("_chunks").isNull(), F.array(F.lit(0)))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from casaflow.llm import records
 from casaflow.llm.embed_dedup import embed_dedup
+from casaflow.llm.line_dedup import line_dedup
 from casaflow.llm.ngram_join import ngram_join
 from casaflow.llm.suffix_dedup import dedup_strings
 from casaflow.llm.topk import sign_code, topk_codes
@@ -155,3 +156,12 @@ def op7_suffix_dedup(spark, sf_dir):
     return out.select("doc_id", "n_bytes", removed.alias("n_removed"),
                       F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"),
                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register
+def op2_line_dedup(spark, sf_dir):
+    """Documents without near-repeated lines: what is left of each text."""
+    docs = table(spark, sf_dir, "documents")
+    return line_dedup(docs).select(
+        "doc_id", F.size(F.split("text", "\n")).cast("long").alias("n_lines"), F.length("text").cast("long").alias("n_kept_chars"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
