@@ -59,6 +59,9 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Bytes between terms: all ASCII but letters and digits.
+NO_TERM = np.zeros(256, dtype=bool)
+NO_TERM[[c for c in range(128) if not chr(c).isalnum()]] = True
 
 
 def column_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -76,20 +79,23 @@ def column_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat, offsets - offsets[0]
 
 
-def word_hashes(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the lower-cased words of consecutive texts, and each text's
-    offsets into them. Words never cross texts."""
-    n = len(offsets) - 1
-    if not len(flat):
-        return np.empty(0, U64), np.zeros(n + 1, np.int64)
-    inside = ~SPACE[flat]
+def word_starts(flat: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """Where the runs of ``inside`` bytes begin; runs never cross texts."""
     begin = inside.copy()
     begin[1:] &= ~inside[:-1]
     edge = offsets[:-1][offsets[:-1] < len(flat)]
     begin[edge] = inside[edge]
-    starts = np.flatnonzero(begin)
-    hashes = segment_hashes(LOWER[flat], starts, inside)
-    return hashes, np.searchsorted(starts, offsets)
+    return np.flatnonzero(begin)
+
+
+def word_hashes(flat: np.ndarray, offsets: np.ndarray, apart: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the lower-cased words (runs of bytes not in the table
+    ``apart``) of consecutive texts, and each text's offsets into them."""
+    if not len(flat):
+        return np.empty(0, U64), np.zeros(len(offsets), np.int64)
+    inside = ~apart[flat]
+    starts = word_starts(flat, offsets, inside)
+    return segment_hashes(LOWER[flat], starts, inside), np.searchsorted(starts, offsets)
 
 
 def shingles(words: np.ndarray, k: int) -> np.ndarray:

@@ -17,6 +17,7 @@ from casaflow.llm.line_dedup import line_dedup
 from casaflow.llm.ngram_join import ngram_join
 from casaflow.llm.suffix_dedup import dedup_strings
 from casaflow.llm.topk import sign_code, topk_codes
+from casaflow.llm.toxicity import fit_toxicity, score_toxicity
 from casaflow.llm.url_filter import url_filter
 from casaflow.session import scratch_path
 
@@ -165,3 +166,25 @@ def op2_line_dedup(spark, sf_dir):
     return line_dedup(docs).select(
         "doc_id", F.size(F.split("text", "\n")).cast("long").alias("n_lines"), F.length("text").cast("long").alias("n_kept_chars"),
         F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+#: Scores from which a document counts as toxic.
+TOXIC_FROM = 0.7
+
+
+def held_out(doc_id):
+    """The third of the documents whose labels are never learned from."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def toxicity_model(spark, docs, sf_dir):
+    return fit_toxicity(docs, table(spark, sf_dir, "labels").where(~held_out("doc_id")))
+
+
+@register
+def op4_toxicity(spark, sf_dir):
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_toxicity(docs, toxicity_model(spark, docs, sf_dir))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
