@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from casaflow.llm import records
 from casaflow.llm.embed_dedup import embed_dedup
 from casaflow.llm.line_dedup import line_dedup
+from casaflow.llm.mixing import mix_sources, word_count
 from casaflow.llm.ngram_join import ngram_join
+from casaflow.llm.packing import pack
 from casaflow.llm.suffix_dedup import dedup_strings
 from casaflow.llm.topk import sign_code, topk_codes
 from casaflow.llm.toxicity import fit_toxicity, score_toxicity
@@ -188,3 +190,83 @@ def op4_toxicity(spark, sf_dir):
     scored = score_toxicity(docs, toxicity_model(spark, docs, sf_dir))
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
                          (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
+@register
+def op5_packing(spark, sf_dir):
+    """Every document's pieces in bins of the permitted sequence lengths."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", word_count(F.col("text")).alias("n_tokens"))
+    return pack(docs)
+
+
+#: The mixture: weights by domain, language and source; share of the tokens.
+MIX_WEIGHTS = [("crawl", 0.4), ("web", 0.35), ("books", 0.25),
+               *[(f"{d}/{lang}", w) for d in ("crawl", "web", "books")
+                 for lang, w in (("en", 0.55), ("de", 0.2), ("fr", 0.15), ("es", 0.1))],
+               ("web/en/src1", 3.0), ("books/en/src10", 2.0)]
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.8, 2, 1
+
+
+def mix_domain(source="source"):
+    """src0 is a crawl, src1 to src9 the web, all others books."""
+    c = F.col(source)
+    return F.when(c == "src0", "crawl").when(c.rlike("^src[1-9]$"), "web").otherwise("books")
+
+
+def mixture(docs):
+    return mix_sources(docs, MIX_WEIGHTS, MIX_SHARE, mix_domain(), MIX_SEED, MIX_EPOCHS)
+
+
+@register
+def op6_mixing(spark, sf_dir):
+    """The documents of the mixture, a row for every epoch that takes them."""
+    return mixture(table(spark, sf_dir, "documents")).select("doc_id", "mix_epoch", "lang", "source")
+
+
+def _share_out(source: str, family: str, name: str) -> str:
+    """SQL of one level of the budget tree."""
+    by = f"PARTITION BY {family}" if family else ""
+    keys = f"{family}, {name}" if family else name
+    over = f"OVER ({by} ORDER BY cap / w, {name} ROWS BETWEEN"
+    return f"""
+  SELECT {keys}, least(cap, greatest(water * w, 0)) AS got FROM (
+    SELECT *, max(level) OVER ({by}) AS water FROM (
+      SELECT *, (budget - coalesce(sum(cap) {over} UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                / sum(w) {over} CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM ({source})))"""
+
+
+_WEIGHTS = ", ".join(f"('{p}', {w}::DOUBLE)" for p, w in MIX_WEIGHTS)
+_W = "coalesce((SELECT weight FROM weights WHERE path = {p}), 1.0::DOUBLE) AS w"
+_G0 = f"""SELECT m_domain, sum(tokens) * {MIX_EPOCHS}::DOUBLE AS cap, {_W.format(p="m_domain")},
+           (SELECT floor(sum(tokens) * {MIX_SHARE}::DOUBLE) FROM leaves) AS budget FROM leaves GROUP BY m_domain"""
+_G1 = f"""SELECT l.m_domain, l.m_lang, sum(tokens) * {MIX_EPOCHS}::DOUBLE AS cap, any_value(got) AS budget,
+           {_W.format(p="l.m_domain || '/' || l.m_lang")} FROM leaves l JOIN g0 USING (m_domain) GROUP BY l.m_domain, l.m_lang"""
+_G2 = f"""SELECT l.m_domain, l.m_lang, l.m_source, tokens * {MIX_EPOCHS}::DOUBLE AS cap, got AS budget,
+           {_W.format(p="l.m_domain || '/' || l.m_lang || '/' || l.m_source")} FROM leaves l JOIN g1 USING (m_domain, m_lang)"""
+MIX_SQL = f"""
+weights(path, weight) AS (VALUES {_WEIGHTS}),
+d AS (
+  SELECT *, CASE WHEN source = 'src0' THEN 'crawl' WHEN regexp_matches(source, '^src[1-9]$') THEN 'web' ELSE 'books' END AS m_domain,
+         coalesce(lang, '') AS m_lang, coalesce(source, '') AS m_source,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n,
+         coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, '')) AS place
+  FROM docs),
+leaves AS (SELECT m_domain, m_lang, m_source, CAST(sum(n) AS BIGINT) AS tokens FROM d GROUP BY ALL),
+g0 AS ({_share_out(_G0, "", "m_domain")}),
+g1 AS ({_share_out(_G1, "m_domain", "m_lang")}),
+g2 AS ({_share_out(_G2, "m_domain, m_lang", "m_source")}),
+quota AS (
+  SELECT m_domain, m_lang, m_source, CASE WHEN tokens > 0 THEN CAST(floor(got + 1e-6) AS BIGINT) // tokens ELSE 0 END AS whole,
+         CASE WHEN tokens > 0 THEN CAST(floor(got + 1e-6) AS BIGINT) % tokens ELSE 0 END AS rest
+  FROM g2 JOIN leaves USING (m_domain, m_lang, m_source)),
+keyed AS (
+  SELECT d.*, whole, rest, md5('{MIX_SEED}:' || whole || ':' || place) AS key
+  FROM d JOIN quota USING (m_domain, m_lang, m_source)),
+placed AS (
+  SELECT *, CAST(sum(n) OVER (PARTITION BY m_domain, m_lang, m_source ORDER BY key) AS BIGINT) AS ends FROM keyed),
+mixed AS (
+  SELECT * EXCLUDE (epochs), CAST(unnest(range(epochs)) AS INTEGER) AS mix_epoch
+  FROM (SELECT *, whole + CASE WHEN rest > 0 AND key <= (
+          SELECT max(p.key) FROM placed p WHERE p.ends <= p.rest AND p.m_domain = placed.m_domain AND p.m_lang = placed.m_lang
+             AND p.m_source = placed.m_source) THEN 1 ELSE 0 END AS epochs FROM placed) WHERE epochs > 0)"""
+ORACLE["op6_mixing"] = f"WITH docs AS (SELECT * FROM documents), {MIX_SQL}\nSELECT doc_id, mix_epoch, lang, source FROM mixed"
