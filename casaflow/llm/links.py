@@ -65,6 +65,24 @@ class Bitmap:
         return self.flag(frame, key, "_maybe").where("_maybe").drop("_maybe")
 
 
+def without(frame: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """The rows of ``frame`` whose ``key`` is not in ``gone`` (null keys stay);
+    only rows that a bitmap of the gone keys passes are shuffled."""
+    flagged = Bitmap(gone, F.col(key)).flag(frame.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(frame.columns)])
+                                                         .alias("row"), F.col(key).alias("key")), F.col("key"), "maybe")
+    left = flagged.where("maybe").join(gone.select(F.col(key).alias("key")), "key", "left_anti").select("row")
+    both = left.unionByName(flagged.where("not maybe").select("row"))
+    return both.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(frame.columns)])
+
+
+def fresh(frame: DataFrame, name: str) -> str:
+    """``name``, with underscores until no column of ``frame`` has it."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (sorted by key) whose key has another row; holds one row back."""
     last: pa.RecordBatch | None = None

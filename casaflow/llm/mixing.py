@@ -77,8 +77,8 @@ def epoch_key(seed: int, epoch: Column, doc_id: Column, text: Column) -> Column:
 
 def mix_sources(docs: DataFrame, weights: list[tuple[str, float]], budget_share: float, domain: Column, seed: int = 1,
                 max_epochs: int = 2, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                source_col: str = "source", bucket_digits: int = 3) -> DataFrame:
-    """The documents of the mixture: all columns of ``docs`` and ``mix_epoch``
+                source_col: str = "source", epoch_col: str = "mix_epoch", bucket_digits: int = 3) -> DataFrame:
+    """The documents of the mixture: all columns of ``docs`` and ``epoch_col``
     (from 0), a row for every epoch that takes the document.
 
     ``domain`` names each row's domain; the budget is ``budget_share`` of all
@@ -88,7 +88,7 @@ def mix_sources(docs: DataFrame, weights: list[tuple[str, float]], budget_share:
     the empty name. Null or empty texts have no tokens and come with any epoch
     that reaches their place. Very long texts are whole documents. An empty
     table gives an empty mixture. Extra columns may have any names but
-    ``mix_epoch``.
+    that of ``epoch_col``.
     """
     def text(c: Column) -> Column:
         return F.coalesce(c.cast("string"), F.lit(""))
@@ -123,4 +123,4 @@ def mix_sources(docs: DataFrame, weights: list[tuple[str, float]], budget_share:
     last = F.coalesce(epoch_key(seed, F.col("full"), F.col("id"), F.col("text")) <= F.col("cut"), F.lit(False))
     epochs = F.col("full") + F.when(last, 1).otherwise(0)
     each = taken.withColumn("epochs", epochs).where("epochs > 0").select("row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("epochs") - 1)).alias("epoch"))
-    return each.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)], F.col("epoch").cast("int").alias("mix_epoch"))
+    return each.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)], F.col("epoch").cast("int").alias(epoch_col))

@@ -213,8 +213,8 @@ def mix_domain(source="source"):
     return F.when(c == "src0", "crawl").when(c.rlike("^src[1-9]$"), "web").otherwise("books")
 
 
-def mixture(docs):
-    return mix_sources(docs, MIX_WEIGHTS, MIX_SHARE, mix_domain(), MIX_SEED, MIX_EPOCHS)
+def mixture(docs, epoch_col="mix_epoch"):
+    return mix_sources(docs, MIX_WEIGHTS, MIX_SHARE, mix_domain(), MIX_SEED, MIX_EPOCHS, epoch_col=epoch_col)
 
 
 @register
