@@ -10,9 +10,10 @@ two sets is at most the sum over the groups of the smaller count.
   nodes named by its first shingles. The order puts frequent shingles last (a
   heuristic that only keeps nodes small; any order gives the same links).
 * Each node packs the points that reach it into an R-tree and keeps the pairs
-  whose bound allows the link; what hangs together becomes a small cluster.
-* Clusters get the whole sets and verify pairs exactly; pairs already linked
-  through others are skipped, so a group of copies costs no square of links.
+  whose bound allows the link; what hangs together over all nodes is a family.
+* Families get the whole sets, each set once, and verify pairs exactly; pairs
+  already linked through others are skipped, so a group of copies costs no
+  square of links.
 * Links run through distributed connected components.
 """
 
@@ -117,8 +118,8 @@ class CountTree:
         return passes(self.counts, self.sizes, self.sizes, at)
 
 
-def _clusters(num: int, den: int):
-    """Per node: R-tree search, then the connected sets of candidates."""
+def _candidates(num: int, den: int):
+    """Per node: R-tree search; a forest over the candidate pairs as (a, b)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in key_runs(batches, "cell"):
@@ -133,14 +134,8 @@ def _clusters(num: int, den: int):
             for lo, hi in zip(cuts[:-1], cuts[1:]):
                 if hi - lo > 2:
                     labels[lo:hi] = lo + _candidate_groups(n[lo:hi], counts[lo:hi], side[lo:hi], num, den)
-            size = np.bincount(labels, minlength=len(cell))[labels]
-            keep = np.flatnonzero(size > 1)
-            if not len(keep):
-                continue
-            # a cluster's name is the hash of its members, so equal clusters of many nodes are one
-            name = np.zeros(len(cell), U64)
-            np.add.at(name, labels[keep], mix(rep[keep].view(U64) + U64(1)))
-            yield pa.RecordBatch.from_pydict({"cluster": mix(name[labels[keep]]).view(np.int64), "rep": rep[keep]})
+            tied = np.flatnonzero(labels != np.arange(len(cell)))
+            yield pa.RecordBatch.from_pydict({"a": rep[tied], "b": rep[labels[tied]]})
 
     return run
 
@@ -160,13 +155,15 @@ def _candidate_groups(sizes: np.ndarray, counts: np.ndarray, side: np.ndarray, n
 
 
 def _verify(num: int, den: int):
-    """Per cluster: exact Jaccard of pairs not linked yet; links as (a, b)."""
+    """Per family: exact Jaccard of the pairs that are not linked yet and whose
+    bound allows a link; links as (a, b)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in key_runs(batches, "cell"):
             cell, rep, side = (rows.column(c).to_numpy() for c in ("cell", "rep", "side"))
             flat, offsets = column_bytes(rows.column("tokens"))
             tokens, offsets = flat.view(U64), offsets // 8
+            counts = np.frombuffer(column_bytes(rows.column("counts"))[0], np.uint16).reshape(-1, GROUPS)
             links = []
             cuts = run_bounds(cell)
             for lo, hi in zip(cuts[:-1], cuts[1:]):
@@ -179,6 +176,8 @@ def _verify(num: int, den: int):
                                                & (sizes[i + 1:] * den >= sizes[i] * num) & (sizes[i] * den >= sizes[i + 1:] * num))
                     if two:
                         j = j[sides[j] != sides[i]]
+                    bound = np.minimum(counts[lo + j], counts[lo + i]).sum(axis=1, dtype=np.int64)
+                    j = j[bound >= _need(sizes[i], sizes[j], num, den)]
                     for other in j.tolist():
                         if label[other] != label[i]:
                             both = len(np.intersect1d(own[i], own[other], assume_unique=True))
@@ -257,12 +256,13 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .groupBy("c", "s", "m").agg(F.min("key").alias("key")).select("key"))
     cells = split_groups(met.join(nodes, "key", "left_semi"), "key", "rep")
     filled = cells.join(points.select("rep", "n", "counts"), "rep").select("cell", "rep", "n", "side", "counts")
-    clusters = materialize(filled.repartition("cell").sortWithinPartitions("cell", "rep")
-                           .mapInArrow(_clusters(num, den), "cluster long, rep long").distinct(), "ngram-clusters")
+    near = materialize(filled.repartition("cell").sortWithinPartitions("cell", "rep")
+                       .mapInArrow(_candidates(num, den), "a long, b long"), "ngram-candidates")
+    families = materialize(components(near), "ngram-families").select(F.col("node").alias("rep"), F.col("component").alias("family"))
 
-    wanted = clusters.select("rep").distinct().join(classes, "rep").select("rep", "rep_id", "d1", "d2")
-    sets = materialize(_wanted_sets(pick, wanted, k), "ngram-wanted")
-    dealt = split_groups(clusters, "cluster", "rep").join(sets, "rep").select("cell", "rep", "side", "tokens")
+    wanted = families.select("rep").join(classes, "rep").select("rep", "rep_id", "d1", "d2")
+    sets = materialize(_wanted_sets(pick, wanted, k).join(points.select("rep", "counts"), "rep"), "ngram-wanted")
+    dealt = split_groups(families, "family", "rep").join(sets, "rep").select("cell", "rep", "side", "counts", "tokens")
     links = materialize(dealt.repartition("cell").sortWithinPartitions("cell", "rep")
                         .mapInArrow(_verify(num, den), "a long, b long"), "ngram-links")
     found = materialize(components(links).join(classes.select(F.col("rep").alias("node"), "least_id"), "node"), "ngram-found")
