@@ -158,7 +158,7 @@ class BloomCascade:
 
         hashed = frame.select(*[F.col(f"`{c}`") for c in names], h[0].alias("_h1"), h[1].alias("_h2"))
         if shards > 1:   # a task then fetches few of the shards' filters at a time
-            hashed = hashed.sortWithinPartitions(F.pmod(F.element_at("_h1", 1), F.lit(shards)))
+            hashed = hashed.sortWithinPartitions(F.pmod(F.get("_h1", F.lit(0)), F.lit(shards)))
         return hashed.mapInArrow(mark, schema)
 
 
