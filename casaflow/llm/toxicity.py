@@ -27,6 +27,7 @@ from casaflow.session import materialize, ship_package
 
 TEXT_BLOCK = 4 << 20
 FACTORS = 8
+NO_LABELS = -3.0    # bias of a machine that saw no labels of both kinds
 
 
 class FactorizationMachine:
@@ -111,7 +112,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     ``per_class`` documents of each label are used. Features are the buckets
     whose frequencies under the two labels differ by a log-likelihood ratio of
     ``least_ratio`` or more, so that a million rare terms can't be learned by
-    heart. Without labels of both kinds the table only has a bias.
+    heart. Without labels of both kinds the table has
+    at most a bias, NO_LABELS.
     """
     ship_package(docs.sparkSession)
     known = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
@@ -136,7 +138,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         parts = [(b.column(0).to_numpy(zero_copy_only=False), b.column(1).value_lengths().to_numpy(zero_copy_only=False),
                   b.column(1).flatten().to_numpy(zero_copy_only=False)) for b in batches]
         label = np.concatenate([p[0] for p in parts]) if parts else np.empty(0, np.int32)
-        table = {"bucket": [-1], "weight": [-3.0], "factors": [[0.0] * FACTORS]}
+        table = {"bucket": [-1], "weight": [NO_LABELS], "factors": [[0.0] * FACTORS]}
         if len(np.unique(label)) == 2:
             row = np.repeat(np.arange(len(label)), np.concatenate([p[1] for p in parts]))
             bucket = np.concatenate([p[2] for p in parts])
@@ -166,7 +168,7 @@ def score_toxicity(docs: DataFrame, model: DataFrame, text_col: str = "text", bi
     spark = docs.sparkSession
     ship_package(spark)
     rows = list(model.toLocalIterator())              # at most 2^bits fitted buckets
-    bias = next(r["weight"] for r in rows if r["bucket"] < 0)
+    bias = next((r["weight"] for r in rows if r["bucket"] < 0), NO_LABELS)
     rows = [r for r in rows if r["bucket"] >= 0]
     place = np.full(1 << bits, -1, np.int32)
     place[[r["bucket"] for r in rows]] = np.arange(len(rows))
