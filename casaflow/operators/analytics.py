@@ -11,7 +11,7 @@ these are our definitions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from casaflow.functions import safe_div
@@ -19,11 +19,16 @@ from casaflow.functions import safe_div
 
 def roi_5y(monthly_value: DataFrame, value: str = "avg_house_value",
            months: int = 60) -> DataFrame:
-    past = monthly_value.select(
-        "metro", F.add_months("metric_month", months).alias("metric_month"),
-        F.col(value).alias("value_5y_ago"))
-    return (monthly_value.select("metro", "metric_month", value)
-            .join(past, ["metro", "metric_month"])
+    """Return over ``months`` months, for the months that have a value then: a
+    range frame of exactly that distance in months (gaps are safe), one shuffle
+    on the metro, whose rows are bounded by the calendar."""
+    number = F.year("metric_month") * 12 + F.month("metric_month")
+    then = Window.partitionBy("metro").orderBy(number).rangeBetween(-months, -months)
+    past = F.first(F.struct(F.col(value).alias("v"))).over(then)
+    return (monthly_value.where(F.col("metro").isNotNull() & F.col("metric_month").isNotNull())
+            .select("metro", "metric_month", value, past.alias("_past"))
+            .where(F.col("_past").isNotNull())
+            .select("metro", "metric_month", value, F.col("_past.v").alias("value_5y_ago"))
             .withColumn("roi_5y", safe_div(F.col(value), F.col("value_5y_ago")) - 1))
 
 
@@ -46,7 +51,6 @@ def vs_market(panel: DataFrame, measures=("avg_house_value", "rental_income")) -
     """
     market = (panel.groupBy("metric_month")
               .agg(*[F.avg(m).alias(f"market_{m}") for m in measures]))
-    out = panel.select("metro", "metric_month", *measures).join(
-        F.broadcast(market), "metric_month")
+    out = panel.select("metro", "metric_month", *measures).join(market, "metric_month")
     return out.withColumns({f"{m}_vs_market": F.col(m) - F.col(f"market_{m}")
                             for m in measures})

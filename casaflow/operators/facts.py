@@ -9,8 +9,7 @@ from casaflow.functions import replace_values
 
 
 def fact_average(landing: DataFrame, dim: DataFrame, measure: str, out: str,
-                 metro_col: str = "metro", aliases: dict | None = None,
-                 broadcast_dim: bool = False) -> DataFrame:
+                 metro_col: str = "metro", aliases: dict | None = None) -> DataFrame:
     """avg(measure) per (geo_key, metric_date, year) over landing x dim on metro.
 
     The dimension is unique on metro, so grouping by the joined key equals
@@ -19,8 +18,7 @@ def fact_average(landing: DataFrame, dim: DataFrame, measure: str, out: str,
     metro and month. ``year`` derives from ``metric_date`` and is recomputed,
     which lets the grouping key match the later merge key.
     ``aliases`` maps metro names first (payment, rent); house value joins the
-    raw name. ``broadcast_dim`` is set by callers that checked the
-    dimension's size; otherwise AQE decides from runtime statistics.
+    raw name.
     """
     m = F.col(metro_col)
     if aliases:
@@ -29,15 +27,15 @@ def fact_average(landing: DataFrame, dim: DataFrame, measure: str, out: str,
            .groupBy(m.alias("metro"), F.col("metric_date"))
            .agg(F.avg(measure).alias(out)))
     d = dim.select("metro", "geo_key")
-    return (agg.join(F.broadcast(d) if broadcast_dim else d, "metro")
+    return (agg.join(d, "metro")
             .select("geo_key", out, "metric_date",
                     F.year("metric_date").cast("int").alias("year")))
 
 
-def with_metro(fact: DataFrame, dim: DataFrame, broadcast_dim: bool = False) -> DataFrame:
+def with_metro(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """Replace the surrogate key by the metro name (for reporting / comparison)."""
     d = dim.select("geo_key", "metro")
-    return fact.join(F.broadcast(d) if broadcast_dim else d, "geo_key").drop("geo_key")
+    return fact.join(d, "geo_key").drop("geo_key")
 
 
 LEGACY_HV_KEYS = ["region_id", "size_rank", "region_name", "region_type", "state",

@@ -11,10 +11,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from casaflow.session import ship_package
+
 
 def interpolate_linear(df: DataFrame, series_cols: list[str], pos_col: str,
                        value_col: str, out_col: str | None = None) -> DataFrame:
-    """Fill interior nulls of ``value_col`` by straight lines between the
+    """Fill interior gaps (nulls and NaN) of ``value_col`` by straight lines between the
     nearest known neighbours in ``pos_col`` order.
 
     Two frames over one window specification — last known value at or before
@@ -25,9 +27,8 @@ def interpolate_linear(df: DataFrame, series_cols: list[str], pos_col: str,
     same arithmetic as numpy's ``interp``.
     """
     out_col = out_col or value_col
-    v, p = F.col(value_col), F.col(pos_col)
-    known = F.when(v.isNotNull(), F.struct(p.cast("double").alias("p"),
-                                           v.cast("double").alias("v")))
+    v, p = F.nanvl(F.col(value_col).cast("double"), F.lit(None).cast("double")), F.col(pos_col)
+    known = F.when(v.isNotNull(), F.struct(p.cast("double").alias("p"), v.alias("v")))
     spec = Window.partitionBy(*series_cols).orderBy(pos_col)
     prev = F.last(known, ignorenulls=True).over(
         spec.rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -35,7 +36,7 @@ def interpolate_linear(df: DataFrame, series_cols: list[str], pos_col: str,
         spec.rowsBetween(Window.currentRow, Window.unboundedFollowing))
     out = (df.withColumn("_prev", prev).withColumn("_next", nxt))
     slope = (F.col("_next.v") - F.col("_prev.v")) / (F.col("_next.p") - F.col("_prev.p"))
-    filled = (F.when(v.isNotNull(), v.cast("double"))
+    filled = (F.when(v.isNotNull(), v)
               .when(F.col("_prev").isNotNull() & F.col("_next").isNotNull(),
                     slope * (p.cast("double") - F.col("_prev.p")) + F.col("_prev.v")))
     return out.withColumn(out_col, filled).drop("_prev", "_next")
@@ -79,7 +80,7 @@ def _interp_udf():
 
 
 def interpolate_wide(df: DataFrame, value_cols: list[str],
-                     value_sql: str = "CAST({c} AS DOUBLE)") -> DataFrame:
+                     value_sql: str = "CAST({c} AS DOUBLE)", bad_sql: str | None = None) -> DataFrame:
     """Fill interior gaps along each row of a wide frame (one column per
     position), with no shuffle.
 
@@ -88,16 +89,19 @@ def interpolate_wide(df: DataFrame, value_cols: list[str],
     rows with vectorised numpy; identifiers stay in the JVM. Same arithmetic
     as ``interpolate_linear``; NaN comes back as null. ``value_sql`` turns a
     (quoted) column into its double value inside the array expression, so
-    parsing and casting happen in the same narrow projection. Projections are
-    sent as SQL-expression lists (two calls, not several per column).
+    parsing and casting happen in the same narrow projection; cells for which
+    ``bad_sql`` holds stay null. Projections are sent as SQL-expression lists
+    (two calls, not several per column).
     """
     def q(c):
         return "`" + c.replace("`", "``") + "`"
 
     arr = F.expr("array(" + ", ".join(value_sql.replace("{c}", q(c)) for c in value_cols) + ")")
     keep = [q(c) for c in df.columns if c not in set(value_cols)]
-    with_arr = df.select(*[F.col(c) for c in keep], _interp_udf()(arr).alias("_filled"))
-    filled = {c: f"CASE WHEN isnan(_filled[{i}]) THEN CAST(NULL AS DOUBLE) "
+    bad = [] if bad_sql is None else [F.expr("array(" + ", ".join(bad_sql.replace("{c}", q(c)) for c in value_cols) + ")").alias("_bad")]
+    ship_package(df.sparkSession)
+    with_arr = df.select(*[F.col(c) for c in keep], _interp_udf()(arr).alias("_filled"), *bad)
+    filled = {c: f"CASE WHEN {f'_bad[{i}] OR ' if bad else ''}isnan(_filled[{i}]) THEN CAST(NULL AS DOUBLE) "
                  f"ELSE _filled[{i}] END AS {q(c)}" for i, c in enumerate(value_cols)}
     out = [filled.get(c, q(c)) for c in df.columns]
     return with_arr.selectExpr(*out)

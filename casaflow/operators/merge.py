@@ -42,14 +42,7 @@ def keyed_merge(existing: DataFrame, incoming: DataFrame, keys: list[str],
                         F.lit(True).alias("_e"))
     i = incoming.select(*keys, *[F.col(c).alias(f"_i_{c}") for c in cols if c in inc_cols],
                         F.lit(True).alias("_i"))
-    # Rows with a null key can never match; they bypass the join (all null
-    # keys would otherwise hash to one join partition) and are unioned back.
-    null_key = F.lit(False)
-    for k in keys:
-        null_key = null_key | F.col(k).isNull()
-    j = (e.where(~null_key).join(i.where(~null_key), keys, "full")
-         .unionByName(e.where(null_key), allowMissingColumns=True)
-         .unionByName(i.where(null_key), allowMissingColumns=True))
+    j = e.join(i, keys, "full")
     has_e, has_i = F.col("_e").isNotNull(), F.col("_i").isNotNull()
     matched = has_e & has_i
     out = []
@@ -84,8 +77,9 @@ def surrogate_key(*cols: str) -> Column:
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Key values that occur more than once (partial aggregate, map-side combined)."""
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    """Key values that occur more than once (partial aggregate, map-side
+    combined). As in a unique index, a key with a null part equals no other."""
+    return (df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
             .where(F.col("n_rows") > 1))
 
 

@@ -6,7 +6,7 @@ needs several feeds persists the panel once (see ``plans.dashboard``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casaflow.functions import investment_metrics, month_start
@@ -18,27 +18,24 @@ PANEL_KEYS = ["metro", "metric_month"]
 MEASURES = ("avg_house_value", "rental_income", "monthly_payment")
 
 
-def _dim_in_state(dim: DataFrame, state: str | None,
-                  broadcast_dim: bool = False) -> DataFrame:
+def _dim_in_state(dim: DataFrame, state: str | None) -> DataFrame:
     d = dim.where(F.col("metro").isNotNull())
     if state is not None:
         d = d.where(F.col("state") == state)
-    d = d.select("geo_key", "metro")
-    return F.broadcast(d) if broadcast_dim else d
+    return d.select("geo_key", "metro")
 
 
 def monthly_metric(fact: DataFrame, dim: DataFrame, measure: str,
-                   state: str | None, broadcast_dim: bool = False) -> DataFrame:
+                   state: str | None) -> DataFrame:
     """avg(measure) per (metro, first day of month) for the dimension rows of
-    one state (all states when ``state`` is None). ``broadcast_dim`` is for
-    callers that checked the dimension's size (``operators.joins``)."""
-    return (fact.join(_dim_in_state(dim, state, broadcast_dim), "geo_key")
+    one state (all states when ``state`` is None)."""
+    return (fact.join(_dim_in_state(dim, state), "geo_key")
             .groupBy("metro", month_start("metric_date").alias("metric_month"))
             .agg(F.avg(measure).alias(measure)))
 
 
 def combined_panel(facts: dict[str, DataFrame], dim: DataFrame,
-                   state: str | None, broadcast_dim: bool = False) -> DataFrame:
+                   state: str | None) -> DataFrame:
     """Metro x month with the three monthly averages and the three ratios.
 
     The three-way full outer join on (metro, month) is expressed as one
@@ -57,7 +54,7 @@ def combined_panel(facts: dict[str, DataFrame], dim: DataFrame,
             *[(F.col(measure) if m == measure else null).alias(m) for m in MEASURES]))
     u = parts[0].unionByName(parts[1]).unionByName(parts[2])
     panel = (u.where(F.col("metric_date").isNotNull())
-             .join(_dim_in_state(dim, state, broadcast_dim), "geo_key")
+             .join(_dim_in_state(dim, state), "geo_key")
              .groupBy("metro", month_start("metric_date").alias("metric_month"))
              .agg(*[F.avg(m).alias(m) for m in MEASURES]))
     return investment_metrics(panel)
@@ -73,31 +70,21 @@ def metro_list(panel: DataFrame) -> DataFrame:
 
 def default_metros(panel: DataFrame, preferred=PREFERRED_METROS,
                    n: int = DEFAULT_METRO_COUNT) -> DataFrame:
-    """Preferred metros that exist; if none does, the first ``n`` alphabetically.
-
-    Ranked as (preferred first, then name) and cut to ``n`` — the top-k is the
-    feature — then the non-preferred rows are dropped when any preferred one
-    made it. The window runs over at most ``n`` rows.
-    """
-    m = panel.select("metro").distinct().withColumn(
-        "_pref", F.col("metro").isin(list(preferred)))
-    top = m.orderBy(F.desc("_pref"), F.asc("metro")).limit(n)
-    any_pref = F.max("_pref").over(Window.partitionBy())
-    return (top.withColumn("_any", any_pref)
-            .where(F.col("_pref") | ~F.col("_any")).select("metro"))
-
-
-def select_metros(panel: DataFrame, metros: DataFrame | list[str],
-                  max_rows: int | None = None) -> DataFrame:
-    """Keep the panel rows of the selected metros (IN-list or semi-join).
-
-    A selection frame is broadcast only when the caller knows its size bound
-    (``max_rows``, e.g. the top-k default selection); otherwise the semi-join
-    is left to AQE's runtime size check.
-    """
+    """All preferred metros that exist; if none does, the first ``n``
+    alphabetically. One aggregate over the distinct metros gathers the
+    preferred ones and the first ``n`` (the top-k is the feature)."""
+    m = panel.select("metro").where(F.col("metro").isNotNull()).distinct()
+    picked = m.where(F.col("metro").isin(list(preferred))).withColumn("preferred", F.lit(True))
+    first = m.orderBy("metro").limit(n).withColumn("preferred", F.lit(False))
+    both = picked.unionByName(first).agg(F.collect_set(F.when(F.col("preferred"), F.col("metro"))).alias("preferred"),
+                                         F.collect_set(F.when(~F.col("preferred"), F.col("metro"))).alias("first"))
+    return both.select(F.explode(F.when(F.size("preferred") > 0, F.col("preferred")).otherwise(F.col("first"))).alias("metro"))
+
+
+def select_metros(panel: DataFrame, metros: DataFrame | list[str]) -> DataFrame:
+    """Keep the panel rows of the selected metros (IN-list or semi-join)."""
     if isinstance(metros, DataFrame):
-        m = metros.select("metro")
-        return panel.join(F.broadcast(m) if max_rows is not None else m, "metro", "left_semi")
+        return panel.join(metros.select("metro"), "metro", "left_semi")
     return panel.where(F.col("metro").isin(list(metros)))
 
 

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from casaflow.functions import replace_values, snake_case
 
 
-def distinct_values(df: DataFrame, col: str, limit: int = 10_000) -> list:
-    """Sorted distinct non-null values of a column that becomes a wide
-    header (e.g. months: bounded by the calendar, not by the data). The
-    guard mirrors Spark's own pivot limit."""
-    vals = sorted(r[0] for r in df.select(col).distinct().collect() if r[0] is not None)
-    if len(vals) > limit:
-        raise ValueError(f"{len(vals)} distinct values of {col} exceed the wide-header limit")
-    return vals
+def month_ends(df: DataFrame, col: str) -> list[dt.date]:
+    """Every month end from the column's first month to its last: the header of
+    a wide file. Only the two ends reach the driver."""
+    lo, hi = df.agg(F.min(col), F.max(col)).first()
+    if lo is None:
+        return []
+    months = range(lo.year * 12 + lo.month, hi.year * 12 + hi.month + 1)      # the next month's number
+    return [dt.date(m // 12, m % 12 + 1, 1) - dt.timedelta(days=1) for m in months]
 
 
 def split_columns(columns: list[str], id_cols=None, n_ids: int | None = None):

@@ -17,11 +17,10 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casaflow.functions import trim_all
 from casaflow.operators.gapfill import interpolate_linear, interpolate_wide
-from casaflow.plans.landing import long_cells
+from casaflow.plans.landing import is_malformed, long_cells
 from casaflow.schemas import PANDAS_NA_TOKENS
-from casaflow.sources.wide_csv import WideGroup, list_files, scan_wide
+from casaflow.sources.wide_csv import WideGroup, list_files, scan_wide, typed_id
 
 ROW_KEY = ["source_file", "_row"]
 
@@ -40,7 +39,8 @@ def clean_cells(spark: SparkSession, pattern: str | list[str], id_cols=None,
     metric_date, pos, raw, value (interpolated)."""
     groups = with_row_ids(scan_wide(spark, pattern, id_cols=id_cols, n_ids=n_ids))
     cells = long_cells(groups, na_tokens=na_tokens, trim=True)
-    return interpolate_linear(cells, ROW_KEY, "pos", "value")
+    filled = interpolate_linear(cells.withColumn("_bad", is_malformed()), ROW_KEY, "pos", "value")
+    return filled.withColumn("value", F.when(~F.col("_bad"), F.col("value"))).drop("_bad")
 
 
 def input_name(path_col: str) -> F.Column:
@@ -51,39 +51,46 @@ def input_name(path_col: str) -> F.Column:
 
 def clean_wide(group: WideGroup, na_tokens=PANDAS_NA_TOKENS) -> DataFrame:
     """One header group cleaned in wide form: identifiers trimmed, NA tokens
-    null, measures as doubles with interior gaps filled; plus ``file``.
+    null everywhere, measures as doubles with interior gaps filled; plus
+    ``file``. A malformed cell is no gap: it stays null (and is counted by
+    ``plans.landing.file_rejects``).
 
     Token check, trim and cast are folded into the array handed to the fill,
     so no intermediate projection carries all measure columns."""
     df = group.df
     types = dict(df.dtypes)
-    ids = [trim_all(f"`{c}`").alias(c) if types[c] == "string" else F.col(f"`{c}`")
+    ids = [typed_id(c, na_tokens, trim=True) if types[c] == "string" else F.col(f"`{c}`")
            for c in group.id_cols]
     base = df.select(*ids, *[F.col(f"`{c}`") for c in group.measure_cols],
                      input_name("source_file").alias("file"))
     if na_tokens:
         tokens = ", ".join("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'"
                            for t in na_tokens)
-        value_sql = (f"try_cast(trim(CASE WHEN {{c}} IN ({tokens}) THEN NULL ELSE {{c}} END) "
-                     "AS DOUBLE)")
+        text = f"trim(CASE WHEN {{c}} IN ({tokens}) THEN NULL ELSE {{c}} END)"
     else:
-        value_sql = "try_cast(trim({c}) AS DOUBLE)"
-    return interpolate_wide(base, list(group.measure_cols), value_sql)
+        text = "trim({c})"
+    value_sql = f"try_cast({text} AS DOUBLE)"
+    return interpolate_wide(base, list(group.measure_cols), value_sql,
+                            bad_sql=f"{text} <> '' AND {value_sql} IS NULL")
 
 
 def clean_files(spark: SparkSession, raw_dir: str, out_dir: str, files,
                 fmt: str = "csv") -> None:
-    """Clean the configured (identifier count, input, output) files into
-    ``out_dir/file=<input name>/part-*`` (header order kept) as CSV or
-    Parquet; inputs that are absent are skipped. One narrow stage per header
-    group."""
-    for n_ids, src, _dst in files:
-        found = list_files(spark, os.path.join(raw_dir, src))
-        if not found:
-            continue
-        for g in scan_wide(spark, found, n_ids=n_ids):
-            w = clean_wide(g).write.mode("append").partitionBy("file")
+    """Clean the configured (identifier count, input, output) files, each into
+    the folder ``out_dir/<output>`` of part files (header order kept), as CSV
+    or Parquet. A second run replaces the first one's output. An input that is
+    absent fails the job before anything is written. One narrow stage per
+    header group; groups of one input share its folder, which readers split by
+    header again."""
+    found = {src: list_files(spark, os.path.join(raw_dir, src)) for _, src, _ in files}
+    absent = sorted(src for src, paths in found.items() if not paths)
+    if absent:
+        raise FileNotFoundError(f"no input in {raw_dir} for {', '.join(absent)}")
+    for n_ids, src, dst in files:
+        for i, g in enumerate(scan_wide(spark, found[src], n_ids=n_ids)):
+            w = clean_wide(g).drop("file").write.mode("append" if i else "overwrite")
+            path = f"{out_dir.rstrip('/')}/{dst}"
             if fmt == "parquet":
-                w.parquet(out_dir)
+                w.parquet(path)
             else:
-                w.option("header", True).csv(out_dir)
+                w.option("header", True).option("escape", '"').csv(path)

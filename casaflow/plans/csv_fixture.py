@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casaflow.operators.reshape import distinct_values, to_wide
+from casaflow.operators.reshape import month_ends, to_wide
 from casaflow.session import scratch_path
 
 # landing column -> source header
@@ -30,7 +30,7 @@ def write_house_value_csvs(spark: SparkSession, landing: DataFrame,
                            root: str | None = None) -> str:
     """One file family per tier; returns the glob that matches them all."""
     root = root or scratch_path(spark, "wide-csv")
-    months = distinct_values(landing, "metric_date")
+    months = month_ends(landing, "metric_date")
     file_of = None
     for tier, frag in TIER_FILES.items():
         name = f"raw_City_zhvi_uc_sfrcondo_tier_{frag}_sm_sa_month.csv"

@@ -14,8 +14,7 @@ from casaflow.operators.geo import dim_rows
 from casaflow.operators.merge import (COALESCE, KEEP, SET, STAMP_INSERT, TOUCH,
                                       assert_no_orphans, assert_unique, keyed_merge,
                                       surrogate_key)
-from casaflow.operators.joins import MAX_BROADCAST_ROWS, fits_broadcast
-from casaflow.session import checkpoint_root
+from casaflow.session import materialize
 from casaflow.schemas import (DIM_GEOGRAPHY, FACT_MEASURES, FACT_SCHEMAS,
                               LEGACY_HOUSE_VALUE, LEGACY_MONTHLY_PAYMENT,
                               LEGACY_RENTAL_INCOME, METRO_ALIASES, empty)
@@ -23,7 +22,6 @@ from casaflow.schemas import (DIM_GEOGRAPHY, FACT_MEASURES, FACT_SCHEMAS,
 DIM_RULES = {"state": SET, "county_name": COALESCE, "geo_key": KEEP,
              "inserted_at": STAMP_INSERT, "updated_at": TOUCH}
 FACT_KEYS = ["geo_key", "metric_date"]
-MAX_DIM_BROADCAST_ROWS = MAX_BROADCAST_ROWS
 LEGACY_KEYS = ["region_id", "metric_date"]
 
 
@@ -65,28 +63,27 @@ FACT_SPECS = {
 
 
 def batch_fact(landings: dict[str, DataFrame], dim: DataFrame, name: str,
-               aliases=METRO_ALIASES, alias_house_value: bool = False,
-               broadcast_dim: bool = False) -> DataFrame:
+               aliases=METRO_ALIASES, alias_house_value: bool = False) -> DataFrame:
     """One averaged fact batch. House value joins the raw metro name unless
     ``alias_house_value`` (the source pipeline does not alias it, so aliased
     house-value rows find no dimension row)."""
     measure, out, metro_col, aliased = FACT_SPECS[name]
     use_aliases = aliases if (aliased or alias_house_value) else None
-    return fact_average(landings[name], dim, measure, out, metro_col, use_aliases,
-                        broadcast_dim)
+    return fact_average(landings[name], dim, measure, out, metro_col, use_aliases)
 
 
 def batch_facts(landings: dict[str, DataFrame], dim: DataFrame,
-                aliases=METRO_ALIASES, alias_house_value: bool = False,
-                broadcast_dim: bool = False) -> dict[str, DataFrame]:
+                aliases=METRO_ALIASES, alias_house_value: bool = False) -> dict[str, DataFrame]:
     """The three averaged fact batches."""
-    return {name: batch_fact(landings, dim, name, aliases, alias_house_value, broadcast_dim)
+    return {name: batch_fact(landings, dim, name, aliases, alias_house_value)
             for name in FACT_SPECS}
 
 
 def upsert_fact(existing: DataFrame, batch: DataFrame, name: str,
                 now: Column | None = None, with_action: bool = False) -> DataFrame:
-    return keyed_merge(existing, batch, FACT_KEYS, fact_rules(FACT_MEASURES[name]),
+    """Star facts have whole keys: rows without a date (from a header that is no
+    date) stay in the landing and its reject report."""
+    return keyed_merge(existing, batch.dropna(subset=FACT_KEYS), FACT_KEYS, fact_rules(FACT_MEASURES[name]),
                        now, with_action)
 
 
@@ -96,7 +93,7 @@ def upsert_legacy(existing: DataFrame, batch: DataFrame, measure: str,
     rules = {measure: SET, "inserted_at": STAMP_INSERT}
     if "updated_at" in existing.columns:
         rules["updated_at"] = TOUCH if touch_updated else KEEP
-    return keyed_merge(existing, batch, LEGACY_KEYS, rules, now, with_action)
+    return keyed_merge(existing, batch.dropna(subset=LEGACY_KEYS), LEGACY_KEYS, rules, now, with_action)
 
 
 @dataclass
@@ -112,27 +109,22 @@ class FinalTables:
 def load_final(spark: SparkSession, landings: dict[str, DataFrame],
                current: dict[str, DataFrame] | None = None, aliases=METRO_ALIASES,
                alias_house_value: bool = False, check: bool = True,
-               max_broadcast_rows: int = MAX_DIM_BROADCAST_ROWS,
                collation: str | None = None) -> FinalTables:
     """Dimension upsert, then three fact upserts that read the new dimension.
 
-    The dimension is checkpointed (to the shared checkpoint folder): it feeds
-    three joins, and a lost executor then re-reads it instead of recomputing
-    the landing union. Batches are checked for duplicate keys and every fact
+    The dimension is written to the shared scratch folder: it feeds three
+    joins, whose strategy Spark picks by its size in bytes, and a lost executor
+    re-reads it instead of recomputing the landing union. Batches are checked for duplicate keys and every fact
     key for a dimension row before anything is returned for publication.
     """
     current = current or {}
-    checkpoint_root(spark)
     now = F.current_timestamp()
     dim_old = current.get("dim_geography", empty(spark, DIM_GEOGRAPHY))
-    dim = upsert_dim(dim_old, landings, aliases, now, collation=collation).checkpoint()
+    dim = materialize(upsert_dim(dim_old, landings, aliases, now, collation=collation), "dim-geography")
     if check:
         assert_unique(dim, ["metro"], "dim_geography")
         assert_unique(dim, ["geo_key"], "dim_geography")
-    # the dimension is materialised, so its size is known before choosing a
-    # broadcast; above the limit the joins stay shuffle joins
-    small = fits_broadcast(dim, max_broadcast_rows)
-    batches = batch_facts(landings, dim, aliases, alias_house_value, small)
+    batches = batch_facts(landings, dim, aliases, alias_house_value)
     facts = {}
     for name, batch in batches.items():
         if check:

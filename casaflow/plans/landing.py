@@ -9,13 +9,15 @@ optimizer cannot do through an unpivot by itself.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import functools
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casaflow.functions import header_date, tier_from_path, trim_all
+from casaflow.functions import header_date, tier_from_path
 from casaflow.operators.reshape import rename_snake, unpivot_wide
 from casaflow.schemas import LandingSpec
-from casaflow.sources.wide_csv import WideGroup, scan_wide
+from casaflow.sources.wide_csv import WideGroup, bad_ids, scan_wide, typed_id
 
 
 def long_cells(groups: list[WideGroup], value_name: str = "raw",
@@ -26,7 +28,7 @@ def long_cells(groups: list[WideGroup], value_name: str = "raw",
     ``pos`` (column position), ``raw`` (cell text) and ``value`` (double or
     null). ``min_date`` prunes columns on the driver (unparseable headers go
     with them, as a date filter would drop them). ``na_tokens`` turns the
-    listed cell texts into nulls; ``trim`` strips identifier text.
+    listed cell and identifier texts into nulls; ``trim`` strips identifier text.
     """
     parts = []
     for g in groups:
@@ -35,10 +37,8 @@ def long_cells(groups: list[WideGroup], value_name: str = "raw",
             cols = [x for x in cols if x[1] is not None and x[1] > min_date]
         if not cols:
             continue
-        df = g.df
-        if trim:
-            df = df.withColumns({c: trim_all(c) for c in g.id_cols
-                                 if dict(df.dtypes)[c] == "string"})
+        text = dict(g.df.dtypes)
+        df = g.df.withColumns({c: typed_id(c, na_tokens, trim) for c in g.id_cols if text[c] == "string"})
         parts.append(unpivot_wide(df, [*g.id_cols, "source_file"], cols, value_name))
     if not parts:
         raise ValueError("no measure columns to land")
@@ -74,11 +74,25 @@ def land(spark: SparkSession, spec: LandingSpec, pattern: str | list[str],
     return finish_landing(cells, spec, [c for c in spec.id_cols])
 
 
+def is_malformed(raw: str = "raw", value: str = "value") -> Column:
+    """A cell that holds text but no number."""
+    return F.coalesce((F.trim(raw) != "") & F.col(value).isNull(), F.lit(False))
+
+
+def file_rejects(groups: list[WideGroup], na_tokens=None) -> DataFrame:
+    """The reject report of scanned files: per source file its cells, filled
+    cells, malformed measures, cells under unparseable date headers, and
+    malformed integer identifiers."""
+    cells = reject_report(long_cells(groups, na_tokens=na_tokens))
+    ids = [g.df.groupBy("source_file").agg(F.sum(bad_ids(g, na_tokens)).alias("n_bad_id")) for g in groups]
+    return cells.join(functools.reduce(DataFrame.unionByName, ids), "source_file")
+
+
 def reject_report(cells: DataFrame, group_col: str = "source_file") -> DataFrame:
     """Per source: cells, filled cells, malformed measures, unparseable dates."""
     filled = F.col("raw").isNotNull()
     return (cells.groupBy(group_col)
             .agg(F.count(F.lit(1)).alias("n_cells"),
                  F.count(F.when(filled, 1)).alias("n_filled"),
-                 F.count(F.when(filled & F.col("value").isNull(), 1)).alias("n_bad_value"),
+                 F.count(F.when(is_malformed(), 1)).alias("n_bad_value"),
                  F.count(F.when(F.col("metric_date").isNull(), 1)).alias("n_bad_date")))

@@ -72,9 +72,20 @@ def run(spark: SparkSession, cfg: PipelineConfig) -> str:
     if cfg.cleaned_dir:
         clean_files(spark, cfg.raw_dir, cfg.cleaned_dir, CLEANING_FILES)
     pub = Publication(spark, cfg.store_root)
+    tag, sc = f"landing-{pub.version}", spark.sparkContext
+
+    def job(spec):
+        sc.addJobTag(tag)       # this thread's jobs
+        try:
+            return _landing_job(spark, cfg, pub, spec)
+        except BaseException:
+            sc.cancelJobsWithTag(tag)       # the first failure stops the others
+            raise
+        finally:
+            sc.removeJobTag(tag)
+
     with ThreadPoolExecutor(max_workers=3) as pool:
-        futures = {name: pool.submit(_landing_job, spark, cfg, pub, spec)
-                   for name, spec in LANDING_SPECS.items()}
+        futures = {name: pool.submit(job, spec) for name, spec in LANDING_SPECS.items()}
         landings = {name: f.result() for name, f in futures.items()}
     current = read_current(spark, cfg.store_root, FINAL_TABLES + LEGACY_TABLES)
     # tables are computed once, written, and checked on the written copies
@@ -104,6 +115,8 @@ def main(argv: list[str] | None = None) -> str:
     ap.add_argument("--lake")
     ap.add_argument("--jdbc-url")
     ap.add_argument("--jdbc-user")
+    ap.add_argument("--jdbc-schema", default="landing", help="schema of the landing tables")
+    ap.add_argument("--jdbc-connections", type=int, help="most connections a write opens")
     ap.add_argument("--jdbc-driver")
     ap.add_argument("--jdbc-password-env", help="environment variable holding the password")
     ap.add_argument("--alias-house-value", action="store_true")
@@ -114,6 +127,7 @@ def main(argv: list[str] | None = None) -> str:
     jdbc = {}
     if args.jdbc_url:
         jdbc = {"url": args.jdbc_url, "user": args.jdbc_user, "driver": args.jdbc_driver,
+                "schema": args.jdbc_schema, "connections": args.jdbc_connections,
                 "password": os.environ.get(args.jdbc_password_env or "", None)}
     from casaflow.session import apply_sizing, get_session
     spark = get_session("casaflow-pipeline")

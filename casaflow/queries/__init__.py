@@ -25,15 +25,13 @@ from casaflow.operators.facts import legacy_rental_income as _legacy_ri
 from casaflow.operators.facts import with_metro
 from casaflow.operators.gapfill import interpolate_linear
 from casaflow.operators.geo import distinct_on, geo_candidates
-from casaflow.operators.joins import fits_broadcast
 from casaflow.operators.merge import duplicate_keys as _dups
 from casaflow.operators.merge import orphan_keys
-from casaflow.operators.reshape import distinct_values, rename_snake, to_wide, unpivot_wide
+from casaflow.operators.reshape import month_ends, rename_snake, to_wide, unpivot_wide
 from casaflow.plans.final import (batch_fact, batch_facts, build_dim, upsert_dim_rows,
                                   upsert_fact, upsert_legacy)
 from casaflow.plans.landing import reject_report as _reject_report
-from casaflow.schemas import DEFAULT_METRO_COUNT
-from casaflow.session import checkpoint_root
+from casaflow.session import materialize
 from casaflow.sources import testdata as TD
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,15 +59,14 @@ def _round(df: DataFrame, amounts=(), ratios=()) -> DataFrame:
 
 # --- shared building blocks ---------------------------------------------------
 # Like the pipeline, each layer is materialised once and the next layer reads
-# it: landing tables -> dimension -> fact tables. Materialisation is a reliable
-# checkpoint into the shared checkpoint folder (lineage cut, survives executor
-# loss). A query recomputes only its own stage: ``fact_*`` aggregates the
+# it: landing tables -> dimension -> fact tables. Materialisation is a Parquet
+# table in the shared scratch folder (lineage cut, survives executor loss, later
+# scans are pruned and pushed down). A query recomputes only its own stage: ``fact_*`` aggregates the
 # stored landing against the stored dimension, the dashboard queries read the
 # stored facts. Memoised per (session, folder).
 
 def _store(df: DataFrame) -> DataFrame:
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return materialize(df, "layer")
 
 
 @functools.lru_cache(maxsize=32)
@@ -82,16 +79,9 @@ def _dim(spark, sf_dir):
     return _store(build_dim(spark, _landings(spark, sf_dir), TD.TEST_ALIASES))
 
 
-@functools.lru_cache(maxsize=32)
-def _dim_small(spark, sf_dir):
-    """Size check of the stored dimension, deciding its broadcast."""
-    return fits_broadcast(_dim(spark, sf_dir))
-
-
 @functools.lru_cache(maxsize=32)
 def _fact_tables(spark, sf_dir):
-    facts = batch_facts(_landings(spark, sf_dir), _dim(spark, sf_dir), TD.TEST_ALIASES,
-                        broadcast_dim=_dim_small(spark, sf_dir))
+    facts = batch_facts(_landings(spark, sf_dir), _dim(spark, sf_dir), TD.TEST_ALIASES)
     return {k: _store(v) for k, v in facts.items()}
 
 
@@ -103,13 +93,13 @@ def _star(spark, sf_dir):
 @functools.lru_cache(maxsize=64)
 def _panel(spark, sf_dir, state=TD.TEST_STATE):
     _, dim, facts = _star(spark, sf_dir)
-    return P.combined_panel(facts, dim, state, _dim_small(spark, sf_dir))
+    return P.combined_panel(facts, dim, state)
 
 
 @functools.lru_cache(maxsize=32)
 def _selected(spark, sf_dir):
     panel = _panel(spark, sf_dir)
-    return P.select_metros(panel, P.default_metros(panel), DEFAULT_METRO_COUNT)
+    return P.select_metros(panel, P.default_metros(panel))
 
 
 PANEL_AMOUNTS = ("avg_house_value", "rental_income", "monthly_payment", "cash_flow")
@@ -160,9 +150,8 @@ def dim_geography(spark, sf_dir):
 def _fact(name, measure):
     def q(spark, sf_dir):
         lands, dim = _landings(spark, sf_dir), _dim(spark, sf_dir)
-        fact = batch_fact(lands, dim, name, TD.TEST_ALIASES,
-                          broadcast_dim=_dim_small(spark, sf_dir))
-        return _round(with_metro(fact, dim, _dim_small(spark, sf_dir)), [measure])
+        fact = batch_fact(lands, dim, name, TD.TEST_ALIASES)
+        return _round(with_metro(fact, dim), [measure])
     q.__name__ = f"fact_{name}"
     return q
 
@@ -177,8 +166,7 @@ fact_rental_income = register(_fact("rental_income", "rental_income"))
 def _monthly(name, measure):
     def q(spark, sf_dir):
         _, dim, facts = _star(spark, sf_dir)
-        return _round(P.monthly_metric(facts[name], dim, measure, TD.TEST_STATE,
-                                       _dim_small(spark, sf_dir)), [measure])
+        return _round(P.monthly_metric(facts[name], dim, measure, TD.TEST_STATE), [measure])
     q.__name__ = f"monthly_{name}"
     return q
 
@@ -270,8 +258,7 @@ def feed_cash_flow(spark, sf_dir):
 @register
 def roi_5y(spark, sf_dir):
     _, dim, facts = _star(spark, sf_dir)
-    monthly = P.monthly_metric(facts["house_value"], dim, "avg_house_value", None,
-                               _dim_small(spark, sf_dir))
+    monthly = P.monthly_metric(facts["house_value"], dim, "avg_house_value", None)
     return _round(analytics.roi_5y(monthly), ["avg_house_value", "value_5y_ago"],
                   ["roi_5y"])
 
@@ -298,15 +285,15 @@ SPLIT_OLD = "1999-01-01"     # existing batch: months before this day
 SPLIT_NEW = "1998-01-01"     # incoming batch: months from this day (overlap 1998)
 
 
-def distinct_months(df: DataFrame, col: str = "metric_date", limit: int = 10_000):
-    """The sorted month list that becomes the wide header (bounded by the
-    calendar, 12 per year)."""
-    return distinct_values(df, col, limit)
+@functools.lru_cache(maxsize=32)
+def _landing_all(spark, sf_dir):
+    """House values of every month: reshaping and cleaning know no cut-off."""
+    return _store(TD.landing_house_value(spark, sf_dir, cutoff=None))
 
 
 @functools.lru_cache(maxsize=32)
 def _hv_months(spark, sf_dir):
-    return tuple(distinct_months(_landings(spark, sf_dir)["house_value"]))
+    return tuple(month_ends(_landing_all(spark, sf_dir), "metric_date"))
 
 
 @functools.lru_cache(maxsize=32)
@@ -314,7 +301,7 @@ def _wide_hv(spark, sf_dir, series=tuple(SERIES)):
     """House values in the wide source layout (one row per series, one column
     per month), stored once per session: the input of the interpolation
     queries, as the wide files are the input of the cleaning job."""
-    lnd = _landings(spark, sf_dir)["house_value"]
+    lnd = _landing_all(spark, sf_dir)
     months = list(_hv_months(spark, sf_dir))
     wide = _store(to_wide(lnd, list(series), "metric_date", months, "house_value"))
     cols = [(str(m), m, i) for i, m in enumerate(months)]
@@ -324,7 +311,7 @@ def _wide_hv(spark, sf_dir, series=tuple(SERIES)):
 @register
 def unpivot_roundtrip(spark, sf_dir):
     """Landing -> wide (one column per month) -> unpivot -> non-null cells."""
-    lnd = _landings(spark, sf_dir)["house_value"]
+    lnd = _landing_all(spark, sf_dir)
     months = list(_hv_months(spark, sf_dir))
     wide = to_wide(lnd, HV_IDS, "metric_date", months, "house_value")
     long = unpivot_wide(wide, HV_IDS, [(str(m), m, i) for i, m in enumerate(months)],
@@ -482,7 +469,7 @@ def fact_upsert(spark, sf_dir):
     old = old.withColumns({"inserted_at": F.current_timestamp(),
                            "updated_at": F.current_timestamp()})
     merged = upsert_fact(old, new, "house_value", with_action=True)
-    return _round(with_metro(merged, dim, _dim_small(spark, sf_dir)).select("metro", "metric_date", "year",
+    return _round(with_metro(merged, dim).select("metro", "metric_date", "year",
                                                  "avg_house_value", "merge_action"),
                   ["avg_house_value"])
 
@@ -515,7 +502,7 @@ def orphan_fact_keys(spark, sf_dir):
     _, dim, facts = _star(spark, sf_dir)
     partial = dim.where(F.col("state") != TD.TEST_STATE)
     orphans = orphan_keys(facts["monthly_payment"], partial, "geo_key")
-    return with_metro(orphans, dim, _dim_small(spark, sf_dir)).select("metro", "metric_date")
+    return with_metro(orphans, dim).select("metro", "metric_date")
 
 
 # --- files: lake, CSV end to end, rejects -------------------------------------
@@ -538,7 +525,7 @@ def _hv_csv_files(spark, sf_dir):
     """The wide CSV input of the landing job, written once per session from
     the test tables (one file family per tier, two header date spellings)."""
     from casaflow.plans.csv_fixture import write_house_value_csvs
-    return write_house_value_csvs(spark, TD.landing_house_value(spark, sf_dir, cutoff=None))
+    return write_house_value_csvs(spark, _landing_all(spark, sf_dir))
 
 
 @register

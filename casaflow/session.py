@@ -98,16 +98,14 @@ def sizing(input_bytes: int, total_cores: int, target_split: int = 256 * MB,
 
     Scan splits aim at ``target_split`` but shrink so every core gets at
     least ~3 splits (and never below 32 MB). The shuffle partition count aims
-    at ``target_shuffle`` bytes per partition, between 3 and 10 waves of the
-    cores: more reduce partitions would multiply the shuffle blocks (map
-    tasks x partitions) without adding parallelism. Reduce-side sorts spill,
-    and AQE coalesces small partitions and splits skewed ones toward the
+    at ``target_shuffle`` bytes per partition and at least 3 waves of the
+    cores; AQE coalesces small partitions and splits skewed ones toward the
     advisory size.
     """
     cores = max(1, total_cores)
     split = min(target_split, max(32 * MB, input_bytes // (3 * cores) or 32 * MB))
     shuffled = int(input_bytes * shuffle_fraction)
-    partitions = min(10 * cores, max(3 * cores, -(-shuffled // target_shuffle)))
+    partitions = max(3 * cores, -(-shuffled // target_shuffle))
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(partitions),

@@ -11,14 +11,14 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_lake(df: DataFrame, path: str, partition_cols=("state", "year"),
-               mode: str = "overwrite", dynamic: bool = True) -> None:
+               mode: str = "overwrite", dynamic: bool = False) -> None:
     """Parquet lake partitioned by e.g. (state, year).
 
     A ``rebalance`` hint clusters rows by the partition columns, so each task
     writes into few directories (not every task into every directory), and
     lets AQE split an oversized (hot) partition value across several tasks
-    instead of one task writing it alone. ``dynamic`` replaces only the
-    partitions present in ``df``.
+    instead of one task writing it alone. An overwrite replaces the whole lake;
+    with ``dynamic`` only the partitions present in ``df``.
     """
     w = (df.hint("rebalance", *partition_cols).write.mode(mode)
          .option("partitionOverwriteMode", "dynamic" if dynamic else "static"))

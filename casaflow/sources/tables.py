@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 def read_parquet(spark: SparkSession, root: str, name: str) -> DataFrame:
     """``root/name.parquet`` if present as a file/dir name, else ``root/name``."""
     path = f"{root.rstrip('/')}/{name}"
-    try:
-        return spark.read.parquet(path + ".parquet")
-    except Exception:  # noqa: BLE001 - fall back to the bare directory name
-        return spark.read.parquet(path)
+    named = spark._jvm.org.apache.hadoop.fs.Path(path + ".parquet")
+    there = named.getFileSystem(spark._jsc.hadoopConfiguration()).exists(named)
+    return spark.read.parquet(path + ".parquet" if there else path)
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, *, user: str | None = None,

@@ -46,12 +46,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _geo(spark, sf_dir):
-    # nation (25 rows) and region (5 rows) are fixed-size by the TPC-H spec,
-    # so broadcasting them is bounded regardless of the scale factor.
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    return F.broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
-                       .drop("n_regionkey", "r_regionkey"))
+    return n.join(r, n.n_regionkey == r.r_regionkey).drop("n_regionkey", "r_regionkey")
 
 
 def _month_end(c):
@@ -116,8 +113,9 @@ def landing_monthly_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                  "l_discount", "l_shipdate")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    agg = (li.join(o, li.l_orderkey == o.o_orderkey)
-           .join(c, F.col("o_custkey") == F.col("c_custkey"))
+    nation_of = (o.join(c, F.col("o_custkey") == F.col("c_custkey"))      # narrow rows first,
+                 .select("o_orderkey", "c_nationkey"))                    # lineitem moves once
+    agg = (li.join(nation_of, li.l_orderkey == F.col("o_orderkey"))
            .groupBy("c_nationkey", _month_end("l_shipdate").alias("metric_date"))
            .agg((F.avg(F.col("l_extendedprice") * (1 - F.col("l_discount"))) / 10)
                 .alias("monthly_payment")))

@@ -13,14 +13,16 @@ counted reject instead of a failed job or a silently inferred string column.
 from __future__ import annotations
 
 import csv
+import functools
 import io
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from casaflow.functions import trim_all
 from casaflow.schemas import INT_ID_COLS
 
 
@@ -84,19 +86,37 @@ def header_groups(spark: SparkSession, files: list[str],
 
 
 def wide_schema(header: list[str], id_cols: list[str] | None, n_ids: int | None,
-                int_ids=INT_ID_COLS) -> tuple[T.StructType, list[str], list[str]]:
-    """Identifiers typed (integers for the id/rank columns, text otherwise —
-    so ZIP codes keep leading zeros); every measure column text."""
+                ) -> tuple[T.StructType, list[str], list[str]]:
+    """Every column text; identifiers get their types from ``typed_id``, so a
+    padded or malformed integer is seen instead of read as null."""
     if id_cols is not None:
         ids = [c for c in header if c in set(id_cols)]
     else:
         ids = list(header[:n_ids])
     measures = [c for c in header if c not in set(ids)]
-    fields = []
-    for c in header:
-        t = T.IntegerType() if (c in ids and c in int_ids) else T.StringType()
-        fields.append(T.StructField(c, t, True))
-    return T.StructType(fields), ids, measures
+    return T.StructType([T.StructField(c, T.StringType(), True) for c in header]), ids, measures
+
+
+def _id_text(name: str, na_tokens=None) -> Column:
+    text = F.col(f"`{name}`")
+    return F.when(~text.isin(list(na_tokens)), text) if na_tokens else text
+
+
+def typed_id(name: str, na_tokens=None, trim: bool = False, int_ids=INT_ID_COLS) -> Column:
+    """An identifier column: the id and rank columns as integers (padding is
+    fine, null when malformed), the others as text (ZIP codes keep leading
+    zeros), trimmed on request; NA tokens are null."""
+    text = _id_text(name, na_tokens)
+    if name in int_ids:
+        return trim_all(text).try_cast("int").alias(name)
+    return (trim_all(text) if trim else text).alias(name)
+
+
+def bad_ids(group: "WideGroup", na_tokens=None, int_ids=INT_ID_COLS) -> Column:
+    """How many of a row's integer identifiers hold text that is no integer."""
+    bad = [F.when((trim_all(_id_text(c, na_tokens)) != "") & typed_id(c, na_tokens).isNull(), 1).otherwise(0)
+           for c in group.id_cols if c in int_ids]
+    return functools.reduce(lambda a, b: a + b, bad, F.lit(0))
 
 
 def scan_wide(spark: SparkSession, pattern: str | list[str], id_cols=None,
@@ -112,6 +132,7 @@ def scan_wide(spark: SparkSession, pattern: str | list[str], id_cols=None,
         schema, ids, measures = wide_schema(list(header), id_cols, n_ids)
         df = (spark.read.schema(schema)
               .option("header", True).option("enforceSchema", False)
+              .option("quote", '"').option("escape", '"')      # doubled quotes, as in the header
               .option("mode", "PERMISSIVE").csv(group_files)
               .withColumn("source_file", F.col("_metadata.file_path")))
         out.append(WideGroup(group_files, list(header), ids, measures, df))

@@ -16,6 +16,8 @@ Two sinks:
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -131,8 +133,11 @@ def compact(spark: SparkSession, log_root: str, snapshot_root: str,
     if not ids:
         return None
     last = max(ids)
+    done = current_version(spark, snapshot_root)
+    if done is not None and int(done.split("-")[1]) >= last:
+        return done         # nothing new since the last snapshot
     merged = read_upserted(spark, log_root, keys, snapshot_root, table)
     # batches newer than `last` that land while compacting stay in the log
-    pub = Publication(spark, snapshot_root, f"snapshot-{last:012d}")
+    pub = Publication(spark, snapshot_root, f"snapshot-{last:012d}-{uuid.uuid4().hex[:8]}")
     pub.write(table, merged)
     return pub.commit()

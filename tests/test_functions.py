@@ -74,7 +74,7 @@ def test_sizing():
     tb100 = 100 * (1 << 40)
     big = sizing(tb100, 8000)
     assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 * MB
-    assert int(big["spark.sql.shuffle.partitions"]) == 80000   # capped at 10 waves
+    assert int(big["spark.sql.shuffle.partitions"]) == -(-tb100 // (200 * MB))
     mid = sizing(1 << 40, 8000)
     assert int(mid["spark.sql.shuffle.partitions"]) == 24000  # floor of 3 waves
     small = sizing(10 * MB, 8)

@@ -61,3 +61,18 @@ def test_default_metros(spark):
     none_pref = panel.where("metro <> 'Tacoma'")
     assert sorted(r.metro for r in P.default_metros(none_pref).collect()) == [
         "Aberdeen", "Bellingham", "Yakima"]
+
+
+def test_default_metros_keeps_every_preferred_one(spark):
+    panel = spark.createDataFrame([(m,) for m in "ABCDEXYZ"] + [(None,)], "metro string")
+    pick = lambda preferred, n: sorted(r.metro for r in P.default_metros(panel, preferred, n).collect())
+    assert pick(list("EDCBA"), 3) == list("ABCDE")
+    assert pick(["Q"], 3) == list("ABC")
+
+
+def test_roi_is_safe_over_gaps(spark):
+    from casaflow.operators.analytics import roi_5y
+    rows = [("a", "2010-01-01", 100.0), ("a", "2015-01-01", 150.0), ("a", "2015-02-01", 9.0), ("b", "2010-01-01", None), ("b", "2015-01-01", 5.0), ("b", "2016-01-01", 5.0)]
+    df = spark.createDataFrame(rows, "metro string, d string, avg_house_value double").selectExpr("metro", "cast(d as date) metric_month", "avg_house_value")
+    got = {(r.metro, str(r.metric_month)): (r.value_5y_ago, r.roi_5y) for r in roi_5y(df).collect()}
+    assert got == {("a", "2015-01-01"): (100.0, 0.5), ("b", "2015-01-01"): (None, None)}

@@ -3,6 +3,7 @@
 import os
 import re
 
+from casaflow.session import materialize
 from casaflow.operators import panel as P
 from casaflow.operators.facts import fact_average
 from casaflow.operators.gapfill import interpolate_wide
@@ -39,8 +40,8 @@ def test_fact_average_aggregates_before_a_broadcast_join(spark):
     lnd = spark.createDataFrame([("A", "2020-01-31", 1.0), ("A", "2020-01-31", 3.0)],
                                 "metro string, metric_date string, house_value double") \
         .selectExpr("metro", "CAST(metric_date AS DATE) AS metric_date", "house_value")
-    dim = spark.createDataFrame([("A", 1)], "metro string, geo_key long")
-    out = fact_average(lnd, dim, "house_value", "avg_house_value", broadcast_dim=True)
+    dim = materialize(spark.createDataFrame([("A", 1)], "metro string, geo_key long"), "dim")   # its size is known
+    out = fact_average(lnd, dim, "house_value", "avg_house_value")
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert _shuffles(out) == 1 and "BroadcastHashJoin" in plan
     assert plan.index("BroadcastHashJoin") < plan.index("HashAggregate")  # join above the agg
@@ -48,6 +49,34 @@ def test_fact_average_aggregates_before_a_broadcast_join(spark):
 
 def test_panel_is_one_shuffle_with_checked_dimension(spark):
     facts, dim = _facts(spark)
-    out = P.combined_panel(facts, dim, "WA", broadcast_dim=True)
+    out = P.combined_panel(facts, materialize(dim, "dim"), "WA")
     assert _shuffles(out) == 1
     assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_payment_landing_moves_lineitem_once(spark):
+    """Without broadcasts, lineitem is exchanged by order only."""
+    from casaflow.sources import testdata as TD
+    from tests.conftest import SF_SMALL
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        TD.landing_monthly_payment.cache_clear()
+        plan = TD.landing_monthly_payment(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(l_orderkey") == 1
+        narrow = plan[plan.index("Exchange hashpartitioning(o_custkey"):]
+        assert "l_orderkey" not in narrow.split("Exchange hashpartitioning(c_custkey")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        TD.landing_monthly_payment.cache_clear()
+
+
+def test_merge_reads_each_side_once_and_roi_shuffles_once(spark, tmp_dir):
+    from casaflow.operators.analytics import roi_5y
+    from casaflow.operators.merge import keyed_merge
+    t = materialize(spark.createDataFrame([(1, 2.0)], "k int, v double"), "side")
+    plan = keyed_merge(t, t, ["k"], {"v": "set"})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2
+    monthly = materialize(spark.createDataFrame([("a", 1.0)], "metro string, avg_house_value double")
+                          .selectExpr("*", "DATE'2020-01-01' AS metric_month"), "monthly")
+    assert _shuffles(roi_5y(monthly)) == 1

@@ -42,6 +42,12 @@ def _raw_files(d):
            "2012-01-31,2012-02-29\n"
            "7,1,98101,zip,WA,WA,Seattle,\"Seattle-Tacoma-Bellevue, WA\",King County,1800,1900\n"
            "8,2,98402,zip,WA,WA,Tacoma,\"Tacoma, WA\",Pierce County,1300,1350\n")
+    # the other configured inputs of the cleaning job: headers without rows
+    from casaflow.schemas import CLEANING_FILES
+    for n_ids, name, _ in CLEANING_FILES:
+        if not os.path.exists(os.path.join(d, name)):
+            _write(os.path.join(d, name), "RegionID,SizeRank,RegionName,RegionType,StateName,State,Metro,"
+                   "CountyName,2012-01-31,2012-02-29\n")
 
 
 def test_end_to_end_pipeline(spark, tmp_dir):
