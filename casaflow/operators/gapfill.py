@@ -70,11 +70,13 @@ def _interp_udf():
     from pyspark.sql import types as T
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def interp(arrays: pd.Series) -> pd.Series:
+    def interp(arrays: pd.Series, bad: pd.Series) -> pd.Series:
         if len(arrays) == 0:
             return arrays
-        vals = np.vstack([np.asarray(a, dtype="float64") for a in arrays])
-        return pd.Series(list(interpolate_rows(vals)))
+        vals = interpolate_rows(np.vstack([np.asarray(a, dtype="float64") for a in arrays]))
+        for row, at in zip(vals, bad):
+            row[np.asarray(at, dtype="int64")] = np.nan
+        return pd.Series(list(vals))
 
     return interp
 
@@ -96,12 +98,15 @@ def interpolate_wide(df: DataFrame, value_cols: list[str],
     def q(c):
         return "`" + c.replace("`", "``") + "`"
 
-    arr = F.expr("array(" + ", ".join(value_sql.replace("{c}", q(c)) for c in value_cols) + ")")
+    # one array and a lambda: an expression per column would outgrow generated code
+    cells = "array(" + ", ".join(q(c) for c in value_cols) + ")"
+    arr = F.expr(f"transform({cells}, x -> {value_sql.replace('{c}', 'x')})")
+    bad = (F.expr("CAST(array() AS array<int>)") if bad_sql is None else
+           F.expr(f"filter(transform({cells}, (x, i) -> CASE WHEN {bad_sql.replace('{c}', 'x')} THEN i END), i -> i IS NOT NULL)"))
     keep = [q(c) for c in df.columns if c not in set(value_cols)]
-    bad = [] if bad_sql is None else [F.expr("array(" + ", ".join(bad_sql.replace("{c}", q(c)) for c in value_cols) + ")").alias("_bad")]
     ship_package(df.sparkSession)
-    with_arr = df.select(*[F.col(c) for c in keep], _interp_udf()(arr).alias("_filled"), *bad)
-    filled = {c: f"CASE WHEN {f'_bad[{i}] OR ' if bad else ''}isnan(_filled[{i}]) THEN CAST(NULL AS DOUBLE) "
+    with_arr = df.select(*[F.col(c) for c in keep], _interp_udf()(arr, bad).alias("_filled"))
+    filled = {c: f"CASE WHEN isnan(_filled[{i}]) THEN CAST(NULL AS DOUBLE) "
                  f"ELSE _filled[{i}] END AS {q(c)}" for i, c in enumerate(value_cols)}
     out = [filled.get(c, q(c)) for c in df.columns]
     return with_arr.selectExpr(*out)

@@ -524,7 +524,7 @@ def lake_partition_counts(spark, sf_dir):
 def _hv_csv_files(spark, sf_dir):
     """The wide CSV input of the landing job, written once per session from
     the test tables (one file family per tier, two header date spellings)."""
-    from casaflow.plans.csv_fixture import write_house_value_csvs
+    from casaflow.sources.csv_fixture import write_house_value_csvs
     return write_house_value_csvs(spark, _landing_all(spark, sf_dir))
 
 
@@ -554,3 +554,123 @@ def reject_report(spark, sf_dir):
                      raw.alias("raw"), raw.try_cast("double").alias("value"),
                      parse_date_multi("date_text").alias("metric_date"))
     return _reject_report(cells)
+
+
+@functools.lru_cache(maxsize=8)
+def _dirty_families(spark, sf_dir):
+    """(family, tier, id names, folder, months) of wide CSVs with faults."""
+    from casaflow.session import scratch_path
+    from casaflow.sources import csv_fixture as X
+    lands, root = _landings(spark, sf_dir), scratch_path(spark, "dirty-csv")
+    hv = _landing_all(spark, sf_dir)
+    jobs = [("house_value", t, X.HV_SOURCE_NAMES, hv.where(F.col("home_tier") == t)) for t in X.TIER_FILES]
+    jobs += [("monthly_payment", None, X.MP_SOURCE_NAMES, lands["monthly_payment"]),
+             ("rental_income", None, X.RI_SOURCE_NAMES, lands["rental_income"])]
+    out = []
+    for family, tier, names, landing in jobs:
+        name = f"raw_{family}_{tier or 'all'}.csv"
+        out.append((family, tier, tuple(names.items()), name, tuple(X.write_dirty_csvs(landing, names, family, f"{root}/{name}"))))
+    return root, out
+
+
+@register
+def clean_files_roundtrip(spark, sf_dir):
+    """The cleaning job run twice into one target over dirty wide CSVs of all
+    three families (padded ids, N/A metros, doubled quotes, malformed cells),
+    read back and reported with every identifier."""
+    from casaflow.plans.cleaning import clean_files
+    from casaflow.session import scratch_path
+    raw, families = _dirty_families(spark, sf_dir)
+    target = scratch_path(spark, "cleaned-csv")
+    configured = [(len(names), name, f"cleaned_{name}") for _, _, names, name, _ in families]
+    for _ in range(2):
+        clean_files(spark, raw, target, configured)
+    out = None
+    for family, tier, names, name, months in families:
+        back = spark.read.option("header", True).option("escape", '"').csv(f"{target}/cleaned_{name}")
+        ids = {c: F.col(h) for c, h in names}
+        ids |= {c: ids[c].cast("int") for c in ("region_id", "size_rank")}
+        flat = back.select(*[ids.get(c, F.lit(None).cast("string")).alias(c) for c in HV_IDS[:-1]], *[f"`{m}`" for m in months])
+        long = unpivot_wide(flat, HV_IDS[:-1], [(str(m), m, i) for i, m in enumerate(months)], "value").select(
+            F.lit(family).alias("family"), F.lit(tier).cast("string").alias("home_tier"), *HV_IDS[:-1], "metric_date",
+            amt(F.col("value").cast("double")).alias("value"))
+        out = long if out is None else out.unionByName(long)
+    return out
+
+
+# --- the other two facts and finals -------------------------------------------
+
+def _fact_upsert_of(name):
+    from casaflow.operators.facts import fact_average
+    from casaflow.plans.final import FACT_SPECS
+    measure, out, metro_col, aliased = FACT_SPECS[name]
+
+    def q(spark, sf_dir):
+        lands, dim = _landings(spark, sf_dir), _dim(spark, sf_dir)
+        aliases = TD.TEST_ALIASES if aliased else None
+        part = lambda cond: fact_average(lands[name].where(cond), dim, measure, out, metro_col, aliases)
+        old = part(F.col("metric_date") < F.lit(SPLIT_OLD).cast("date"))
+        old = old.withColumns({"inserted_at": F.current_timestamp(), "updated_at": F.current_timestamp()})
+        merged = upsert_fact(old, part(F.col("metric_date") >= F.lit(SPLIT_NEW).cast("date")), name, with_action=True)
+        return _round(with_metro(merged, dim).select("metro", "metric_date", "year", out, "merge_action"), [out])
+    q.__name__ = f"fact_upsert_{name}"
+    return q
+
+
+def _orphans_of(name):
+    def q(spark, sf_dir):
+        _, dim, facts = _star(spark, sf_dir)
+        orphans = orphan_keys(facts[name], dim.where(F.col("state") != TD.TEST_STATE), "geo_key")
+        return with_metro(orphans, dim).select("metro", "metric_date")
+    q.__name__ = f"orphan_{name}_keys"
+    return q
+
+
+def _legacy_upsert_of(name, build, measure):
+    def q(spark, sf_dir):
+        land = _landings(spark, sf_dir)[name]
+        old = build(land.where(F.col("metric_date") < F.lit(SPLIT_OLD).cast("date"))).withColumn("inserted_at", F.current_timestamp())
+        new = build(land.where(F.col("metric_date") >= F.lit(SPLIT_NEW).cast("date")))
+        merged = upsert_legacy(old, new, measure, touch_updated=False, with_action=True)
+        return _round(merged.select("region_id", "metric_date", "metro", measure, "year", "merge_action"), [measure])
+    q.__name__ = f"legacy_upsert_{name}"
+    return q
+
+
+def _legacy_mp(land):
+    from casaflow.operators.facts import legacy_monthly_payment
+    return legacy_monthly_payment(land)
+
+
+for _q in (_fact_upsert_of("monthly_payment"), _fact_upsert_of("rental_income"), _orphans_of("house_value"),
+           _orphans_of("rental_income"), _legacy_upsert_of("house_value", _legacy_hv, "avg_house_value"),
+           _legacy_upsert_of("monthly_payment", _legacy_mp, "monthly_payment")):
+    register(_q)
+
+
+@register
+def surrogate_keys(spark, sf_dir):
+    """Keys of the dimension after a second load: unique, never null and
+    unchanged for every metro of the first load."""
+    dim = _dim(spark, sf_dir)
+    second = upsert_dim_rows(dim, _first_per_metro(_mp_ri_rows(_landings(spark, sf_dir), TD.TEST_ALIASES)))
+    both = second.select("metro", F.col("geo_key").alias("k2")).join(dim.select("metro", "geo_key"), "metro", "full")
+    per_key = both.groupBy("k2").agg(F.count(F.lit(1)).alias("n_metros"), F.min("metro").alias("metro"),
+                                     F.max((F.col("k2") == F.col("geo_key")).cast("int")).alias("same"))
+    return per_key.select("metro", "n_metros", (F.col("same") == 1).alias("key_kept"))
+
+
+@register
+def published_tables(spark, sf_dir):
+    """Two publications of the facts, the second one left without its marker:
+    readers keep seeing the first."""
+    from casaflow.session import scratch_path
+    from casaflow.sinks.publish import Publication, publish, read_current
+    _, dim, facts = _star(spark, sf_dir)
+    root = scratch_path(spark, "published")
+    publish(spark, root, {"dim_geography": dim, **{f"fact_{k}": v for k, v in facts.items()}}, "0001")
+    Publication(spark, root, "0002").write("dim_geography", dim.where("false"))       # never committed
+    names = ["dim_geography", *[f"fact_{k}" for k in facts]]
+    counts = [t.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("table_name"), "n_rows")
+              for n, t in read_current(spark, root, names).items()]
+    return functools.reduce(DataFrame.unionByName, counts)

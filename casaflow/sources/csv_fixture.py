@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from casaflow.operators.reshape import month_ends, to_wide
 from casaflow.session import scratch_path
 
-# landing column -> source header
+# landing column -> source header (fixed values)
 HV_SOURCE_NAMES = {"region_id": "RegionID", "size_rank": "SizeRank",
                    "region_name": "RegionName", "region_type": "RegionType",
                    "state_name": "StateName", "state": "State", "metro": "Metro",
@@ -22,6 +22,32 @@ TIER_HEADER_FORMAT = {"top": "M/d/yyyy", "bottom": "M/d/yyyy",
                       "medium": "yyyy-MM-dd", "unknown": "yyyy-MM-dd"}
 
 
+#: landing column -> source header of the other two families
+MP_SOURCE_NAMES = {"region_id": "RegionID", "size_rank": "SizeRank", "region_name": "RegionName",
+                   "region_type": "RegionType", "state_name": "StateName"}
+RI_SOURCE_NAMES = {**MP_SOURCE_NAMES, "state": "State", "city": "City", "metro": "Metro",
+                   "county_name": "CountyName"}
+
+
+def write_dirty_csvs(landing: DataFrame, names: dict[str, str], measure: str, path: str) -> list:
+    """One family as a folder of wide CSV part files with the faults real files
+    have, each by key: padded ids, ``N/A`` metros, doubled quotes in counties
+    and ``oops`` cells. Returns the month ends of its header."""
+    months = month_ends(landing, "metric_date")
+    key, month = F.col("region_id"), F.year("metric_date") * 12 + F.month("metric_date")
+    ids = {"region_id": F.concat(F.lit("  "), key.cast("string"), F.lit(" ")),
+           "metro": F.when(key % 5 == 0, "N/A").otherwise(F.col("metro") if "metro" in names else F.lit(None)),
+           "county_name": F.when(key % 7 == 0, F.concat(F.lit('The "X", '), "county_name")).otherwise(F.col("county_name"))
+           if "county_name" in names else F.lit(None)}
+    cell = F.when((key + month) % 11 == 0, "oops").otherwise(F.col(measure).cast("string"))
+    long = landing.where(F.col(measure).isNotNull()).select(
+        *[ids.get(c, F.col(c)).alias(h) for c, h in names.items()], F.date_format("metric_date", "yyyy-MM-dd").alias("hdr"), cell.alias("cell"))
+    wide = to_wide(long, list(names.values()), "hdr", [m.isoformat() for m in months], "cell")
+    (wide.write.option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return months
+
+
 def _py_format(d, fmt):
     return f"{d.month}/{d.day}/{d.year}" if fmt == "M/d/yyyy" else d.isoformat()
 
