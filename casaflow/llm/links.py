@@ -15,29 +15,36 @@ from casaflow.session import materialize, ship_package
 
 #: Members of a group that one task may compare with each other.
 GROUP_LIMIT = 2000
+#: Edges that one task contracts to stars.
+EDGES_PER_TASK = 1 << 18
 
 
-def split_groups(rows: DataFrame, key: str, member: str, limit: int = GROUP_LIMIT) -> DataFrame:
-    """Deal each group's members so that no cell exceeds about ``2 * limit``.
+def split_groups(rows: DataFrame, key: str, member: str, limit: int = GROUP_LIMIT, weight: str | None = None) -> DataFrame:
+    """Deal each group's members so that no cell exceeds about ``2 * limit``
+    members, or twice that sum of ``weight``.
 
     Adds ``cell`` (long) and ``side``. A group within the limit is one cell with
     side 0. A larger one is cut into chunks by the member's hash and every pair
     of chunks becomes a cell whose two chunks have sides 0 and 1, so any two
     members still meet in one cell: nothing is capped.
     """
-    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+    sizes = rows.groupBy(key).agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("_n")).where(F.col("_n") > limit)
     sizes = materialize(sizes.select(F.col(key).alias("_k"), F.ceil(F.col("_n") / limit).cast("int").alias("_chunks")), "hot-groups")
+    whole = {"cell": F.col(key), "side": F.lit(0)}
     if sizes.isEmpty():
-        return rows.withColumns({"cell": F.col(key), "side": F.lit(0)})
-    joined = rows.join(sizes, F.col(key) == F.col("_k"), "left").drop("_k")
+        return rows.withColumns(whole)
+    # only rows that may belong to a large group are moved to meet their group's size
+    flagged = Bitmap(sizes, F.col("_k")).flag(rows, F.col(key), "_large")
+    joined = flagged.where("_large").drop("_large").join(sizes, F.col(key) == F.col("_k"), "left").drop("_k")
     chunk = F.pmod(F.xxhash64(F.lit(11), F.col(member)), F.col("_chunks")).cast("int")
     other = F.explode(F.when(F.col("_chunks").isNull(), F.array(F.lit(0)))
                       .otherwise(F.sequence(F.lit(0), F.col("_chunks") - 1)))
     dealt = joined.withColumn("_c", F.coalesce(chunk, F.lit(0))).withColumn("_o", other)
     cell = F.when(F.col("_chunks").isNull(), F.col(key)).otherwise(
         F.xxhash64(F.col(key), F.least("_c", "_o"), F.greatest("_c", "_o")))
-    return (dealt.withColumns({"cell": cell, "side": F.when(F.col("_c") > F.col("_o"), 1).otherwise(0)})
-            .drop("_chunks", "_c", "_o"))
+    cut = (dealt.withColumns({"cell": cell, "side": F.when(F.col("_c") > F.col("_o"), 1).otherwise(0)})
+           .drop("_chunks", "_c", "_o"))
+    return cut.unionByName(flagged.where("not _large").drop("_large").withColumns(whole))
 
 
 class Bitmap:
@@ -120,19 +127,27 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict({"u": nodes[rest], "v": nodes[roots[rest]]})
 
 
+def _stars(edges: DataFrame) -> tuple[DataFrame, int]:
+    """The edges (u, v) with every partition of EDGES_PER_TASK rows contracted,
+    and the number of partitions."""
+    stored = materialize(edges, "edges")
+    parts = max(1, -(-stored.count() // EDGES_PER_TASK))
+    return materialize(stored.coalesce(parts).mapInArrow(_contract, "u long, v long"), "stars"), parts
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of the edges; a component's id is its
     smallest node. Edges may repeat and lead both ways; loops are ignored.
 
-    Each round replaces the edges of every partition by stars, then links every
-    node to the smallest node around it (the large-star and small-star steps),
-    and is written out. Rounds grow with the logarithm of the longest path.
+    Each round replaces the edges of every partition (a bounded number of
+    edges) by stars, then links every node to the smallest node around it (the
+    large-star and small-star steps), and is written out. Rounds grow with the
+    logarithm of the longest path; edges of a single partition need none.
     """
     ship_package(edges.sparkSession)
     u, v = F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v")
-    stars = materialize(edges.where(F.col(a) != F.col(b)).select(u, v).distinct()
-                        .mapInArrow(_contract, "u long, v long"), "stars")
-    while True:
+    stars, parts = _stars(edges.where(F.col(a) != F.col(b)).select(u, v).distinct())
+    while parts > 1:
         parents = stars.select(F.col("v").alias("u")).distinct()
         open_ends = (stars.groupBy("u").count().where("count > 1").select("u")
                      .unionByName(stars.join(parents, "u", "left_semi").select("u")))
@@ -146,6 +161,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = (large.join(low, "u")
                  .select(F.when(F.col("v") == F.col("low"), F.col("u")).otherwise(F.col("v")).alias("u"),
                          F.col("low").alias("v")).distinct())
-        stars = materialize(small.mapInArrow(_contract, "u long, v long"), "stars")
+        stars, parts = _stars(small)
     return (stars.select(F.col("u").alias("node"), F.col("v").alias("component"))
             .unionByName(stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()))

@@ -28,7 +28,10 @@ def clashing(df):
 
 # --- links ----------------------------------------------------------------------
 
-def test_components_of_long_paths_stars_and_loops(spark):
+@pytest.mark.parametrize("per_task", [1 << 18, 20])
+def test_components_of_long_paths_stars_and_loops(spark, monkeypatch, per_task):
+    from casaflow.llm import links
+    monkeypatch.setattr(links, "EDGES_PER_TASK", per_task)
     edges = [(i, i + 1) for i in range(100, 180)] + [(7, i) for i in range(8, 60)] + [(90, 90), (95, 96), (96, 95)]
     got = dict(tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long").repartition(6)).collect())
     assert got == {**{i: 100 for i in range(100, 181)}, **{i: 7 for i in range(7, 60)}, 95: 95, 96: 95}
@@ -68,7 +71,7 @@ def expected_links(rows, threshold):
 @pytest.mark.parametrize("limit", [2000, 2])
 def test_embed_dedup_matches_brute_force(spark, monkeypatch, limit):
     from casaflow.llm import links
-    monkeypatch.setattr(links.split_groups, "__defaults__", (limit,))      # 2: buckets are cut into chunks
+    monkeypatch.setattr(links.split_groups, "__defaults__", (limit, None))      # 2: buckets are cut into chunks
     rows = vectors()
     df = embed_dedup(clashing(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")), 0.98)
     got = {r[0]: tuple(r[1:]) for r in df.collect()}
