@@ -31,7 +31,8 @@ from casaflow.llm.arrays import (U64, Forest, byte_chunks, column_bytes, key_run
 from casaflow.llm.links import Bitmap, components, repeated, split_groups
 from casaflow.session import materialize, ship_package
 
-GROUPS = 64          # coordinates of a count vector
+GROUPS = 64, 4096    # fewest and most coordinates of a count vector
+FAMILY_SHINGLES = 1 << 22   # shingles of a family's chunk (32 MiB)
 LEAF = 32            # points of an R-tree leaf, children of a node
 TEXT_BLOCK = 4 << 20  # bytes of text hashed at once
 
@@ -78,6 +79,43 @@ def frequent_shingles(texts: DataFrame, k: int, share: float = 2e-4, at_most: in
     return np.sort(np.array([r[0] for r in hot.toLocalIterator()], dtype=np.int64).view(U64))
 
 
+def group_counts(own: np.ndarray) -> np.ndarray:
+    """The point of a set: counts of its shingles in 64 to 4096 hash groups, a
+    power of two above a sixteenth of the set: with fewer groups unrelated large
+    sets have bounds near their size, with more the points grow heavy."""
+    groups = max(GROUPS[0], min(GROUPS[1], 1 << (len(own) // 16).bit_length()))
+    return np.bincount((own & U64(groups - 1)).astype(np.int64), minlength=groups).astype(np.uint16)
+
+
+def _points(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The points of some rows as a matrix, with the groups of larger ones added
+    up to those of the smallest."""
+    groups = int(np.diff(offsets).min()) // 2
+    if len(flat) == groups * 2 * (len(offsets) - 1):
+        return flat.view(np.uint16).reshape(-1, groups)
+    return np.stack([flat[a:b].view(np.uint16).reshape(-1, groups).sum(axis=0, dtype=np.uint32) for a, b in zip(offsets[:-1], offsets[1:])])
+
+
+def _pair_bounds(flat: np.ndarray, offsets: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Summed coordinate minima of the rows ``first`` and those after them."""
+    bound = np.empty(len(first), np.int64)
+    width = np.diff(offsets)
+    same = width[first] == width[first + 1]
+    counts = flat.view(np.uint16)
+    for w in np.unique(width[first[same]]).tolist():
+        at = np.flatnonzero(same & (width[first] == w))
+        for lo in range(0, len(at), 2048):
+            part = at[lo:lo + 2048]
+            column = np.arange(w // 2)
+            bound[part] = np.minimum(counts[(offsets[first[part]] // 2)[:, None] + column],
+                                     counts[(offsets[first[part] + 1] // 2)[:, None] + column]).sum(axis=1, dtype=np.int64)
+    for k in np.flatnonzero(~same).tolist():
+        i = int(first[k])
+        a, b = _points(flat[offsets[i]:offsets[i + 2]], offsets[i:i + 3] - offsets[i])
+        bound[k] = np.minimum(a, b).sum(dtype=np.int64)
+    return bound
+
+
 def _need(n_a, n_b, num: int, den: int):
     """Least overlap of a link: den * I >= num * (a + b - I)."""
     return -(-num * (n_a + n_b) // (num + den))
@@ -124,16 +162,16 @@ def _candidates(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in key_runs(batches, "cell"):
             cell, rep, n, side = (rows.column(c).to_numpy() for c in ("cell", "rep", "n", "side"))
-            counts = np.frombuffer(column_bytes(rows.column("counts"))[0], np.uint16).reshape(-1, GROUPS)
+            flat, offsets = column_bytes(rows.column("counts"))
             cuts = run_bounds(cell)
             labels = np.arange(len(cell))
             pair = cuts[:-1][np.diff(cuts) == 2]
-            bound = np.minimum(counts[pair], counts[pair + 1]).sum(axis=1, dtype=np.int64)
-            good = pair[bound >= _need(n[pair], n[pair + 1], num, den)]
+            good = pair[_pair_bounds(flat, offsets, pair) >= _need(n[pair], n[pair + 1], num, den)]
             labels[good + 1] = good
             for lo, hi in zip(cuts[:-1], cuts[1:]):
                 if hi - lo > 2:
-                    labels[lo:hi] = lo + _candidate_groups(n[lo:hi], counts[lo:hi], side[lo:hi], num, den)
+                    points = _points(flat[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
+                    labels[lo:hi] = lo + _candidate_groups(n[lo:hi], points, side[lo:hi], num, den)
             tied = np.flatnonzero(labels != np.arange(len(cell)))
             yield pa.RecordBatch.from_pydict({"a": rep[tied], "b": rep[labels[tied]]})
 
@@ -163,7 +201,7 @@ def _verify(num: int, den: int):
             cell, rep, side = (rows.column(c).to_numpy() for c in ("cell", "rep", "side"))
             flat, offsets = column_bytes(rows.column("tokens"))
             tokens, offsets = flat.view(U64), offsets // 8
-            counts = np.frombuffer(column_bytes(rows.column("counts"))[0], np.uint16).reshape(-1, GROUPS)
+            packed, ends = column_bytes(rows.column("counts"))
             links = []
             cuts = run_bounds(cell)
             for lo, hi in zip(cuts[:-1], cuts[1:]):
@@ -171,12 +209,13 @@ def _verify(num: int, den: int):
                 sizes = np.array([len(x) for x in own])
                 label, sides = np.arange(hi - lo), side[lo:hi]
                 two = bool(sides.any())
+                points = _points(packed[ends[lo]:ends[hi]], ends[lo:hi + 1] - ends[lo])
                 for i in range(hi - lo - 1):
                     j = i + 1 + np.flatnonzero((label[i + 1:] != label[i])
                                                & (sizes[i + 1:] * den >= sizes[i] * num) & (sizes[i] * den >= sizes[i + 1:] * num))
                     if two:
                         j = j[sides[j] != sides[i]]
-                    bound = np.minimum(counts[lo + j], counts[lo + i]).sum(axis=1, dtype=np.int64)
+                    bound = np.minimum(points[j], points[i]).sum(axis=1, dtype=np.int64)
                     j = j[bound >= _need(sizes[i], sizes[j], num, den)]
                     for other in j.tolist():
                         if label[other] != label[i]:
@@ -224,8 +263,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     keys.append(None)
                     continue
                 seen.add((d1[-1], d2[-1]))
-                counts.append(np.minimum(np.bincount((own & U64(GROUPS - 1)).astype(np.int64), minlength=GROUPS), 65535)
-                              .astype(np.uint16).tobytes())
+                counts.append(group_counts(own).tobytes())
                 first = len(own) + 1 - (-(-num * len(own) // den))
                 if len(last):
                     at = np.minimum(np.searchsorted(last, own), len(last) - 1)
@@ -261,8 +299,10 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     families = materialize(components(near), "ngram-families").select(F.col("node").alias("rep"), F.col("component").alias("family"))
 
     wanted = families.select("rep").join(classes, "rep").select("rep", "rep_id", "d1", "d2")
-    sets = materialize(_wanted_sets(pick, wanted, k).join(points.select("rep", "counts"), "rep"), "ngram-wanted")
-    dealt = split_groups(families, "family", "rep").join(sets, "rep").select("cell", "rep", "side", "counts", "tokens")
+    sets = materialize(_wanted_sets(pick, wanted, k).join(points.select("rep", "n", "counts"), "rep"), "ngram-wanted")
+    weighed = families.join(sets.select("rep", "n"), "rep")
+    dealt = (split_groups(weighed, "family", "rep", FAMILY_SHINGLES, "n").select("cell", "rep", "side")
+             .join(sets, "rep").select("cell", "rep", "side", "counts", "tokens"))
     links = materialize(dealt.repartition("cell").sortWithinPartitions("cell", "rep")
                         .mapInArrow(_verify(num, den), "a long, b long"), "ngram-links")
     found = materialize(components(links).join(classes.select(F.col("rep").alias("node"), "least_id"), "node"), "ngram-found")

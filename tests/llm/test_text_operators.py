@@ -86,8 +86,9 @@ def near_texts(seed, n=60):
 @pytest.mark.parametrize("k,num,limit", [(3, 90, 2000), (5, 80, 2000), (3, 70, 3)])
 def test_ngram_join_matches_brute_force(spark, monkeypatch, k, num, limit):
     from casaflow.llm import links
-    monkeypatch.setattr(links, "GROUP_LIMIT", limit)
-    monkeypatch.setattr(links.split_groups, "__defaults__", (limit,))      # 3: groups are cut into chunks
+    from casaflow.llm import ngram_join as ngram
+    monkeypatch.setattr(links.split_groups, "__defaults__", (limit, None))      # 3: groups are cut into chunks
+    monkeypatch.setattr(ngram, "FAMILY_SHINGLES", 100 * limit)
     rows = list(enumerate(near_texts(k)))
     df = ngram_join(spark.createDataFrame(rows, "doc_id long, text string"), k=k, num=num)
     expected = brute.jaccard_groups(rows, k, num, 100)
