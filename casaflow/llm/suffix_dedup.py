@@ -7,7 +7,8 @@ anywhere else in the corpus.
   anchor; equal windows have equal anchors at equal offsets. Windows of one
   anchor are a run, named by the hash of over half a window around the anchor.
   Only runs whose name occurs again go on (one narrow shuffle).
-* Runs with equal bytes all repeat. Runs with a common name and different bytes
+* Runs with equal bytes all repeat; those of one text (periodic text) are
+  settled in the task that finds them. Runs with a common name and different bytes
   (where repeated passages begin and end) are cut into blocks aligned at the
   anchor; the suffix array of all block sequences of a task, built by grouping
   Lyndon prefixes, brings together the suffixes that share enough whole blocks,
@@ -23,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -97,8 +99,45 @@ def runs(data: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     return name, whole, first, last, a
 
 
+RUN_COLUMNS = "name long, whole long, text long, first long, last long, anchor long, n long"
+
+
+def _own_repeats(parts: list[tuple[np.ndarray, ...]], digest: int, length: int) -> list[tuple[np.ndarray, ...]]:
+    """One text's runs, each different one once with its number ``n``, and what
+    its own repeats (as in periodic text) cover, as merged spans with n = 0."""
+    name, whole, first, last, anchor = (np.concatenate(c) for c in zip(*parts))
+    both = mix(name + mix(whole))
+    _, at, which, count = np.unique(both, return_index=True, return_inverse=True, return_counts=True)
+    if len(at) == len(both):
+        return [(name, whole, np.full(len(name), digest), first, last, anchor, np.ones(len(name), np.int64))]
+    again = np.flatnonzero(count[which] > 1)
+    start, end = first[again], last[again] + length        # in text order, so ends ascend
+    cut = np.flatnonzero(np.concatenate([[True], start[1:] > end[:-1]]))
+    lo, hi = start[cut], end[np.append(cut[1:], len(end)) - 1]
+    spans = (mix(lo.astype(U64) + U64(digest & (1 << 64) - 1)), np.zeros(len(lo), U64), np.full(len(lo), digest), lo, hi, lo, np.zeros(len(lo), np.int64))
+    return [(name[at], whole[at], np.full(len(at), digest), first[at], last[at], anchor[at], count), spans]
+
+
+def _met_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs whose name has another row or that repeat in their own text, and
+    all spans; rows are sorted by name."""
+    aside: list[pa.RecordBatch] = []
+
+    def others() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            alone = pc.equal(batch.column(6), 1)
+            aside.append(batch.filter(pc.invert(alone)))
+            yield batch
+
+    for batch in repeated(others()):
+        yield batch.filter(pc.equal(batch.column(6), 1))
+        while aside:
+            yield aside.pop()
+    yield from aside
+
+
 def _find_runs(length: int):
-    columns = ["name", "whole", "text", "first", "last", "anchor"]
+    columns = [c.split()[0] for c in RUN_COLUMNS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -112,17 +151,18 @@ def _find_runs(length: int):
                 if n < length or digest in seen:      # a copy in the same task adds nothing
                     continue
                 seen.add(digest)
+                parts = []
                 for base in range(0, n - length + 1, PIECE):
                     end = min(n, base + PIECE + length - 1)
                     name, whole, first, last, anchor = runs(flat[offsets[i] + base:offsets[i] + end], length)
-                    held.append((name.view(np.int64), whole.view(np.int64), np.full(len(name), digest),
-                                 first + base, last + base, anchor + base))
-                    rows += len(name)
+                    parts.append((name, whole, first + base, last + base, anchor + base))
+                held += _own_repeats(parts, digest, length)
+                rows += sum(len(p[0]) for p in parts)
                 if rows > 1 << 17:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=columns)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).view(np.int64)) for c in zip(*held)], names=columns)
                     held, rows = [], 0
             if held:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=columns)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).view(np.int64)) for c in zip(*held)], names=columns)
     return run
 
 
@@ -251,10 +291,11 @@ def repeated_spans(texts: DataFrame, length: int = 400) -> DataFrame:
     copies = (texts.select("digest", F.octet_length("data").cast("long").alias("n")).where(F.col("n") >= length)
               .groupBy("digest").agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n")).where("c > 1"))
     copies = materialize(copies.select(F.col("digest").alias("text"), F.lit(0).cast("long").alias("start"), F.col("n").alias("end")), "copies")
-    found = texts.mapInArrow(_find_runs(length), "name long, whole long, text long, first long, last long, anchor long")
-    met = materialize(found.repartition("name").sortWithinPartitions("name").mapInArrow(
-        repeated, "name long, whole long, text long, first long, last long, anchor long"), "runs")
-    kinds = met.groupBy("name", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("text", "first", "last", "anchor")).alias("r"))
+    found = texts.mapInArrow(_find_runs(length), RUN_COLUMNS)
+    kept = materialize(found.repartition("name").sortWithinPartitions("name").mapInArrow(_met_runs, RUN_COLUMNS), "runs")
+    own = kept.where("n = 0").select("text", F.col("first").alias("start"), F.col("last").alias("end"))
+    met = kept.where("n > 0")
+    kinds = met.groupBy("name", "whole").agg(F.sum("n").alias("n"), F.min(F.struct("text", "first", "last", "anchor")).alias("r"))
     kinds = materialize(kinds, "run-kinds")
     # runs with equal bytes: every window of them repeats
     equal = (met.join(kinds.where("n > 1").select("name", "whole"), ["name", "whole"], "left_semi")
@@ -275,7 +316,7 @@ def repeated_spans(texts: DataFrame, length: int = 400) -> DataFrame:
         _window_hashes(length), "window long, text long, start long, alone boolean")
     counted = (windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window")
                .join(windows.where("alone"), "window").select("text", "start", (F.col("start") + length).alias("end")))
-    covered = equal.unionByName(compared).unionByName(counted).join(copies.select("text"), "text", "left_anti").unionByName(copies)
+    covered = own.unionByName(equal).unionByName(compared).unionByName(counted).join(copies.select("text"), "text", "left_anti").unionByName(copies)
     return covered.distinct().repartition("text").sortWithinPartitions("text", "start").mapInArrow(
         _merge_spans, "text long, spans array<struct<start:long,end:long>>")
 
