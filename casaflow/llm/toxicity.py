@@ -7,7 +7,9 @@ two apart, which additive weights can't say. Pair terms cost linear time:
 ``(|sum v|^2 - sum |v|^2) / 2``.
 
 It is fitted by mini-batch AdaGrad in one task on a bounded sample of the
-labelled documents (``per_class`` of each label, picked by their id's hash);
+labelled documents (``per_class`` of each label, picked by their id's hash), and
+its bias is then set back by the labels' shares in the sample, so that scores
+mean the same however many documents there are;
 scoring covers every document and only broadcasts the fitted buckets (at most
 2^bits).
 """
@@ -109,7 +111,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
     ``labels`` has the id and a 0/1 label; rows with a null in either are
     ignored, a repeated id counts once (with its highest label). At most about
-    ``per_class`` documents of each label are used. Features are the buckets
+    ``per_class`` documents of each label are used; the bias is corrected by the
+    logarithm of the ratio of their shares, so scores follow the class ratio of
+    all labels. Features are the buckets
     whose frequencies under the two labels differ by a log-likelihood ratio of
     ``least_ratio`` or more, so that a million rare terms can't be learned by
     heart. Without labels of both kinds the table has
@@ -119,9 +123,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     known = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
              .groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("label")))
     sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}     # two rows
+    shares = {label: min(1.0, per_class / n) for label, n in sizes.items()}
     share = F.lit(0.0)
-    for label, n in sizes.items():
-        share = F.when(F.col("label") == label, min(1.0, per_class / n)).otherwise(share)
+    for label, part in shares.items():
+        share = F.when(F.col("label") == label, part).otherwise(share)
+    # a label sampled by s has its odds multiplied by s in the sample
+    prior = float(np.log(shares[0] / shares[1])) if set(shares) == {0, 1} else 0.0
     part = F.pmod(F.xxhash64(F.lit(17), "id"), F.lit(1 << 30)) / float(1 << 30)
     sample = materialize(known.where(part < share), "toxicity-sample")     # its size is bounded by per_class
     texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).join(F.broadcast(sample), F.col("doc") == F.col("id"))
@@ -147,7 +154,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
             dense = np.cumsum(often) - 1
             keep = often[which]
             model = FactorizationMachine.fit(dense[which[keep]], row[keep], (label > 0).astype(float), int(often.sum()))
-            table = {"bucket": [-1, *used[often].tolist()], "weight": [model.bias, *model.weights.tolist()],
+            table = {"bucket": [-1, *used[often].tolist()], "weight": [model.bias + prior, *model.weights.tolist()],
                      "factors": [[0.0] * FACTORS, *model.factors.tolist()]}
         yield pa.RecordBatch.from_pydict({"bucket": pa.array(table["bucket"], pa.int32()), "weight": pa.array(table["weight"], pa.float64()),
                                           "factors": pa.array(table["factors"], pa.list_(pa.float64()))})
