@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from casaflow.llm import records
 from casaflow.llm.embed_dedup import embed_dedup
+from casaflow.llm.filter_audit import audit_filters
+from casaflow.llm.importance import importance_resample
 from casaflow.llm.line_dedup import line_dedup
 from casaflow.llm.mixing import mix_sources, word_count
 from casaflow.llm.ngram_join import ngram_join
@@ -21,6 +23,7 @@ from casaflow.llm.suffix_dedup import dedup_strings
 from casaflow.llm.topk import sign_code, topk_codes
 from casaflow.llm.toxicity import fit_toxicity, score_toxicity
 from casaflow.llm.url_filter import url_filter
+from casaflow.llm.window_packing import pack_windows
 from casaflow.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -270,3 +273,107 @@ mixed AS (
           SELECT max(p.key) FROM placed p WHERE p.ends <= p.rest AND p.m_domain = placed.m_domain AND p.m_lang = placed.m_lang
              AND p.m_source = placed.m_source) THEN 1 ELSE 0 END AS epochs FROM placed) WHERE epochs > 0)"""
 ORACLE["op6_mixing"] = f"WITH docs AS (SELECT * FROM documents), {MIX_SQL}\nSELECT doc_id, mix_epoch, lang, source FROM mixed"
+
+
+@register
+def op11_filter_audit(spark, sf_dir):
+    """What each of five filters removes after others, in all orders."""
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+_BIT = "CASE letter " + " ".join(f"WHEN '{c}' THEN {1 << i}" for i, c in enumerate("ABCDE")) + " END"
+ORACLE["op11_filter_audit"] = f"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+known AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+failing AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         (len(words) < 100)::INT + 2 * (100 * len(list_distinct(words)) < 80 * len(words))::INT
+         + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text))::INT
+         + 8 * regexp_matches(text, '[#$%&*|]')::INT
+         + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)::INT AS bits
+  FROM texts LEFT JOIN known USING (doc_id)),
+cells AS (SELECT part, bits, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failing GROUP BY part, bits),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter),
+orders(filter_order) AS (
+  SELECT letter FROM letters
+  UNION ALL
+  SELECT filter_order || letter FROM orders, letters WHERE NOT contains(filter_order, letter)),
+steps AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS letter,
+         list_sum([{_BIT.replace("letter", "c")} for c in string_split(filter_order[:step - 1], '')]) AS before
+  FROM orders, range(1, 6) AS s(step) WHERE length(filter_order) = 5),
+bits AS (SELECT filter_order, step, letter, CAST(coalesce(before, 0) AS INTEGER) AS before, {_BIT} AS own FROM steps),
+told AS (
+  SELECT part, filter_order, step, letter,
+         sum(CASE WHEN c.bits & (before | own) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN c.bits & own > 0 AND c.bits & before = 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN c.bits & own > 0 AND c.bits & before > 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN c.bits = own THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN c.bits & own > 0 AND c.bits & before = 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN c.bits & own > 0 AND c.bits & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM cells c CROSS JOIN bits GROUP BY part, filter_order, step, letter)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM told
+"""
+
+
+@register
+def op12_window_packing(spark, sf_dir):
+    """Every document's token ids in windows of 2048."""
+    import public_tokenizers
+    return pack_windows(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+
+
+@register
+def op13_importance_resampling(spark, sf_dir):
+    """Documents drawn to look like the benchmark texts."""
+    out = importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+ORACLE["op13_importance_resampling"] = """
+WITH RECURSIVE crc_bits(byte, bit, r) AS (
+  SELECT i, 0, i FROM range(256) AS t(i)
+  UNION ALL
+  SELECT byte, bit + 1, CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END FROM crc_bits WHERE bit < 8),
+crc_table AS (SELECT list(r ORDER BY byte) AS t FROM crc_bits WHERE bit = 8),
+texts AS (
+  SELECT 'd' AS side, row_number() OVER () AS row, doc_id AS id, text FROM documents
+  UNION ALL SELECT 'b', row_number() OVER (), NULL, text FROM benchmark),
+words AS (
+  SELECT side, row, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+grams AS (
+  SELECT side, row, unnest(w || [w[i] || ' ' || w[i + 1] for i in range(1, len(w))]
+                             || [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)]) AS gram FROM words),
+counted AS (SELECT side, row, gram, count(*) AS n FROM grams GROUP BY ALL),
+kinds AS (SELECT gram, hex(encode(gram)) AS h FROM (SELECT DISTINCT gram FROM counted)),
+bytes AS (SELECT gram, [16 * (instr('0123456789ABCDEF', h[2 * i + 1]) - 1) + instr('0123456789ABCDEF', h[2 * i + 2]) - 1
+                        for i in range(0, len(h) // 2)] AS b FROM kinds),
+placed AS (
+  SELECT gram, xor(list_reduce(b, lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)]), 4294967295), 4294967295) % 10000 AS bucket
+  FROM bytes, crc_table),
+features AS (SELECT side, row, bucket, sum(n) AS n FROM counted JOIN placed USING (gram) GROUP BY ALL),
+buckets AS (SELECT bucket, sum(CASE WHEN side = 'd' THEN n ELSE 0 END) AS s, sum(CASE WHEN side = 'b' THEN n ELSE 0 END) AS t
+            FROM features GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(((t + 1)::DOUBLE * (total_s + 10000)::DOUBLE) / ((s + 1)::DOUBLE * (total_t + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM buckets, (SELECT sum(s) AS total_s, sum(t) AS total_t FROM buckets)),
+weights AS (SELECT row, sum(n * gain) AS weight FROM features JOIN gains USING (bucket) WHERE side = 'd' GROUP BY row),
+docs AS (
+  SELECT id AS doc_id, row, len(w) AS n_words, len(w) + greatest(len(w) - 1, 0) + greatest(len(w) - 2, 0) AS n_features,
+         CAST(coalesce(weight, 0) AS BIGINT) AS weight, sha256('42:' || coalesce(CAST(id AS VARCHAR), ''))[:8] AS h
+  FROM texts JOIN words USING (side, row) LEFT JOIN weights USING (row) WHERE side = 'd'),
+scored AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((list_reduce([instr('0123456789abcdef', c) - 1 for c in string_split(h, '')],
+           lambda a, x: a * 16 + x) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM docs),
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, row) AS place, count(*) OVER () AS n FROM scored WHERE n_words >= 20)
+SELECT s.doc_id, CAST(s.n_features AS BIGINT) AS n_features, s.weight, s.score,
+       CASE WHEN place <= 5 * n // 100 THEN place END AS rank
+FROM scored s LEFT JOIN ranked USING (row)
+"""
