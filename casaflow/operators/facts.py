@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casaflow.functions import replace_values
+from casaflow.operators.geo import joined, with_alias
 
 
 def fact_average(landing: DataFrame, dim: DataFrame, measure: str, out: str,
@@ -17,15 +17,17 @@ def fact_average(landing: DataFrame, dim: DataFrame, measure: str, out: str,
     aggregate, hot metros combined map-side) and the join sees one row per
     metro and month. ``year`` derives from ``metric_date`` and is recomputed,
     which lets the grouping key match the later merge key.
-    ``aliases`` maps metro names first (payment, rent); house value joins the
-    raw name.
+    ``aliases`` (a dict or a table, see ``geo.with_alias``) maps metro names first
+    (payment, rent); house value joins the raw name.
     """
-    m = F.col(metro_col)
-    if aliases:
-        m = replace_values(m, aliases)
-    agg = (landing.where(F.col(metro_col).isNotNull())
-           .groupBy(m.alias("metro"), F.col("metric_date"))
-           .agg(F.avg(measure).alias(out)))
+    named = landing.where(F.col(metro_col).isNotNull()).withColumn("metro", F.col(metro_col))
+    if joined(aliases):     # a large alias table meets sums by written name, not rows
+        sums = named.groupBy("metro", "metric_date").agg(F.sum(measure).alias("_sum"), F.count(measure).alias("_n"))
+        agg = (with_alias(sums, "metro", aliases, "metro").groupBy("metro", "metric_date")
+               .agg(F.try_divide(F.sum("_sum"), F.sum("_n")).alias(out)))
+    else:
+        agg = (with_alias(named, "metro", aliases, "metro").groupBy("metro", "metric_date")
+               .agg(F.avg(measure).alias(out)))
     d = dim.select("metro", "geo_key")
     return (agg.join(d, "metro")
             .select("geo_key", out, "metric_date",

@@ -82,7 +82,8 @@ def _interp_udf():
 
 
 def interpolate_wide(df: DataFrame, value_cols: list[str],
-                     value_sql: str = "CAST({c} AS DOUBLE)", bad_sql: str | None = None) -> DataFrame:
+                     value_sql: str = "CAST({c} AS DOUBLE)", bad_sql: str | None = None,
+                     n_bad: str | None = None) -> DataFrame:
     """Fill interior gaps along each row of a wide frame (one column per
     position), with no shuffle.
 
@@ -92,7 +93,7 @@ def interpolate_wide(df: DataFrame, value_cols: list[str],
     as ``interpolate_linear``; NaN comes back as null. ``value_sql`` turns a
     (quoted) column into its double value inside the array expression, so
     parsing and casting happen in the same narrow projection; cells for which
-    ``bad_sql`` holds stay null. Projections are sent as SQL-expression lists
+    ``bad_sql`` holds stay null, and ``n_bad`` names a column for their number. Projections are sent as SQL-expression lists
     (two calls, not several per column).
     """
     def q(c):
@@ -105,8 +106,10 @@ def interpolate_wide(df: DataFrame, value_cols: list[str],
            F.expr(f"filter(transform({cells}, (x, i) -> CASE WHEN {bad_sql.replace('{c}', 'x')} THEN i END), i -> i IS NOT NULL)"))
     keep = [q(c) for c in df.columns if c not in set(value_cols)]
     ship_package(df.sparkSession)
-    with_arr = df.select(*[F.col(c) for c in keep], _interp_udf()(arr, bad).alias("_filled"))
+    with_arr = df.select(*[F.col(c) for c in keep], arr.alias("_cells"), bad.alias("_bad"))
+    count = [F.size("_bad").alias(n_bad)] if n_bad else []
+    with_arr = with_arr.select(*[F.col(c) for c in keep], *count, _interp_udf()("_cells", "_bad").alias("_filled"))
     filled = {c: f"CASE WHEN isnan(_filled[{i}]) THEN CAST(NULL AS DOUBLE) "
                  f"ELSE _filled[{i}] END AS {q(c)}" for i, c in enumerate(value_cols)}
-    out = [filled.get(c, q(c)) for c in df.columns]
+    out = [filled.get(c, q(c)) for c in df.columns] + ([q(n_bad)] if n_bad else [])
     return with_arr.selectExpr(*out)

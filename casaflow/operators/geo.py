@@ -9,6 +9,31 @@ from casaflow.functions import replace_values
 from casaflow.schemas import METRO_ALIASES
 
 
+#: Aliases that are written as a CASE; more of them are joined.
+CASE_LIMIT = 100
+
+
+def joined(aliases) -> bool:
+    """Whether ``with_alias`` joins these aliases."""
+    return isinstance(aliases, DataFrame) or len(aliases or ()) > CASE_LIMIT
+
+
+def with_alias(df: DataFrame, col: str, aliases, out: str) -> DataFrame:
+    """``df`` with ``out``: the alias of ``col``, or the name itself where there
+    is none. ``aliases`` is a dict or a table (name, alias): a short dict becomes a
+    CASE in generated code, anything else a left join, which Spark broadcasts if
+    the table is small. Null names and aliases are left alone; of several aliases
+    for one name the smallest counts."""
+    if not joined(aliases):
+        return df.withColumn(out, replace_values(col, aliases or {}))
+    if isinstance(aliases, dict):
+        aliases = df.sparkSession.createDataFrame(list(aliases.items()), "name string, alias string")
+    table = (aliases.where(F.col("name").isNotNull()).groupBy(F.col("name").alias("_name"))
+             .agg(F.min("alias").alias("_alias")))
+    found = df.join(table, F.col(col) == F.col("_name"), "left")
+    return found.withColumn(out, F.coalesce("_alias", col)).drop("_name", "_alias")
+
+
 def geo_candidates(house_value: DataFrame, monthly_payment: DataFrame,
                    rental_income: DataFrame, aliases=METRO_ALIASES,
                    distinct: bool = True) -> DataFrame:
@@ -19,16 +44,13 @@ def geo_candidates(house_value: DataFrame, monthly_payment: DataFrame,
     each branch is de-duplicated map-side first by the partial aggregate.
     """
     s = F.lit(None).cast("string")
-    hv = (house_value.where(F.col("metro").isNotNull())
-          .select(replace_values("metro", aliases).alias("metro"),
-                  F.col("state"), F.col("county_name")))
-    mp = (monthly_payment.where(F.col("region_name").isNotNull())
-          .select(replace_values("region_name", aliases).alias("metro"),
-                  F.col("state_name").alias("state"), s.alias("county_name")))
-    ri = (rental_income.where(F.col("metro").isNotNull())
-          .select(replace_values("metro", aliases).alias("metro"),
-                  F.col("state_name").alias("state"), F.col("county_name")))
-    out = hv.unionByName(mp).unionByName(ri)
+    hv = house_value.select("metro", "state", "county_name")
+    mp = monthly_payment.select(F.col("region_name").alias("metro"), F.col("state_name").alias("state"), s.alias("county_name"))
+    ri = rental_income.select("metro", F.col("state_name").alias("state"), "county_name")
+    out = hv.unionByName(mp).unionByName(ri).where(F.col("metro").isNotNull())
+    if joined(aliases):
+        out = out.distinct()        # a join sees each combination once
+    out = with_alias(out, "metro", aliases, "metro")
     return out.distinct() if distinct else out
 
 

@@ -13,14 +13,17 @@ series is exactly one input row even when identifier values repeat.
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from casaflow.functions import header_date
 from casaflow.operators.gapfill import interpolate_linear, interpolate_wide
 from casaflow.plans.landing import is_malformed, long_cells
-from casaflow.schemas import PANDAS_NA_TOKENS
-from casaflow.sources.wide_csv import WideGroup, list_files, scan_wide, typed_id
+from casaflow.schemas import CLEANING_REPORT, PANDAS_NA_TOKENS
+from casaflow.sinks.writers import remove_folder, replace_folders
+from casaflow.sources.wide_csv import WideGroup, bad_ids, has_files, scan_wide, typed_id
 
 ROW_KEY = ["source_file", "_row"]
 
@@ -49,11 +52,11 @@ def input_name(path_col: str) -> F.Column:
     return F.regexp_extract(F.col(path_col), r"(?:[^/=]*=)?([^/]+?)(?:/part-[^/]*)?$", 1)
 
 
-def clean_wide(group: WideGroup, na_tokens=PANDAS_NA_TOKENS) -> DataFrame:
+def clean_wide(group: WideGroup, na_tokens=PANDAS_NA_TOKENS, counts: bool = False) -> DataFrame:
     """One header group cleaned in wide form: identifiers trimmed, NA tokens
     null everywhere, measures as doubles with interior gaps filled; plus
-    ``file``. A malformed cell is no gap: it stays null (and is counted by
-    ``plans.landing.file_rejects``).
+    ``file``. A malformed cell is no gap: it stays null. ``counts`` adds
+    ``_n_bad`` and ``_n_bad_id``, a row's malformed cells and integer identifiers.
 
     Token check, trim and cast are folded into the array handed to the fill,
     so no intermediate projection carries all measure columns."""
@@ -62,7 +65,8 @@ def clean_wide(group: WideGroup, na_tokens=PANDAS_NA_TOKENS) -> DataFrame:
     ids = [typed_id(c, na_tokens, trim=True) if types[c] == "string" else F.col(f"`{c}`")
            for c in group.id_cols]
     base = df.select(*ids, *[F.col(f"`{c}`") for c in group.measure_cols],
-                     input_name("source_file").alias("file"))
+                     input_name("source_file").alias("file"),
+                     *([bad_ids(group, na_tokens).alias("_n_bad_id")] if counts else []))
     if na_tokens:
         tokens = ", ".join("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'"
                            for t in na_tokens)
@@ -71,26 +75,52 @@ def clean_wide(group: WideGroup, na_tokens=PANDAS_NA_TOKENS) -> DataFrame:
         text = "trim({c})"
     value_sql = f"try_cast({text} AS DOUBLE)"
     return interpolate_wide(base, list(group.measure_cols), value_sql,
-                            bad_sql=f"{text} <> '' AND {value_sql} IS NULL")
+                            bad_sql=f"{text} <> '' AND {value_sql} IS NULL", n_bad="_n_bad" if counts else None)
 
 
 def clean_files(spark: SparkSession, raw_dir: str, out_dir: str, files,
-                fmt: str = "csv") -> None:
+                fmt: str = "csv") -> list[tuple]:
     """Clean the configured (identifier count, input, output) files, each into
     the folder ``out_dir/<output>`` of part files (header order kept), as CSV
-    or Parquet. A second run replaces the first one's output. An input that is
-    absent fails the job before anything is written. One narrow stage per
-    header group; groups of one input share its folder, which readers split by
-    header again."""
-    found = {src: list_files(spark, os.path.join(raw_dir, src)) for _, src, _ in files}
-    absent = sorted(src for src, paths in found.items() if not paths)
+    or Parquet, and return a row of ``CLEANING_REPORT`` for each input.
+
+    One narrow stage per header group, which also counts its rows and malformed
+    cells (``observe``), so the report needs no second scan; groups of one input
+    share its folder, which readers split by header again. An input that is
+    absent fails the job before anything is written. All outputs are written
+    aside and take their places when the last one is complete: a run that fails
+    leaves the former outputs as they were.
+    """
+    absent = sorted(src for _, src, _ in files if not has_files(spark, os.path.join(raw_dir, src)))
     if absent:
         raise FileNotFoundError(f"no input in {raw_dir} for {', '.join(absent)}")
-    for n_ids, src, dst in files:
-        for i, g in enumerate(scan_wide(spark, found[src], n_ids=n_ids)):
-            w = clean_wide(g).drop("file").write.mode("append" if i else "overwrite")
-            path = f"{out_dir.rstrip('/')}/{dst}"
-            if fmt == "parquet":
-                w.parquet(path)
-            else:
-                w.option("header", True).option("escape", '"').csv(path)
+    out_dir = out_dir.rstrip("/")
+    staging = f"{out_dir}/_cleaning-{uuid.uuid4().hex[:12]}"
+    report, written = [], []
+    try:
+        for n_ids, src, dst in files:
+            totals = [0] * 5
+            for g in scan_wide(spark, os.path.join(raw_dir, src), n_ids=n_ids):
+                seen = Observation()
+                counted = clean_wide(g, counts=True).drop("file").observe(
+                    seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("_n_bad"), F.lit(0)).alias("bad"),
+                    F.coalesce(F.sum("_n_bad_id"), F.lit(0)).alias("bad_id"))
+                w = counted.drop("_n_bad", "_n_bad_id").write.mode("append")
+                if fmt == "parquet":
+                    w.parquet(f"{staging}/{dst}")
+                else:
+                    w.option("header", True).option("escape", '"').csv(f"{staging}/{dst}")
+                got = seen.get
+                no_date = sum(header_date(c) is None for c in g.measure_cols)
+                new = (got["rows"], got["rows"] * len(g.measure_cols), got["bad"], got["rows"] * no_date, got["bad_id"])
+                totals = [a + b for a, b in zip(totals, new)]
+                written.append(dst)
+            report.append((src, dst, *totals))
+        replace_folders(spark, staging, out_dir, list(dict.fromkeys(written)))
+    finally:
+        remove_folder(spark, staging)
+    return report
+
+
+def cleaning_report(spark: SparkSession, report: list[tuple]) -> DataFrame:
+    return spark.createDataFrame(report, CLEANING_REPORT)

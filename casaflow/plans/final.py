@@ -1,5 +1,10 @@
 """Landing -> final star schema: dimension upsert, three fact upserts,
-constraint checks, all-or-nothing publication."""
+constraint checks, all-or-nothing publication.
+
+``load_final`` and ``load_legacy`` give whole merged frames. The job publishes by
+year instead (``publish_final``, ``publish_legacy``): a batch is merged with the
+years it has, and all other years of the published table are taken over by name.
+"""
 
 from __future__ import annotations
 
@@ -15,6 +20,7 @@ from casaflow.operators.merge import (COALESCE, KEEP, SET, STAMP_INSERT, TOUCH,
                                       assert_no_orphans, assert_unique, keyed_merge,
                                       surrogate_key)
 from casaflow.session import materialize
+from casaflow.sinks.publish import Publication, read_entry
 from casaflow.schemas import (DIM_GEOGRAPHY, FACT_MEASURES, FACT_SCHEMAS,
                               LEGACY_HOUSE_VALUE, LEGACY_MONTHLY_PAYMENT,
                               LEGACY_RENTAL_INCOME, METRO_ALIASES, empty)
@@ -136,6 +142,13 @@ def load_final(spark: SparkSession, landings: dict[str, DataFrame],
     return FinalTables(dim, facts)
 
 
+LEGACY_SPECS = {
+    "house_value": (legacy_house_value, LEGACY_HOUSE_VALUE, "avg_house_value", True),
+    "monthly_payment": (legacy_monthly_payment, LEGACY_MONTHLY_PAYMENT, "monthly_payment", False),
+    "rental_income": (legacy_rental_income, LEGACY_RENTAL_INCOME, "rental_income", False),
+}
+
+
 def load_legacy(spark: SparkSession, landings: dict[str, DataFrame],
                 current: dict[str, DataFrame] | None = None,
                 check: bool = True) -> dict[str, DataFrame]:
@@ -143,15 +156,8 @@ def load_legacy(spark: SparkSession, landings: dict[str, DataFrame],
     is pre-aggregated and touches ``updated_at``."""
     current = current or {}
     now = F.current_timestamp()
-    specs = {
-        "house_value": (legacy_house_value, LEGACY_HOUSE_VALUE, "avg_house_value", True),
-        "monthly_payment": (legacy_monthly_payment, LEGACY_MONTHLY_PAYMENT,
-                            "monthly_payment", False),
-        "rental_income": (legacy_rental_income, LEGACY_RENTAL_INCOME,
-                          "rental_income", False),
-    }
     out = {}
-    for name, (build, schema, measure, touch) in specs.items():
+    for name, (build, schema, measure, touch) in LEGACY_SPECS.items():
         batch = build(landings[name])
         if check:
             assert_unique(batch, LEGACY_KEYS, f"{name} batch")
@@ -183,3 +189,62 @@ def check_tables(tables: dict[str, DataFrame]) -> None:
             assert_unique(df, keys, name)
         if fk and dim is not None:
             assert_no_orphans(df, dim, fk, name)
+
+
+YEAR = "year"
+
+
+def publish_by_year(pub: Publication, name: str, batch: DataFrame, old: dict | None, schema, keys: list[str], merge) -> DataFrame:
+    """Merge a stored batch into a published table (its manifest entry ``old``,
+    or None) and write only the years the batch has; the table's other years are
+    carried over unread. Returns what was written here.
+
+    A key's date gives its year, so a batch row's partner can lie in no other
+    year, and keys stay unique in the table if they are in the written years:
+    these are checked, the others are not read. Rows without a whole key have no
+    partner and are left out by the merge. A table published without partitions
+    is read whole once and partitioned from then on.
+    """
+    spark = pub.spark
+    if pub.done(name) is None:
+        years = sorted(r[0] for r in batch.select(YEAR).where(F.col(YEAR).isNotNull()).distinct().collect())     # calendar years
+        existing, carried = empty(spark, schema), {}
+        if old is not None:
+            existing = read_entry(spark, pub.root, old)
+            if all(parts is not None for parts in old["folders"].values()):
+                existing = existing.where(F.col(YEAR).isin(years))
+                carried = {folder: [p for p in parts if p not in {f"{YEAR}={y}" for y in years}] for folder, parts in old["folders"].items()}
+        pub.write(name, merge(existing, batch), (YEAR,), carried)
+    here = pub.written(name)
+    assert_unique(here, keys, name)
+    return here
+
+
+def publish_final(spark: SparkSession, pub: Publication, landings: dict[str, DataFrame], old: dict[str, dict], aliases=METRO_ALIASES,
+                  alias_house_value: bool = False, collation: str | None = None) -> None:
+    """The dimension, then the three facts, merged into the published tables
+    (manifest entries ``old``) and checked: keys of the years written, and their
+    references; years carried over refer to metros that never leave the dimension."""
+    now = F.current_timestamp()
+    if pub.done("dim_geography") is None:
+        before = read_entry(spark, pub.root, old["dim_geography"]) if "dim_geography" in old else empty(spark, DIM_GEOGRAPHY)
+        pub.write("dim_geography", upsert_dim(before, landings, aliases, now, collation=collation))
+    dim = pub.read("dim_geography")
+    assert_unique(dim, ["metro"], "dim_geography")
+    assert_unique(dim, ["geo_key"], "dim_geography")
+    for kind in FACT_SPECS:
+        name = f"fact_{kind}"
+        batch = None if pub.done(name) else materialize(
+            batch_fact(landings, dim, kind, aliases, alias_house_value), f"batch-{kind}")
+        here = publish_by_year(pub, name, batch, old.get(name), FACT_SCHEMAS[kind], FACT_KEYS,
+                               lambda existing, b, kind=kind: upsert_fact(existing, b, kind, now))
+        assert_no_orphans(here, dim, "geo_key", name)
+
+
+def publish_legacy(spark: SparkSession, pub: Publication, landings: dict[str, DataFrame], old: dict[str, dict]) -> None:
+    """The denormalised finals, merged by year like the facts."""
+    now = F.current_timestamp()
+    for name, (build, schema, measure, touch) in LEGACY_SPECS.items():
+        batch = None if pub.done(name) else materialize(build(landings[name]), f"batch-legacy-{name}")
+        publish_by_year(pub, name, batch, old.get(name), schema, LEGACY_KEYS,
+                        lambda existing, b, m=measure, t=touch: upsert_legacy(existing, b, m, t, now))

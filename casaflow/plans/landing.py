@@ -5,6 +5,11 @@ The plan is a single narrow stage: scan -> Expand (unpivot) -> projections ->
 filter; no shuffle. Date headers are parsed once on the driver; with a cut-off
 the columns at or before it are never unpivoted (nor converted), which the
 optimizer cannot do through an unpivot by itself.
+
+``land`` returns the landing frame alone. ``write_landing`` is the job's form: the
+same pass writes what it landed, every cell it rejected and a record of every wide
+row, in three folders of one write, so the report of each file needs no second
+look at the files.
 """
 
 from __future__ import annotations
@@ -13,10 +18,12 @@ import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from casaflow.functions import header_date, tier_from_path
+from casaflow.functions import header_date, snake_case, tier_from_path
 from casaflow.operators.reshape import rename_snake, unpivot_wide
-from casaflow.schemas import LandingSpec
+from casaflow.schemas import BAD_DATE, BAD_VALUE, FILE_REPORT, INT_ID_COLS, REJECTS, LandingSpec
+from casaflow.sinks.publish import Publication
 from casaflow.sources.wide_csv import WideGroup, bad_ids, scan_wide, typed_id
 
 
@@ -52,17 +59,16 @@ def long_cells(groups: list[WideGroup], value_name: str = "raw",
                             "value": F.trim(raw).try_cast("double")})
 
 
+def landing_columns(spec: LandingSpec, id_cols: list[str]) -> list[Column]:
+    """Identifiers, tier, date, measure, year and audit time of long cells."""
+    tier = [tier_from_path("source_file").alias("home_tier")] if spec.with_tier else []
+    return [*[F.col(f"`{c}`") for c in id_cols], *tier, F.col("metric_date"), F.col("value").alias(spec.name),
+            F.year("metric_date").alias("year"), F.current_timestamp().alias("inserted_at")]
+
+
 def finish_landing(cells: DataFrame, spec: LandingSpec, id_cols: list[str]) -> DataFrame:
     """Measure column, tier, null drop, year, audit time, snake_case names."""
-    out = cells.withColumn(spec.name, F.col("value"))
-    sel = [*[F.col(f"`{c}`") for c in id_cols]]
-    if spec.with_tier:
-        sel.append(tier_from_path("source_file").alias("home_tier"))
-    sel += [F.col("metric_date"), F.col(spec.name)]
-    out = (out.select(*sel).dropna(subset=[spec.name])
-           .withColumn("year", F.year("metric_date"))
-           .withColumn("inserted_at", F.current_timestamp()))
-    return rename_snake(out)
+    return rename_snake(cells.select(*landing_columns(spec, id_cols)).dropna(subset=[spec.name]))
 
 
 def land(spark: SparkSession, spec: LandingSpec, pattern: str | list[str],
@@ -79,6 +85,92 @@ def is_malformed(raw: str = "raw", value: str = "value") -> Column:
     return F.coalesce((F.trim(raw) != "") & F.col(value).isNull(), F.lit(False))
 
 
+LANDED, REJECT, FILE = "landed", "reject", "file"
+ROW_SLOT = "__cf_row"
+
+
+def landing_schema(spec: LandingSpec) -> T.StructType:
+    """The landing table of a family, as ``land`` returns it."""
+    text, whole = T.StringType(), T.IntegerType()
+    fields = [(snake_case(c), whole if c in INT_ID_COLS else text) for c in spec.id_cols]
+    fields += [("home_tier", text)] if spec.with_tier else []
+    fields += [("metric_date", T.DateType()), (spec.name, T.DoubleType()), ("year", whole), ("inserted_at", T.TimestampType())]
+    return T.StructType([T.StructField(n, t, True) for n, t in fields])
+
+
+def landing_log(spark: SparkSession, spec: LandingSpec, pattern: str | list[str], min_date="spec", na_tokens=None) -> DataFrame:
+    """All that one pass over a family's files has to say, by ``kind``:
+
+    * ``landed``: the rows of ``land``;
+    * ``reject``: a cell of a month that is landed whose text is no number
+      (``bad_value``), or a number under a header that is no date
+      (``bad_date``; such a cell lands as well where there is no cut-off);
+    * ``file``: a wide row, with the number of its cells, of those under headers
+      that are no date, and of its malformed integer identifiers.
+
+    Landing columns (null where they don't apply), kind, family, source_file,
+    date_str, raw, reason, n_cells, n_bad_date, n_bad_id. Wide rows are dealt by
+    the family's first partition column before they are unpivoted: then the
+    shuffle moves each value once, not once with every identifier.
+    """
+    cut = spec.min_date if min_date == "spec" else min_date
+    parts = []
+    for g in scan_wide(spark, pattern, id_cols=list(spec.id_cols)):
+        cols = [(c, header_date(c), i) for i, c in enumerate(g.measure_cols)]
+        kept = [x for x in cols if cut is None or (x[1] is not None and x[1] > cut)]
+        ids = {c: typed_id(c, na_tokens) if c in g.id_cols else F.lit(None).cast("int" if c in INT_ID_COLS else "string").alias(c)
+               for c in spec.id_cols}
+        deal = [c for c in g.id_cols if snake_case(c) in spec.partition_cols]
+        wide = g.df.hint("rebalance", *deal) if deal else g.df
+        wide = wide.select(*ids.values(), "source_file", bad_ids(g, na_tokens).alias("n_bad_id"),
+                           *[F.col(f"`{c}`") for c, _, _ in kept], F.lit(None).cast("string").alias(ROW_SLOT))
+        long = unpivot_wide(wide, [*spec.id_cols, "source_file", "n_bad_id"], [*kept, (ROW_SLOT, None, -1)], "raw")
+        parts.append(long.withColumns({"n_cells": F.lit(len(cols)), "n_bad_date": F.lit(sum(d is None for _, d, _ in cols))}))
+    if not parts:
+        raise ValueError("no measure columns to land")
+    cells = functools.reduce(DataFrame.unionByName, parts)
+    raw = F.when(~F.col("raw").isin(list(na_tokens)), F.col("raw")) if na_tokens else F.col("raw")
+    cells = cells.withColumns({"raw": raw, "value": F.trim(raw).try_cast("double")})
+    number = F.col("value").isNotNull() & ~F.isnan("value")
+    reason = F.when(is_malformed(), BAD_VALUE).when(number & F.col("metric_date").isNull(), BAD_DATE)
+    kinds = F.array_compact(F.array(F.when(number, LANDED), F.when(reason.isNotNull(), REJECT), F.when(F.col("pos") < 0, FILE)))
+    log = cells.withColumn("kind", F.explode(kinds))
+    note = [F.when(F.col("kind") == REJECT, F.col(c)).alias(c) for c in ("date_str", "raw")]
+    note += [F.when(F.col("kind") == REJECT, reason).alias("reason")]
+    note += [F.when(F.col("kind") == FILE, F.col(c)).alias(c) for c in ("n_cells", "n_bad_date", "n_bad_id")]
+    return rename_snake(log.select(*landing_columns(spec, list(spec.id_cols)), "kind", F.lit(spec.name).alias("family"), "source_file", *note))
+
+
+def file_report(log: DataFrame) -> DataFrame:
+    """Per source file of a (stored) log: wide rows, cells, landed cells,
+    rejected values, cells under headers that are no date, malformed integer
+    identifiers."""
+    is_file = F.col("kind") == FILE
+    rejected = lambda why: F.count(F.when(F.col("reason") == why, 1))        # noqa: E731
+    return log.groupBy("family", "source_file").agg(
+        F.count(F.when(is_file, 1)).alias("n_rows"), F.coalesce(F.sum("n_cells"), F.lit(0)).cast("long").alias("n_cells"),
+        F.count(F.when(F.col("kind") == LANDED, 1)).alias("n_landed"), rejected(BAD_VALUE).alias("n_bad_value"),
+        F.coalesce(F.sum("n_bad_date"), F.lit(0)).cast("long").alias("n_bad_date"),
+        F.coalesce(F.sum("n_bad_id"), F.lit(0)).cast("long").alias("n_bad_id")).select(*FILE_REPORT.names)
+
+
+def write_landing(spark: SparkSession, pub: Publication, spec: LandingSpec, pattern: str | list[str], min_date="spec",
+                  na_tokens=None) -> DataFrame:
+    """Land one family into a publication: its landing table (partitioned by
+    the family's columns), ``rejects_<family>`` and ``files_<family>`` (the
+    report), from one pass over the files. Returns the landing table. What the
+    publication's ledger has is not done again."""
+    rejects, files = f"rejects_{spec.name}", f"files_{spec.name}"
+    if pub.done(files) is None:
+        path = pub.fresh_path(spec.table)
+        log = landing_log(spark, spec, pattern, min_date, na_tokens)
+        log.write.mode("errorifexists").partitionBy("kind", *spec.partition_cols).parquet(path)
+        pub.adopt(spec.table, f"{path}/kind={LANDED}", landing_schema(spec), spec.partition_cols)
+        pub.adopt(rejects, f"{path}/kind={REJECT}", REJECTS)
+        pub.write(files, file_report(spark.read.schema(log.schema).parquet(path)))
+    return pub.read(spec.table)
+
+
 def file_rejects(groups: list[WideGroup], na_tokens=None) -> DataFrame:
     """The reject report of scanned files: per source file its cells, filled
     cells, malformed measures, cells under unparseable date headers, and

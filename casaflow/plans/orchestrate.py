@@ -1,6 +1,10 @@
 """The whole batch: clean -> three landings in parallel -> final load ->
 all-or-nothing publication. Also a ``spark-submit`` entry point.
 
+Every stage leaves its tables in the ledger of the version it writes. A run that
+failed is taken up again by its version (``resume``): finished landings are read
+from their files and not computed again.
+
     spark-submit --py-files casaflow.zip casaflow_submit.py --raw s3://bucket/raw \
         --store s3://bucket/warehouse [--lake s3://bucket/processed] \
         [--jdbc-url ... --jdbc-user ... --jdbc-password-env VAR]
@@ -15,12 +19,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casaflow.plans.cleaning import clean_files
-from casaflow.plans.dashboard import export_feeds
-from casaflow.plans.final import check_tables, load_final, load_legacy
-from casaflow.plans.landing import land
+from casaflow.plans.cleaning import clean_files, cleaning_report
+from casaflow.plans.dashboard import export_feeds, stored_panel
+from casaflow.plans.final import publish_final, publish_legacy
+from casaflow.plans.landing import write_landing
 from casaflow.schemas import CLEANING_FILES, DEFAULT_STATE, LANDING_SPECS, METRO_ALIASES
-from casaflow.sinks.publish import Publication, read_current
+from casaflow.sinks.publish import Publication, current_version, manifest, retire, unfinished
 from casaflow.sinks.writers import ensure_jdbc_schema, write_jdbc, write_lake
 
 FINAL_TABLES = ["dim_geography", "fact_house_value", "fact_monthly_payment",
@@ -42,6 +46,10 @@ class PipelineConfig:
     collation: str | None = None       # e.g. "UNICODE" for the distinct-on order
     feeds_dir: str | None = None       # export dashboard feeds here when set
     state: str | None = DEFAULT_STATE  # dashboard state filter
+    cleaning_files: tuple = CLEANING_FILES  # (identifier count, input, output)
+    specs: dict = field(default_factory=lambda: dict(LANDING_SPECS))
+    keep_versions: int | None = None   # retire older versions after a run when set
+    grace_hours: float = 24.0          # a replaced version stays for readers so long
 
 
 def _landing_job(spark: SparkSession, cfg: PipelineConfig, pub: Publication, spec) -> DataFrame:
@@ -49,8 +57,7 @@ def _landing_job(spark: SparkSession, cfg: PipelineConfig, pub: Publication, spe
     spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"landing_{spec.name}")
     base = cfg.cleaned_dir if cfg.source == "cleaned" else cfg.raw_dir
     pattern = f"{base.rstrip('/')}/{spec.file_glob}"
-    df = land(spark, spec, pattern)
-    staged = pub.write(spec.table, df)
+    staged = write_landing(spark, pub, spec, pattern)
     if cfg.lake_root:
         write_lake(staged, f"{cfg.lake_root.rstrip('/')}/{spec.name}", spec.partition_cols)
     if cfg.jdbc.get("url"):
@@ -62,16 +69,23 @@ def _landing_job(spark: SparkSession, cfg: PipelineConfig, pub: Publication, spe
     return staged
 
 
-def run(spark: SparkSession, cfg: PipelineConfig) -> str:
+def run(spark: SparkSession, cfg: PipelineConfig, resume: str | None = None) -> str:
     """Run every stage; return the published version. The first failure
-    aborts before the commit, so readers keep seeing the previous version."""
+    aborts before the commit, so readers keep seeing the previous version.
+
+    ``resume`` is the version of a run that failed, or "last" for the newest one
+    (a new run if there is none). What its ledger has is kept: the inputs are
+    taken to be the same. A version published since then is merged with; the
+    facts and finals of the failed run are dropped for that, its landings stay.
+    """
     if cfg.jdbc.get("url") and cfg.jdbc.get("schema", "landing"):
         ensure_jdbc_schema(spark, cfg.jdbc["url"], cfg.jdbc.get("schema", "landing"),
                            user=cfg.jdbc.get("user"), password=cfg.jdbc.get("password"),
                            driver=cfg.jdbc.get("driver"))
-    if cfg.cleaned_dir:
-        clean_files(spark, cfg.raw_dir, cfg.cleaned_dir, CLEANING_FILES)
-    pub = Publication(spark, cfg.store_root)
+    pub = Publication(spark, cfg.store_root, unfinished(spark, cfg.store_root) if resume == "last" else resume)
+    if cfg.cleaned_dir and pub.done("files_cleaned") is None:
+        report = clean_files(spark, cfg.raw_dir, cfg.cleaned_dir, cfg.cleaning_files)
+        pub.write("files_cleaned", cleaning_report(spark, report))
     tag, sc = f"landing-{pub.version}", spark.sparkContext
 
     def job(spec):
@@ -85,24 +99,23 @@ def run(spark: SparkSession, cfg: PipelineConfig) -> str:
             sc.removeJobTag(tag)
 
     with ThreadPoolExecutor(max_workers=3) as pool:
-        futures = {name: pool.submit(job, spec) for name, spec in LANDING_SPECS.items()}
+        futures = {name: pool.submit(job, spec) for name, spec in cfg.specs.items()}
         landings = {name: f.result() for name, f in futures.items()}
-    current = read_current(spark, cfg.store_root, FINAL_TABLES + LEGACY_TABLES)
-    # tables are computed once, written, and checked on the written copies
-    # (cheap scans) before the version is published
-    final = load_final(spark, landings, current, cfg.aliases, cfg.alias_house_value,
-                       check=False, collation=cfg.collation)
-    written = {name: pub.write(name, df) for name, df in final.tables().items()}
+    before = current_version(spark, cfg.store_root)
+    if before and before > pub.version:
+        raise ValueError(f"version {before} was published since {pub.version} began: start a new run")
+    if pub.based_on(before):
+        pub.forget(FINAL_TABLES + LEGACY_TABLES)
+    old = manifest(spark, cfg.store_root, before) if before else {}
+    publish_final(spark, pub, landings, old, cfg.aliases, cfg.alias_house_value, cfg.collation)
     if cfg.legacy:
-        for name, df in load_legacy(spark, landings, current, check=False).items():
-            written[name] = pub.write(name, df)
-    check_tables(written)
+        publish_legacy(spark, pub, landings, old)
     version = pub.commit()
     if cfg.feeds_dir:
-        t = read_current(spark, cfg.store_root, FINAL_TABLES)
-        facts = {k: t[f"fact_{k}"] for k in ("house_value", "monthly_payment", "rental_income")}
-        export_feeds(t["dim_geography"], facts, f"{cfg.feeds_dir.rstrip('/')}/v={version}",
-                     cfg.state)
+        panel = stored_panel(spark, cfg.store_root, cfg.state, version)
+        export_feeds(None, None, f"{cfg.feeds_dir.rstrip('/')}/v={version}", cfg.state, panel=panel)
+    if cfg.keep_versions:
+        retire(spark, cfg.store_root, cfg.keep_versions, cfg.grace_hours)
     return version
 
 
@@ -123,6 +136,9 @@ def main(argv: list[str] | None = None) -> str:
     ap.add_argument("--feeds", help="export dashboard feeds under this folder")
     ap.add_argument("--state", default=DEFAULT_STATE, help="dashboard state filter")
     ap.add_argument("--collation", help="string order for the dimension's distinct-on")
+    ap.add_argument("--resume", help="version of a failed run to go on with, or 'last'")
+    ap.add_argument("--keep-versions", type=int, help="retire all but so many published versions after the run")
+    ap.add_argument("--grace-hours", type=float, default=24.0, help="time a replaced version is kept for its readers")
     args = ap.parse_args(argv)
     jdbc = {}
     if args.jdbc_url:
@@ -134,8 +150,9 @@ def main(argv: list[str] | None = None) -> str:
     apply_sizing(spark, args.raw)
     cfg = PipelineConfig(args.raw, args.store, args.cleaned, args.source, args.lake, jdbc,
                          alias_house_value=args.alias_house_value, feeds_dir=args.feeds,
-                         state=args.state, collation=args.collation)
-    return run(spark, cfg)
+                         state=args.state, collation=args.collation, keep_versions=args.keep_versions,
+                         grace_hours=args.grace_hours)
+    return run(spark, cfg, args.resume)
 
 
 if __name__ == "__main__":

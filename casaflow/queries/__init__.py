@@ -674,3 +674,194 @@ def published_tables(spark, sf_dir):
     counts = [t.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("table_name"), "n_rows")
               for n, t in read_current(spark, root, names).items()]
     return functools.reduce(DataFrame.unionByName, counts)
+
+
+# --- the whole job over dirty files ---------------------------------------------
+
+@functools.lru_cache(maxsize=8)
+def _job(spark, sf_dir):
+    """(configuration, version): the batch job run over the dirty wide files of
+    all three families: cleaned, landed with rejects, merged, published; the feeds
+    exported. A first load is already published, so the facts and finals are
+    merged with it."""
+    import dataclasses
+
+    from casaflow.plans.orchestrate import PipelineConfig, run
+    from casaflow.schemas import LANDING_SPECS
+    from casaflow.session import scratch_path
+    raw, families = _dirty_families(spark, sf_dir)
+    cuts = {"house_value": TD.TEST_CUTOFF}
+    specs = {k: dataclasses.replace(s, file_glob=f"raw_{k}_*.csv", min_date=cuts.get(k)) for k, s in LANDING_SPECS.items()}
+    store = scratch_path(spark, "job-store")
+    cfg = PipelineConfig(raw, store, cleaned_dir=f"{store}-cleaned", aliases=dict(TD.TEST_ALIASES), state=TD.TEST_STATE,
+                         feeds_dir=f"{store}-feeds", specs=specs,
+                         cleaning_files=tuple((len(names), name, f"cleaned_{name}") for _, _, names, name, _ in families))
+    run(spark, dataclasses.replace(cfg, cleaned_dir=None, feeds_dir=None))
+    return cfg, run(spark, cfg)
+
+
+def _job_tables(spark, sf_dir, *names):
+    from casaflow.sinks.publish import read_current
+    cfg, version = _job(spark, sf_dir)
+    tables = read_current(spark, cfg.store_root, list(names), version)
+    return [tables[n] for n in names]
+
+
+def _file_name(col="source_file"):
+    """The input's name: the folder of the part files."""
+    return F.regexp_extract(col, r"([^/]+)/[^/]+$", 1)
+
+
+@register
+def job_landing_files(spark, sf_dir):
+    """The report that the landing job wrote for each input of every family."""
+    from casaflow.schemas import LANDING_SPECS
+    parts = _job_tables(spark, sf_dir, *[f"files_{k}" for k in LANDING_SPECS])
+    counts = ("n_rows", "n_cells", "n_landed", "n_bad_value", "n_bad_date", "n_bad_id")
+    return (functools.reduce(DataFrame.unionByName, parts).groupBy("family", _file_name().alias("input"))
+            .agg(*[F.sum(c).alias(c) for c in counts]))
+
+
+@register
+def job_landing_rejects(spark, sf_dir):
+    """Every cell that the landing job rejected."""
+    from casaflow.schemas import LANDING_SPECS
+    parts = _job_tables(spark, sf_dir, *[f"rejects_{k}" for k in LANDING_SPECS])
+    return functools.reduce(DataFrame.unionByName, parts).select(
+        "family", _file_name().alias("input"), "region_id", "region_name", "date_str", "raw", "reason")
+
+
+@register
+def job_cleaning_report(spark, sf_dir):
+    """What the cleaning job counted while it wrote."""
+    return _job_tables(spark, sf_dir, "files_cleaned")[0]
+
+
+def _job_landing(name):
+    def q(spark, sf_dir):
+        out = _job_tables(spark, sf_dir, f"lnd_{name}")[0]
+        return _round(out.withColumn("stamped", F.col("inserted_at").isNotNull()).drop("inserted_at"), [name])
+    q.__name__ = f"job_landing_{name}"
+    return q
+
+
+for _name in ("house_value", "monthly_payment", "rental_income"):
+    register(_job_landing(_name))
+
+
+@register
+def job_dimension(spark, sf_dir):
+    dim = _job_tables(spark, sf_dir, "dim_geography")[0]
+    return dim.select("metro", "state", "county_name", (F.col("updated_at") >= F.col("inserted_at")).alias("stamped"))
+
+
+@register
+def job_facts(spark, sf_dir):
+    """The three published facts with their metros."""
+    from casaflow.schemas import FACT_MEASURES
+    dim, *facts = _job_tables(spark, sf_dir, "dim_geography", *[f"fact_{k}" for k in FACT_MEASURES])
+    parts = [with_metro(f, dim).select(F.lit(k).alias("fact"), "metro", "metric_date", "year", amt(m).alias("amount"),
+                                       (F.col("updated_at") >= F.col("inserted_at")).alias("stamped"))
+             for (k, m), f in zip(FACT_MEASURES.items(), facts)]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@register
+def job_finals(spark, sf_dir):
+    """The three published denormalised finals."""
+    measures = {"house_value": "avg_house_value", "monthly_payment": "monthly_payment", "rental_income": "rental_income"}
+    parts = [t.select(F.lit(k).alias("final"), "region_id", "metro", "state", "metric_date", "year", amt(m).alias("amount"))
+             for (k, m), t in zip(measures.items(), _job_tables(spark, sf_dir, *measures))]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@register
+def job_table_keys(spark, sf_dir):
+    """Rows and different keys of every published table."""
+    from casaflow.plans.final import CONSTRAINTS
+    parts = []
+    for name, t in zip(CONSTRAINTS, _job_tables(spark, sf_dir, *CONSTRAINTS)):
+        for keys in CONSTRAINTS[name][0]:
+            parts.append(t.agg(F.lit(name).alias("table_name"), F.lit(",".join(keys)).alias("key"), F.count(F.lit(1)).alias("n_rows"),
+                               F.countDistinct(*keys).alias("n_keys")))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@register
+def job_stored_panel(spark, sf_dir):
+    """The state's panel that the job stored for the version it published."""
+    from casaflow.plans.dashboard import stored_panel
+    cfg, version = _job(spark, sf_dir)
+    return _round(stored_panel(spark, cfg.store_root, cfg.state, version), PANEL_AMOUNTS, PANEL_RATIOS)
+
+
+@register
+def job_partition_counts(spark, sf_dir):
+    """Landing partitions of the state and of years from 1997 on, by family."""
+    from casaflow.schemas import LANDING_SPECS
+    names = list(LANDING_SPECS)
+    parts = []
+    for k, t in zip(names, _job_tables(spark, sf_dir, *[LANDING_SPECS[k].table for k in names])):
+        state = LANDING_SPECS[k].partition_cols[0]
+        parts.append(t.where((F.col(state) == TD.TEST_STATE) & (F.col("year") >= 1997)).groupBy("year")
+                     .agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(k).alias("family"), "year", "n_rows"))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@register
+def partition_upsert(spark, sf_dir):
+    """All three facts published up to 1998, then merged by year with a batch of
+    the months from 1998 on whose amounts are one higher: the years before 1998
+    are taken over from the first version's files."""
+    from casaflow.plans.final import FACT_KEYS, publish_by_year, upsert_fact
+    from casaflow.schemas import FACT_MEASURES, FACT_SCHEMAS
+    from casaflow.session import scratch_path
+    from casaflow.sinks.publish import Publication, manifest, read_current
+    _, dim, facts = _star(spark, sf_dir)
+    root = scratch_path(spark, "by-year")
+    loads = ((F.col("metric_date") < F.lit(SPLIT_OLD).cast("date"), 0.0), (F.col("metric_date") >= F.lit(SPLIT_NEW).cast("date"), 1.0))
+    for i, (months, more) in enumerate(loads, 1):
+        old = manifest(spark, root, f"{i - 1:04d}") if i > 1 else {}
+        pub = Publication(spark, root, f"{i:04d}")
+        for k, m in FACT_MEASURES.items():
+            publish_by_year(pub, f"fact_{k}", facts[k].where(months).withColumn(m, F.col(m) + more), old.get(f"fact_{k}"),
+                            FACT_SCHEMAS[k], FACT_KEYS, lambda e, b, k=k: upsert_fact(e, b, k))
+        pub.commit()
+    parts = [with_metro(t, dim).select(F.lit(k).alias("fact"), "metro", "metric_date", "year", amt(FACT_MEASURES[k]).alias("amount"))
+             for k, t in zip(FACT_MEASURES, read_current(spark, root, [f"fact_{k}" for k in FACT_MEASURES]).values())]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@register
+def alias_table_fact(spark, sf_dir):
+    """Order prices averaged by nation and month: the orders name customers, and
+    an alias table as long as the customer table says which nation two thirds
+    of them stand for (the others have no metro in the dimension)."""
+    from casaflow.operators.facts import fact_average
+    o = TD.table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
+    c = TD.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    n = TD.table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    rows = o.join(c, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("c_name").alias("region_name"), F.last_day(F.col("o_orderdate").cast("date")).alias("metric_date"), F.col("o_totalprice").alias("price"))
+    aliases = (c.where(F.col("c_custkey") % 3 != 0).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+               .select(F.col("c_name").alias("name"), F.col("n_name").alias("alias")))
+    dim = _dim(spark, sf_dir)
+    return _round(with_metro(fact_average(rows, dim, "price", "avg_price", "region_name", aliases), dim), ["avg_price"])
+
+
+# --- row order -------------------------------------------------------------------
+
+def _numbered(ordered: DataFrame) -> DataFrame:
+    """The place of each row of an ordered (small) table as it comes out."""
+    return ordered.coalesce(1).withColumn("place", F.monotonically_increasing_id())
+
+
+@register
+def panel_order(spark, sf_dir):
+    panel = _panel(spark, sf_dir, None).select("metro", "metric_month")
+    return _numbered(P.order_panel(panel))
+
+
+@register
+def raw_table_order(spark, sf_dir):
+    return _numbered(P.raw_combined_table(_selected(spark, sf_dir)).select("metro", "metric_month"))

@@ -91,6 +91,14 @@ def _fields(spec: list[tuple[str, T.DataType]]) -> T.StructType:
 
 
 TS = T.TimestampType()
+#: Why a cell was rejected: text that is no number, or a number under a header that is no date.
+BAD_VALUE, BAD_DATE = "bad_value", "bad_date"
+REJECTS = _fields([("family", T.StringType()), ("source_file", T.StringType()), ("region_id", T.IntegerType()),
+                   ("region_name", T.StringType()), ("date_str", T.StringType()), ("raw", T.StringType()), ("reason", T.StringType())])
+FILE_REPORT = _fields([("family", T.StringType()), ("source_file", T.StringType()), ("n_rows", T.LongType()), ("n_cells", T.LongType()),
+                       ("n_landed", T.LongType()), ("n_bad_value", T.LongType()), ("n_bad_date", T.LongType()), ("n_bad_id", T.LongType())])
+CLEANING_REPORT = _fields([("input", T.StringType()), ("output", T.StringType()), ("n_rows", T.LongType()), ("n_cells", T.LongType()),
+                           ("n_bad_value", T.LongType()), ("n_bad_date", T.LongType()), ("n_bad_id", T.LongType())])
 DIM_GEOGRAPHY = _fields([
     ("geo_key", T.LongType()), ("metro", T.StringType()), ("state", T.StringType()),
     ("county_name", T.StringType()), ("inserted_at", TS), ("updated_at", TS)])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -66,3 +66,37 @@ def ensure_jdbc_schema(spark, url: str, schema: str, *, user: str | None = None,
             conn.createStatement().execute(f"CREATE SCHEMA {schema}")
     finally:
         conn.close()
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _path(spark, path)
+    fs.delete(p, True)
+
+
+def replace_folders(spark: SparkSession, staging: str, target: str, names: list[str]) -> None:
+    """Put the folders ``staging/<name>`` in the places ``target/<name>``. What
+    stood there moves into ``staging`` first; if a move fails, all moves made are
+    taken back and the error is raised."""
+    fs, _ = _path(spark, staging)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    moved: list[tuple[str, str]] = []
+
+    def move(a: str, b: str) -> None:
+        if not fs.rename(path(a), path(b)):
+            raise OSError(f"could not move {a} to {b}")
+        moved.append((a, b))
+
+    try:
+        for name in names:
+            if fs.exists(path(f"{target}/{name}")):
+                move(f"{target}/{name}", f"{staging}/_former-{name}")
+            move(f"{staging}/{name}", f"{target}/{name}")
+    except Exception:
+        for a, b in reversed(moved):
+            fs.rename(path(b), path(a))
+        raise

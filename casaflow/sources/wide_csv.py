@@ -3,8 +3,8 @@
 Files matched by one glob may carry different date headers (one file starts a
 month later, another has an extra month). Spark's CSV reader maps columns by
 position, so reading them as one relation would silently give values the
-wrong dates. The scan therefore reads each file's header line on the driver
-(a few bytes per file), groups files with identical headers, and builds one
+wrong dates. The scan therefore first runs a job in which each task reads the header
+line of one file, groups files with identical headers, and builds one
 relation per group with an explicit schema. Measures are read as text and
 converted after the unpivot with ``try_cast``, so a malformed cell becomes a
 counted reject instead of a failed job or a silently inferred string column.
@@ -15,15 +15,18 @@ from __future__ import annotations
 import csv
 import functools
 import io
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casaflow.functions import trim_all
 from casaflow.schemas import INT_ID_COLS
+from casaflow.session import ship_package
 
 
 @dataclass
@@ -42,47 +45,72 @@ def _fs_and_path(spark: SparkSession, path: str):
 
 
 def list_files(spark: SparkSession, pattern: str) -> list[str]:
-    """Files matching a glob on any Hadoop file system (local, HDFS, object store)."""
+    """Files matching a glob on any file system, those of matched folders
+    included; Spark lists them and no file is opened."""
+    try:
+        found = spark.read.format("binaryFile").load(pattern).select("path")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+    return sorted(r["path"] for r in found.collect())
+
+
+def has_files(spark: SparkSession, pattern: str) -> bool:
+    """Whether a glob matches anything (one call)."""
     fs, p = _fs_and_path(spark, pattern)
     found = fs.globStatus(p)
-    if not found:
-        return []
-    out = []
-    for st in found:
-        if st.isFile():
-            out.append(st.getPath().toString())
-        else:  # a directory of part files written by Spark
-            for child in fs.listStatus(st.getPath()):
-                name = child.getPath().getName()
-                if child.isFile() and not name.startswith(("_", ".")):
-                    out.append(child.getPath().toString())
-    return sorted(out)
+    return bool(found) and len(found) > 0
 
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
-    """The first line of a CSV file, parsed whole; only that line is read."""
-    fs, p = _fs_and_path(spark, path)
-    jvm = spark._jvm
-    stream = fs.open(p)
+#: One file a task, and few rows a batch: a task reads the start of its file.
+HEADER_CONF = {"spark.sql.files.maxPartitionBytes": str(1 << 50), "spark.sql.files.openCostInBytes": str(1 << 50),
+               "spark.sql.execution.arrow.maxRecordsPerBatch": "16"}
+#: Batches that a task takes so that a short file ends (its worker is then used again).
+DRAINED = 64
+
+
+def _first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found = False
+    for n, batch in enumerate(batches):
+        if not found and batch.num_rows:
+            found = True
+            yield batch.slice(0, 1)
+        if n >= DRAINED:
+            return
+
+
+def parse_header(line: str) -> list[str]:
+    return next(csv.reader(io.StringIO(line.lstrip("\ufeff"))), [])
+
+
+def header_groups(spark: SparkSession, pattern: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files grouped by identical header, in one Spark job: every task reads the
+    first line of one file, and the driver gets each distinct header once with
+    the paths (as ``_metadata.file_path`` spells them) that have it. Files
+    without a line and globs without files give nothing. Works for any file
+    system that Spark reads."""
+    ship_package(spark)
+    own = spark.newSession()
+    for k, v in HEADER_CONF.items():
+        own.conf.set(k, v)
     try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine() or ""
-    finally:
-        stream.close()
-    line = line.lstrip("﻿")
-    return next(csv.reader(io.StringIO(line)), [])
-
-
-def header_groups(spark: SparkSession, files: list[str],
-                  threads: int = 16) -> dict[tuple[str, ...], list[str]]:
-    """Files grouped by identical header; header lines are fetched
-    concurrently (I/O bound: one small read per file)."""
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files)))) as pool:
-        headers = list(pool.map(lambda f: tuple(read_header(spark, f)), files))
+        lines = own.read.text(pattern).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return {}
+        raise
+    firsts = lines.mapInArrow(_first_line, "path string, line string")
+    found = firsts.groupBy("line").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
     groups: dict[tuple[str, ...], list[str]] = {}
-    for f, h in zip(files, headers):
-        groups.setdefault(h, []).append(f)
-    return groups
+    for r in found:
+        groups.setdefault(tuple(parse_header(r["line"])), []).extend(r["paths"])
+    return {h: sorted(p) for h, p in groups.items()}
+
+
+def read_header(spark: SparkSession, path: str) -> list[str]:
+    """The header of one file."""
+    return list(next(iter(header_groups(spark, path)), []))
 
 
 def wide_schema(header: list[str], id_cols: list[str] | None, n_ids: int | None,
@@ -124,16 +152,21 @@ def scan_wide(spark: SparkSession, pattern: str | list[str], id_cols=None,
     """One ``WideGroup`` per distinct header among the files matched.
 
     Each group's frame has the identifiers, the measure columns (text) and
-    ``source_file`` (the full path, from the scan's file metadata).
+    ``source_file`` (the full path, from the scan's file metadata). With several
+    headers a group is the same glob with a filter on the file's path, which
+    Spark applies when it lists files: other groups' files are not opened.
     """
-    files = pattern if isinstance(pattern, list) else list_files(spark, pattern)
+    groups = sorted(header_groups(spark, pattern).items())
     out = []
-    for header, group_files in sorted(header_groups(spark, files).items()):
+    for header, files in groups:
         schema, ids, measures = wide_schema(list(header), id_cols, n_ids)
         df = (spark.read.schema(schema)
               .option("header", True).option("enforceSchema", False)
               .option("quote", '"').option("escape", '"')      # doubled quotes, as in the header
-              .option("mode", "PERMISSIVE").csv(group_files)
+              .option("mode", "PERMISSIVE").csv(pattern)
               .withColumn("source_file", F.col("_metadata.file_path")))
-        out.append(WideGroup(group_files, list(header), ids, measures, df))
+        if len(groups) > 1:
+            names = ", ".join("'" + f.replace("\\", "\\\\").replace("'", "\\'") + "'" for f in files)
+            df = df.where(f"source_file IN ({names})")
+        out.append(WideGroup(files, list(header), ids, measures, df))
     return out
