@@ -75,14 +75,20 @@ def stream_upsert(stream: DataFrame, log_root: str, checkpoint: str,
 def _latest(rows: DataFrame, keys: list[str], first_cols=("inserted_at",)) -> DataFrame:
     """Newest row per key by ``batch``; ``first_cols`` keep their first value
     (e.g. the first insertion time). A plain aggregate with map-side
-    combine: a key's group is the number of batches that touched it."""
+    combine: a key's group is the number of batches that touched it. A row
+    with a null key part has no key, as in a unique index, and stays."""
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    keyless = rows.where(~whole).drop("batch")
+    rows = rows.where(whole)
     cols = [c for c in rows.columns if c not in keys and c != "batch"]
     later = [c for c in cols if c not in first_cols]
     aggs = [F.max_by(F.struct(*[F.col(c) for c in later]), F.col("batch")).alias("_last")]
     aggs += [F.min(c).alias(c) for c in cols if c in first_cols]
     out = rows.groupBy(*keys).agg(*aggs)
     return out.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in later],
-                      *[c for c in cols if c in first_cols])
+                      *[c for c in cols if c in first_cols]).unionByName(keyless)
 
 
 def _log(spark: SparkSession, log_root: str, after: int | None) -> DataFrame | None:

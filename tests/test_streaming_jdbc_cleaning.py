@@ -152,3 +152,11 @@ def test_long_fill_takes_nan_as_a_gap(spark):
     from casaflow.operators.gapfill import interpolate_linear
     df = spark.createDataFrame([("a", 0, 1.0), ("a", 1, float("nan")), ("a", 2, None), ("a", 3, 4.0)], "k string, p int, v double")
     assert [r.v for r in interpolate_linear(df, ["k"], "p", "v").orderBy("p").collect()] == [1.0, 2.0, 3.0, 4.0]
+
+
+def test_upserted_rows_without_a_whole_key_all_stay(spark):
+    from casaflow.streaming.incremental import _latest
+    rows = spark.createDataFrame([(1, None, 1.0, 0, "a"), (1, None, 2.0, 1, "b"), (1, "d", 3.0, 0, "a"), (1, "d", 4.0, 1, "b"), (None, "d", 5.0, 1, "b")],
+                                 "region_id int, metric_date string, v double, batch long, inserted_at string")
+    out = _latest(rows, ["region_id", "metric_date"])
+    assert sorted((r.v, r.inserted_at) for r in out.collect()) == [(1.0, "a"), (2.0, "b"), (4.0, "a"), (5.0, "b")]
