@@ -161,7 +161,7 @@ def op7_suffix_dedup(spark, sf_dir):
                           lambda s, x: s + x["end"] - x["start"])
     return out.select("doc_id", "n_bytes", removed.alias("n_removed"),
                       F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"),
-                      F.sha2("kept", 256).alias("kept_sha256"))
+                      F.sha2("kept", 256).alias("kept_sha256"), F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"))
 
 
 @register
