@@ -2,7 +2,7 @@
 and token files. Nothing else in the library imports this subpackage.
 
 * ``embed_dedup``   near-duplicate vectors (random-hyperplane tables)
-* ``line_dedup``    fuzzy lines (SimHash, pigeonhole blocks, edit similarity)
+* ``line_dedup``    fuzzy lines (min-hash windows and segments, or SimHash blocks; edit similarity)
 * ``url_filter``    Bloom filter cascade over URL keys
 * ``toxicity``      factorization machine over hashed terms
 * ``packing``       variable-capacity best-fit sequence packing
@@ -11,4 +11,7 @@ and token files. Nothing else in the library imports this subpackage.
 * ``topk``          exact top-k over binary codes (multi-index hashing)
 * ``ngram_join``    n-gram Jaccard join (count-vector R-tree)
 * ``records``       length-delimited token records with an offset index
+* ``filter_audit``  interaction of filters (sorted posting lists)
+* ``window_packing``  windows of one length (non-negative least squares)
+* ``importance``    target-distribution resampling (hashed n-grams)
 """
