@@ -9,8 +9,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,15 +78,38 @@ def ship_package(spark: SparkSession) -> None:
     sc._casaflow_shipped = True
 
 
+_SCOPES = threading.local()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared scratch root and read it back:
     lineage ends at files that survive executors, and later plans get column
     pruning, pushed filters and size statistics."""
     path = scratch_path(df.sparkSession, name)
+    for made in _SCOPES.__dict__.get("open", []):
+        made.append((name, path))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession, keep: set[str]) -> Iterator[None]:
+    """Tables that this thread materialises inside are deleted at the end but
+    for those named in ``keep``. For steps whose result is stored itself: nothing
+    that is still to be computed may read the others."""
+    scopes = _SCOPES.__dict__.setdefault("open", [])
+    made: list[tuple[str, str]] = []
+    scopes.append(made)
+    try:
+        yield
+    finally:
+        scopes.remove(made)
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        for name, where in made:
+            if name not in keep:
+                path(where).getFileSystem(spark._jsc.hadoopConfiguration()).delete(path(where), True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
