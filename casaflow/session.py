@@ -59,23 +59,27 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_SHIPPING = threading.Lock()
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make ``casaflow`` importable in the Python workers: the package's sources
     go out once per application as a zip (Spark serves it to the executors)."""
     sc = spark.sparkContext
-    if getattr(sc, "_casaflow_shipped", False):
-        return
-    package = os.path.dirname(os.path.abspath(__file__))
-    if os.path.isdir(package):      # already a zip on sys.path under spark-submit --py-files
-        path = os.path.join(tempfile.mkdtemp(prefix="casaflow-py-"), "casaflow_src.zip")
-        with zipfile.ZipFile(path, "w") as z:
-            for folder, _, names in os.walk(package):
-                for name in names:
-                    if name.endswith(".py"):
-                        full = os.path.join(folder, name)
-                        z.write(full, os.path.relpath(full, os.path.dirname(package)))
-        sc.addPyFile(path)
-    sc._casaflow_shipped = True
+    with _SHIPPING:         # landings run in threads
+        if getattr(sc, "_casaflow_shipped", False):
+            return
+        package = os.path.dirname(os.path.abspath(__file__))
+        if os.path.isdir(package):      # already a zip on sys.path under spark-submit --py-files
+            path = os.path.join(tempfile.mkdtemp(prefix="casaflow-py-"), "casaflow_src.zip")
+            with zipfile.ZipFile(path, "w") as z:
+                for folder, _, names in os.walk(package):
+                    for name in names:
+                        if name.endswith(".py"):
+                            full = os.path.join(folder, name)
+                            z.write(full, os.path.relpath(full, os.path.dirname(package)))
+            sc.addPyFile(path)
+        sc._casaflow_shipped = True
 
 
 _SCOPES = threading.local()
