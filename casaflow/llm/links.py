@@ -90,6 +90,11 @@ def fresh(frame: DataFrame, name: str) -> str:
     return name
 
 
+def task_count(rows: DataFrame, per_task: int) -> int:
+    """Tasks for work that grows with rows, not with bytes."""
+    return max(1, -(-rows.count() // per_task))
+
+
 def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (sorted by key) whose key has another row; holds one row back."""
     last: pa.RecordBatch | None = None

@@ -8,7 +8,9 @@ two sets is at most the sum over the groups of the smaller count.
 * Routing: two sets of Jaccard >= t share a shingle among the first
   ``n - ceil(t n) + 1`` of each in one global order, so each class goes to the
   nodes named by its first shingles. The order puts frequent shingles last (a
-  heuristic that only keeps nodes small; any order gives the same links).
+  heuristic that only keeps nodes small; any order gives the same links). Under
+  one shingle, classes are in the order of size; where the next size is too
+  large for a link a new node begins. Nodes of the same classes are one node.
 * Each node packs the points that reach it into an R-tree and keeps the pairs
   whose bound allows the link; what hangs together over all nodes is a family.
 * Families get the whole sets, each set once, and verify pairs exactly; pairs
@@ -20,6 +22,7 @@ two sets is at most the sum over the groups of the smaller count.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +31,15 @@ from pyspark.sql import functions as F
 
 from casaflow.llm.arrays import (U64, Forest, byte_chunks, column_bytes, key_runs, mix, run_bounds,
                                  shingles, word_hashes)
-from casaflow.llm.links import Bitmap, components, repeated, split_groups
-from casaflow.session import materialize, ship_package
+from casaflow.llm.links import GROUP_LIMIT, Bitmap, components, split_groups, task_count
+from casaflow.session import materialize, scratch, ship_package
 
 GROUPS = 64, 4096    # fewest and most coordinates of a count vector
 FAMILY_SHINGLES = 1 << 22   # shingles of a family's chunk (32 MiB)
+#: Rows of one task that searches nodes, and of one that verifies families.
+MEET_ROWS, VERIFY_ROWS = 1 << 15, 1 << 11
+#: A route's low bits hold the set's size in steps of a two-hundredth.
+SIZE_BITS, SIZE_STEP = 12, 1.005
 LEAF = 32            # points of an R-tree leaf, children of a node
 TEXT_BLOCK = 4 << 20  # bytes of text hashed at once
 
@@ -116,6 +123,56 @@ def _pair_bounds(flat: np.ndarray, offsets: np.ndarray, first: np.ndarray) -> np
     return bound
 
 
+def size_code(n: int) -> int:
+    return min(int(np.log(max(n, 1)) / np.log(SIZE_STEP)), (1 << SIZE_BITS) - 1)
+
+
+def _nodes(num: int, den: int, limit: int):
+    """Routes (sorted by key and size) as nodes of two rows or more: (cell, rep,
+    large). A run ends where the key does or the next size allows no link with
+    the last. A run of at most ``limit`` rows is named by its rows, so that equal
+    ones fall together; a larger one by its first route, and passed on in parts."""
+    gap = int(np.ceil(np.log(den / num) / np.log(SIZE_STEP))) + 1
+
+    def rows(cell, rep, large):
+        return pa.RecordBatch.from_pydict({"cell": cell.view(np.int64), "rep": rep, "large": np.full(len(rep), large)})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rep, name = np.empty(0, np.int64), np.empty(0, np.int64), None     # the open run; its name once it is large
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                key, rep = np.concatenate([key, batch.column(0).to_numpy()]), np.concatenate([rep, batch.column(1).to_numpy()])
+            if not len(key):
+                continue
+            low = key & ((1 << SIZE_BITS) - 1)
+            cuts = np.flatnonzero((key[1:] >> SIZE_BITS != key[:-1] >> SIZE_BITS) | (np.diff(low) > gap)) + 1
+            cuts = np.concatenate([[0], cuts, [len(key)] if batch is None else []]).astype(np.int64)
+            sizes = np.diff(cuts)
+            large = sizes > limit
+            large[:1] |= name is not None
+            for i in np.flatnonzero(large).tolist():
+                part, own = rep[cuts[i]:cuts[i + 1]], mix(key[cuts[i]:cuts[i] + 1].view(U64))[0] if i or name is None else name
+                yield rows(np.full(len(part), own, U64), part, True)
+            name = None if len(sizes) else name
+            small = (sizes > 1) & ~large
+            if small.any():
+                sums = np.add.reduceat(mix(rep[:cuts[-1]].view(U64)), cuts[:-1])
+                sums = mix(sums + sizes.astype(U64))
+                once = np.zeros(len(sizes), dtype=bool)
+                at = np.flatnonzero(small)
+                once[at[np.unique(sums[at], return_index=True)[1]]] = True
+                chosen = np.zeros(len(key), dtype=bool)
+                chosen[:cuts[-1]] = np.repeat(once, sizes)
+                yield rows(np.repeat(sums[once], sizes[once]), rep[chosen], False)
+            key, rep = key[cuts[-1]:], rep[cuts[-1]:]
+            if len(key) > limit + 1:        # the open run is large; its last row stays to compare sizes with
+                name = name if name is not None else mix(key[:1].view(U64))[0]
+                yield rows(np.full(len(rep) - 1, name, U64), rep[:-1], True)
+                key, rep = key[-1:], rep[-1:]
+
+    return run
+
+
 def _need(n_a, n_b, num: int, den: int):
     """Least overlap of a link: den * I >= num * (a + b - I)."""
     return -(-num * (n_a + n_b) // (num + den))
@@ -245,6 +302,13 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     empty table gives an empty result. Other columns are ignored.
     """
     ship_package(docs.sparkSession)
+    with scratch(docs.sparkSession, {"ngram-groups"}):
+        groups = materialize(_groups(docs, id_col, text_col, k, num, den), "ngram-groups")
+    return groups.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def _groups(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int) -> DataFrame:
+    """The join's rows: doc_id, n, component_id."""
     pick = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     often = docs.sparkSession.sparkContext.broadcast(frequent_shingles(pick.select("text"), k))
 
@@ -268,7 +332,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 if len(last):
                     at = np.minimum(np.searchsorted(last, own), len(last) - 1)
                     own = np.concatenate([own[last[at] != own], own[last[at] == own]])
-                keys.append(own[:first].view(np.int64))
+                keys.append((own[:first].view(np.int64) >> SIZE_BITS << SIZE_BITS) | size_code(n[-1]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
                  pa.array(counts, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
@@ -287,23 +351,18 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     points = (described.join(classes.select(F.col("rep").alias("row")), "row", "left_semi")
               .withColumnRenamed("row", "rep"))
 
-    routes = points.select(F.explode("keys").alias("key"), "rep").repartition("key").sortWithinPartitions("key")
-    met = materialize(routes.mapInArrow(repeated, "key long, rep long"), "ngram-routes")
-    # many nodes are met by the same rows: one of them is enough
-    nodes = (met.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("s"), F.min("rep").alias("m"))
-             .groupBy("c", "s", "m").agg(F.min("key").alias("key")).select("key"))
-    cells = split_groups(met.join(nodes, "key", "left_semi"), "key", "rep")
-    filled = cells.join(points.select("rep", "n", "counts"), "rep").select("cell", "rep", "n", "side", "counts")
-    near = materialize(filled.repartition("cell").sortWithinPartitions("cell", "rep")
-                       .mapInArrow(_candidates(num, den), "a long, b long"), "ngram-candidates")
-    families = materialize(components(near), "ngram-families").select(F.col("node").alias("rep"), F.col("component").alias("family"))
+    with scratch(docs.sparkSession, {"ngram-families"}):
+        near = _near(points, num, den)
+        families = materialize(components(near), "ngram-families")
+    families = families.select(F.col("node").alias("rep"), F.col("component").alias("family"))
 
     wanted = families.select("rep").join(classes, "rep").select("rep", "rep_id", "d1", "d2")
     sets = materialize(_wanted_sets(pick, wanted, k).join(points.select("rep", "n", "counts"), "rep"), "ngram-wanted")
-    weighed = families.join(sets.select("rep", "n"), "rep")
-    dealt = (split_groups(weighed, "family", "rep", FAMILY_SHINGLES, "n").select("cell", "rep", "side")
+    # a chunk is bounded in members, which are compared with each other, and in shingles
+    weighed = families.join(sets.select("rep", F.greatest(F.col("n"), F.lit(FAMILY_SHINGLES // GROUP_LIMIT)).alias("weight")), "rep")
+    dealt = (split_groups(weighed, "family", "rep", FAMILY_SHINGLES, "weight").select("cell", "rep", "side")
              .join(sets, "rep").select("cell", "rep", "side", "counts", "tokens"))
-    links = materialize(dealt.repartition("cell").sortWithinPartitions("cell", "rep")
+    links = materialize(dealt.repartition(task_count(families, VERIFY_ROWS), "cell").sortWithinPartitions("cell", "rep")
                         .mapInArrow(_verify(num, den), "a long, b long"), "ngram-links")
     found = materialize(components(links).join(classes.select(F.col("rep").alias("node"), "least_id"), "node"), "ngram-found")
     least = found.groupBy("component").agg(F.min("least_id").alias("least"))
@@ -313,7 +372,20 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     out = (full.select("doc_id", "n", "d1", "d2").join(named, ["n", "d1", "d2"])
            .select("doc_id", "n", "component_id")
            .unionByName(described.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))))
-    return out.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    return out
+
+
+def _near(points: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): what the nodes' trees join, from rows rep, n, counts and keys."""
+    routes = points.select(F.explode("keys").alias("key"), "rep").repartition(F.shiftright("key", SIZE_BITS)).sortWithinPartitions("key")
+    met = materialize(routes.mapInArrow(_nodes(num, den, GROUP_LIMIT), "cell long, rep long, large boolean"), "ngram-routes")
+    # many nodes are met by the same rows: one of them is enough
+    small = met.where("not large").select("cell", "rep").distinct().withColumn("side", F.lit(0))
+    large = met.where("large").select("cell", "rep").withColumnRenamed("cell", "key")
+    cells = materialize(small.unionByName(split_groups(large, "key", "rep").select("cell", "rep", "side")), "ngram-cells")
+    filled = cells.join(points.select("rep", "n", "counts"), "rep").select("cell", "rep", "n", "side", "counts")
+    return materialize(filled.repartition(task_count(cells, MEET_ROWS), "cell").sortWithinPartitions("cell", "rep")
+                       .mapInArrow(_candidates(num, den), "a long, b long"), "ngram-candidates")
 
 
 def _wanted_sets(texts: DataFrame, wanted: DataFrame, k: int) -> DataFrame:

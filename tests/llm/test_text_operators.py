@@ -88,6 +88,7 @@ def test_ngram_join_matches_brute_force(spark, monkeypatch, k, num, limit):
     from casaflow.llm import links
     from casaflow.llm import ngram_join as ngram
     monkeypatch.setattr(links.split_groups, "__defaults__", (limit, None))      # 3: groups are cut into chunks
+    monkeypatch.setattr(ngram, "GROUP_LIMIT", limit)
     monkeypatch.setattr(ngram, "FAMILY_SHINGLES", 100 * limit)
     rows = list(enumerate(near_texts(k)))
     df = ngram_join(spark.createDataFrame(rows, "doc_id long, text string"), k=k, num=num)
@@ -96,6 +97,29 @@ def test_ngram_join_matches_brute_force(spark, monkeypatch, k, num, limit):
     assert any(a != c for a, _, c in expected)
 
 
+@pytest.mark.parametrize("limit", [2, 5, 1000])
+@pytest.mark.parametrize("batch", [1, 3, 64, 10_000])
+def test_nodes_end_where_sizes_or_shingles_do(limit, batch):
+    import pyarrow as pa
+
+    from casaflow.llm.ngram_join import SIZE_BITS, _nodes, size_code
+    rng = random.Random(limit)
+    rows = sorted((rng.randrange(-6, 6) << SIZE_BITS | size_code(rng.choice([3, 40, 44, 48, 900, 905, 70_000])), i) for i in range(300))
+    parts = [rows[i:i + batch] for i in range(0, len(rows), batch)]
+    batches = (pa.RecordBatch.from_pydict({"key": [k for k, _ in p], "rep": pa.array([r for _, r in p], pa.int64())}) for p in parts)
+    cells = {}
+    for out in _nodes(80, 100, limit)(batches):
+        for cell, rep, large in zip(*(out.column(c).to_pylist() for c in ("cell", "rep", "large"))):
+            cells.setdefault((cell, large), set()).add(rep)
+    gap, runs = size_code(125) - size_code(100) + 2, [[rows[0]]]
+    for row in rows[1:]:
+        last = runs[-1][-1][0]
+        new = row[0] >> SIZE_BITS != last >> SIZE_BITS or row[0] - last > gap
+        runs.append([row]) if new else runs[-1].append(row)
+    assert sorted((len(r) > limit, sorted(i for _, i in r)) for r in runs if len(r) > 1) == sorted(
+        (large, sorted(reps)) for (_, large), reps in cells.items())
+
+
 def test_ngram_join_odd_rows(odd, no_docs):
     got = pairs(ngram_join(odd, k=3), "doc_id", "n_shingles", "component_id")
     assert len(got) == odd.count()
