@@ -22,6 +22,8 @@ from casaflow.session import ship_package
 
 #: Permitted sequence lengths.
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
+#: Copies of a row that are numbered at a time.
+COPIES = 1 << 16
 
 
 def sequence_cost(capacity: int) -> float:
@@ -63,23 +65,27 @@ def pack(docs: DataFrame, id_col: str = "doc_id", length_col: str = "n_tokens",
 
     Documents longer than the largest capacity are cut into pieces of it and a
     rest. Null, zero and negative lengths have no pieces. Null and repeated ids
-    are packed like any others, each row for itself; ties are packed in the
-    order of id, piece and row. An empty table gives an empty result; other
-    columns are ignored.
+    are packed like any others, each row for itself; rows of equal id and length
+    are numbered (copies), and ties are packed in the order of id, piece and
+    copy, so the packing doesn't depend on how the table is partitioned. An
+    empty table gives an empty result; other columns are ignored.
     """
     ship_package(docs.sparkSession)
     largest = max(capacities)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(length_col).cast("long").alias("n"),
-                       F.monotonically_increasing_id().alias("row")).where("n > 0")
-    pieces = (rows.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {largest}"))))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(length_col).cast("long").alias("n")).where("n > 0")
+    # rows of equal id and length are counted, then numbered, a bounded number at a time
+    copies = (rows.groupBy("id", "n").agg(F.count(F.lit(1)).alias("times"))
+              .withColumn("from", F.explode(F.expr(f"sequence(0L, times - 1, {COPIES}L)")))
+              .withColumn("copy", F.explode(F.expr(f"sequence(from, least(from + {COPIES - 1}L, times - 1))"))))
+    pieces = (copies.select("id", "n", "copy").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {largest}"))))
               .withColumn("start", F.col("piece") * largest)
               .withColumn("length", F.least(F.lit(largest), F.col("n") - F.col("start"))))
     count = rows.agg(F.sum(F.expr(f"(n - 1) div {largest} + 1"))).first()[0] or 0
     shards = max(1, -(-int(count) // shard_pieces))
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64(F.lit(23), "id", "piece", "row"), F.lit(shards)).cast("int"))
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64(F.lit(23), "id", "n", "piece", "copy"), F.lit(shards)).cast("int"))
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["length", "id", "piece", "row"], ascending=[False, True, True, True], kind="stable", na_position="first")
+        part = part.sort_values(["length", "id", "n", "piece", "copy"], ascending=[False, True, True, True, True], kind="stable", na_position="first")
         bins, offsets, sizes = best_fit(part["length"].tolist(), capacities)
         bins = np.array(bins)
         used = np.bincount(bins, part["length"]).astype(np.int64)

@@ -20,7 +20,7 @@ from casaflow.llm.mixing import mix_sources, word_count
 from casaflow.llm.ngram_join import ngram_join
 from casaflow.llm.packing import pack
 from casaflow.llm.suffix_dedup import dedup_strings
-from casaflow.llm.topk import sign_code, topk_codes
+from casaflow.llm.topk import sign_words, topk_codes
 from casaflow.llm.toxicity import fit_toxicity, score_toxicity
 from casaflow.llm.url_filter import url_filter
 from casaflow.llm.window_packing import pack_windows
@@ -104,8 +104,10 @@ TOP_K = 10
 def op8_topk_codes(spark, sf_dir):
     """The ten rows whose sign codes are nearest to each vector whose id is
     divisible by 50, itself included."""
-    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), sign_code(F.col("embedding")).alias("code"))
-    return topk_codes(rows, rows.where("id % 50 = 0"), TOP_K)
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    longest = vectors.agg(F.max(F.size("embedding"))).first()[0] or 0
+    rows = vectors.select("id", sign_words(F.col("embedding"), longest).alias("code"))
+    return topk_codes(rows, rows.where("id % 50 = 0"), TOP_K).drop("query_code")
 
 
 ORACLE["op8_topk_codes"] = f"""

@@ -146,6 +146,12 @@ def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return shards.withColumn("first_id", F.coalesce(F.sum("n_ids").over(before), F.lit(0).cast("long")))
 
 
+def _spread(manifest: DataFrame) -> DataFrame:
+    """The manifest dealt to about as many tasks as it has shards. The number is
+    given since rows that name files are tiny: by their size all would be one."""
+    return manifest.repartition(max(1, manifest.count()), F.col("shard"))
+
+
 def read_records(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
     """Read the files back in order, checking both checksums of each frame.
 
@@ -155,7 +161,7 @@ def read_records(spark: SparkSession, folder: str, with_ids: bool = True) -> Dat
     """
     ship_package(spark)
     manifest = read_manifest(spark, folder).select("shard", "data_file", "first_id")
-    spread = manifest.repartition(F.col("shard"))
+    spread = _spread(manifest)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,7 +217,7 @@ def shuffled_records(spark: SparkSession, folder: str, seed: int, partitions: in
                     "data_file": [data] * len(table), "shard": pa.array([shard] * len(table), pa.int32()),
                     "offset": table["offset"].astype(np.int64), "length": table["length"].astype(np.int64)})
 
-    index = manifest.repartition(F.col("shard")).mapInArrow(entries, "data_file string, shard int, offset long, length long")
+    index = _spread(manifest).mapInArrow(entries, "data_file string, shard int, offset long, length long")
     at = F.xxhash64(F.lit(seed), F.col("shard"), F.col("offset"))
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = index.withColumn("at", at).repartitionByRange(n, "at").sortWithinPartitions("at")

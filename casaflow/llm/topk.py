@@ -21,19 +21,30 @@ from pyspark.sql import functions as F
 
 from casaflow.session import ship_package
 
-RESULT = "query_id long, id long, distance int"
+RESULT = "query_id long, query_code array<long>, id long, distance int"
 
 
 def sign_code(vector: Column, bits: int = 64) -> Column:
     """A long whose bit j says whether component j is above zero (missing, null
-    and NaN components are 0)."""
+    and NaN components are 0). A vector of more than ``bits`` components is an
+    error: ``sign_words`` holds longer ones whole."""
     def bit(j: int) -> Column:
         x = F.get(vector, F.lit(j)).cast("double")
         return F.when((x > 0) & ~F.isnan(x), F.lit(1 << j if j < 63 else -(1 << 63)).cast("long")).otherwise(F.lit(0).cast("long"))
     code = bit(0)
     for j in range(1, bits):
         code = code.bitwiseOR(bit(j))
-    return F.when(vector.isNotNull(), code)
+    too_long = F.raise_error(F.lit(f"a vector has more than {bits} components")).cast("long")
+    return F.when(F.size(vector) > bits, too_long).when(vector.isNotNull(), code)
+
+
+def sign_words(vector: Column, components: int) -> Column:
+    """The signs of ``components`` components as an array of longs, 64 each; a
+    longer vector is an error."""
+    words = -(-max(components, 1) // 64)
+    cut = [sign_code(F.slice(vector, 64 * w + 1, 64)) for w in range(words)]
+    too_long = F.raise_error(F.lit(f"a vector has more than {64 * words} components")).cast("array<long>")
+    return F.when(F.size(vector) > 64 * words, too_long).when(vector.isNotNull(), F.array(*cut))
 
 
 def _masks(width: int, radius: int) -> np.ndarray:
@@ -42,15 +53,16 @@ def _masks(width: int, radius: int) -> np.ndarray:
 
 
 class MultiIndex:
-    """Segment tables over the codes of one block."""
+    """Segment tables over the codes (rows x words) of one block; each word of
+    ``bits`` bits is cut into ``segments``."""
 
     def __init__(self, codes: np.ndarray, bits: int, segments: int):
-        self.codes, self.segments = codes, segments
+        self.codes = codes.reshape(len(codes), -1)
         edges = np.linspace(0, bits, segments + 1).astype(int)
-        self.parts = [(int(a), int(b - a)) for a, b in zip(edges[:-1], edges[1:])]
+        self.parts = [(w, int(a), int(b - a)) for w in range(self.codes.shape[1]) for a, b in zip(edges[:-1], edges[1:])]
         self.tables = []
-        for at, width in self.parts:
-            value = self._segment(codes, at, width)
+        for word, at, width in self.parts:
+            value = self._segment(self.codes[:, word], at, width)
             order = np.argsort(value, kind="stable")
             starts = np.searchsorted(value[order], np.arange((1 << width) + 1))
             self.tables.append((order, starts))
@@ -59,15 +71,14 @@ class MultiIndex:
     def _segment(codes: np.ndarray, at: int, width: int) -> np.ndarray:
         return ((codes >> np.uint64(at)) & np.uint64((1 << width) - 1)).astype(np.int64)
 
-    def search(self, query: int, k: int, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(rows, distances) of the k nearest codes, ties by id."""
-        own = np.array([query], dtype=np.uint64)
-        values = [int(self._segment(own, at, width)[0]) for at, width in self.parts]
+    def search(self, query: np.ndarray, k: int, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rows, distances) of the k codes nearest to ``query`` (its words), ties by id."""
+        values = [int(self._segment(query[word:word + 1], at, width)[0]) for word, at, width in self.parts]
         met = np.zeros(len(self.codes), dtype=bool)
         rows, dist = np.empty(0, np.int64), np.empty(0, np.int64)
-        for radius in range(max(width for _, width in self.parts) + 1):
+        for radius in range(max(width for _, _, width in self.parts) + 1):
             found = []
-            for (_, width), value, (order, starts) in zip(self.parts, values, self.tables):
+            for (_, _, width), value, (order, starts) in zip(self.parts, values, self.tables):
                 if radius > width:
                     continue
                 probe = value ^ _MASKS(width, radius)
@@ -83,12 +94,12 @@ class MultiIndex:
                 new = new[~met[new]]
                 met[new] = True
                 rows = np.concatenate([rows, new])
-                dist = np.concatenate([dist, np.bitwise_count(self.codes[new] ^ own).astype(np.int64)])
+                dist = np.concatenate([dist, np.bitwise_count(self.codes[new] ^ query).sum(axis=1, dtype=np.int64)])
                 if len(rows) > k:    # keep the best k and everything tied with the kth
                     kth = np.partition(dist, k - 1)[k - 1]
                     rows, dist = rows[dist <= kth], dist[dist <= kth]
             if len(rows) >= min(k, len(self.codes)) and (len(rows) >= len(self.codes) or
-                                                         np.partition(dist, k - 1)[k - 1] <= self.segments * (radius + 1) - 1):
+                                                         np.partition(dist, k - 1)[k - 1] <= len(self.parts) * (radius + 1) - 1):
                 break
         best = np.lexsort((ids[rows], dist))[:k]
         return rows[best], dist[best]
@@ -106,42 +117,47 @@ def _MASKS(width: int, radius: int) -> np.ndarray:
 def topk_codes(rows: DataFrame, queries: DataFrame, k: int = 10, bits: int = 64, segments: int = 4,
                block_rows: int = 1 << 17, block_queries: int = 1 << 12) -> DataFrame:
     """The k rows nearest to each query by Hamming distance, ties by the smaller
-    id: query_id, rank (from 1), id, distance.
-
-    Both frames have ``id`` (long) and ``code`` (long, ``bits`` bits). Rows with
-    a null id or code are not found and ask nothing; repeated rows are found as
-    often as they occur; with fewer than k rows all are returned; an empty side
-    gives an empty result. Other columns are ignored. Rows and queries are dealt
+    id: query_id, rank (from 1), id, distance, query_code (array of longs).
+
+    Both frames have ``id`` (long) and ``code``, a long of ``bits`` bits or an
+    array of such longs, as many in every row of both frames. Rows with a null id
+    or code are not found and ask nothing; repeated rows are found as often as
+    they occur. A query is an id with a code: repeated ones are asked once, and
+    different codes under one id have rankings of their own (told apart by
+    ``query_code``). With fewer than k rows all are returned; an empty side gives
+    an empty result. Other columns are ignored. Rows and queries are dealt
     by hash to blocks of about ``block_rows`` and ``block_queries``, whose
     numbers follow the counts; a block pair holds only its own rows and queries
     and returns at most k rows a query.
     """
     ship_package(rows.sparkSession)
-    rows = rows.where("id is not null and code is not null").select("id", "code")
-    queries = queries.where("id is not null and code is not null").select("id", "code")
+
+    def coded(frame: DataFrame) -> DataFrame:
+        code = F.col("code") if frame.schema["code"].dataType.typeName() == "array" else F.when(F.col("code").isNotNull(), F.array("code"))
+        return frame.select("id", code.alias("code")).where("id is not null and code is not null")
+
+    rows, queries = coded(rows), coded(queries).distinct()
     n, q = rows.count(), queries.count()
     row_blocks, query_blocks = max(1, -(-n // block_rows)), max(1, -(-q // block_queries))
 
-    def dealt(frame: DataFrame, own: str, blocks: int, other: str, others: int) -> DataFrame:
-        salt = F.xxhash64(F.lit(5), "id", F.monotonically_increasing_id())
+    def dealt(frame: DataFrame, salt: Column, own: str, blocks: int, other: str, others: int) -> DataFrame:
         return (frame.withColumn(own, F.pmod(salt, F.lit(blocks)).cast("int"))
                 .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1)))))
 
-    left = dealt(rows, "rb", row_blocks, "qb", query_blocks)
-    right = dealt(queries, "qb", query_blocks, "rb", row_blocks)
+    left = dealt(rows, F.xxhash64(F.lit(5), "id", F.monotonically_increasing_id()), "rb", row_blocks, "qb", query_blocks)
+    right = dealt(queries, F.xxhash64(F.lit(5), "id", "code"), "qb", query_blocks, "rb", row_blocks)
 
     def answer(block: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        out: list[list[np.ndarray]] = [[], [], []]
+        out: list[pd.DataFrame] = []
         if len(block) and len(asked):
             ids = block["id"].to_numpy(np.int64)
-            index = MultiIndex(block["code"].to_numpy(np.int64).view(np.uint64), bits, segments)
-            for query, code in zip(asked["id"].tolist(), asked["code"].to_numpy(np.int64).view(np.uint64).tolist()):
-                hit, dist = index.search(code, k, ids)
-                for col, x in zip(out, (np.full(len(hit), query), ids[hit], dist)):
-                    col.append(x)
-        cols = [np.concatenate(c) if c else np.empty(0, np.int64) for c in out]
-        return pd.DataFrame({"query_id": cols[0], "id": cols[1], "distance": cols[2].astype(np.int32)})
+            codes, wanted = (np.stack(f["code"].to_list()).astype(np.int64).view(np.uint64) for f in (block, asked))
+            index = MultiIndex(codes, bits, segments)
+            for query, own in zip(asked["id"].tolist(), wanted):
+                hit, dist = index.search(own, k, ids)
+                out.append(pd.DataFrame({"query_id": query, "query_code": [own.view(np.int64)] * len(hit), "id": ids[hit], "distance": dist.astype(np.int32)}))
+        return pd.concat(out) if out else pd.DataFrame(columns=["query_id", "query_code", "id", "distance"], dtype=object)
 
     best = (left.groupBy("rb", "qb").cogroup(right.groupBy("rb", "qb")).applyInPandas(answer, RESULT))
-    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "id")))
-    return ranked.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "id", "distance")
+    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "query_code").orderBy("distance", "id")))
+    return ranked.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "id", "distance", "query_code")
