@@ -124,8 +124,8 @@ def embed_dedup(vectors: DataFrame, threshold: float = 0.98, tables: int = 24, b
     component_id (smallest id reachable by links, itself included) and kept
     (id = component_id).
 
-    Two vectors link when their labels are equal and not null, their lengths
-    are equal and their cosine in double precision is at least ``threshold``.
+    Two vectors link when their labels (of any type, equal by a 64-bit hash) are
+    equal and not null, their lengths are equal and their cosine in double precision is at least ``threshold``.
     Vectors that are null, empty, zero, or hold null or non-finite components,
     and vectors with a null label, link with nothing. Repeated rows link with
     each other; repeated ids are kept as rows of their own; a null id is never
@@ -134,7 +134,7 @@ def embed_dedup(vectors: DataFrame, threshold: float = 0.98, tables: int = 24, b
     """
     ship_package(vectors.sparkSession)
     pick = vectors.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("vec_id"),
-                          F.col(label_col).cast("long").alias("label"),
+                          F.when(F.col(label_col).isNotNull(), F.xxhash64(label_col)).alias("label"),
                           F.col(vector_col).cast("array<double>").alias("embedding"))
     described = materialize(pick.mapInArrow(_describe(tables, bits, seed), "row long, vec_id long, label long, vec binary, "
                                             "sig binary, keys array<long>"), "vectors")

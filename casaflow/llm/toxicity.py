@@ -6,6 +6,9 @@ buckets, so it learns that an insult beside a group mention means more than the
 two apart, which additive weights can't say. Pair terms cost linear time:
 ``(|sum v|^2 - sum |v|^2) / 2``.
 
+Its features are the buckets that tell the labels apart alone, and those that do
+so beside another bucket (``telling_pairs``), however little each says by itself.
+
 It is fitted by mini-batch AdaGrad in one task on a bounded sample of the
 labelled documents (``per_class`` of each label, picked by their id's hash), and
 its bias is then set back by the labels' shares in the sample, so that scores
@@ -30,6 +33,9 @@ from casaflow.session import materialize, ship_package
 TEXT_BLOCK = 4 << 20
 FACTORS = 8
 NO_LABELS = -3.0    # bias of a machine that saw no labels of both kinds
+#: A term is looked at in pairs when this share of the documents of label 1, and
+#: so many of them, hold it; a square of PAIR_BLOCK terms is counted at a time.
+PAIR_SHARE, PAIR_DOCS, PAIR_BLOCK = 0.01, 20, 512
 
 
 class FactorizationMachine:
@@ -93,6 +99,48 @@ def likelihood_ratio(hits: np.ndarray, count: np.ndarray, positive: int, n: int)
         return 2 * np.where(cells > 0, cells * np.log(cells / expected), 0.0).sum(axis=0)
 
 
+def telling_pairs(feature: np.ndarray, row: np.ndarray, label: np.ndarray, alone: np.ndarray, least_ratio: float) -> np.ndarray:
+    """Which features tell the labels apart only beside another feature.
+
+    ``alone`` holds every feature's own likelihood ratio. The documents that hold
+    both of a pair are counted by matrix products over blocks of the features
+    frequent under label 1. A pair counts when its ratio exceeds the better one of
+    its two features by ``least_ratio`` and the surprise due to the number of
+    pairs looked at (2 ln of it, as a ratio's tail falls with exp(-x / 2))."""
+    positive, n = int(label.sum()), len(label)
+    told = np.zeros(len(alone), dtype=bool)
+    often = np.flatnonzero(np.bincount(feature, label[row] > 0, len(alone)) >= max(PAIR_DOCS, PAIR_SHARE * positive))
+    if len(often) < 2:
+        return told
+    least = least_ratio + 2 * np.log(len(often) * (len(often) - 1) / 2)
+    place = np.full(len(alone), -1)
+    place[often] = np.arange(len(often))
+    held = place[feature] >= 0
+    of, doc = place[feature[held]], row[held]
+    by_term = np.argsort(of, kind="stable")
+    of, doc = of[by_term], doc[by_term]
+
+    def dense(lo: int) -> np.ndarray:
+        a, b = np.searchsorted(of, [lo, lo + PAIR_BLOCK])
+        out = np.zeros((n, min(PAIR_BLOCK, len(often) - lo)), np.float32)
+        out[doc[a:b], of[a:b] - lo] = 1
+        return out
+
+    toxic = label > 0
+    for lo in range(0, len(often), PAIR_BLOCK):
+        left = dense(lo)
+        for at in range(lo, len(often), PAIR_BLOCK):
+            right = left if at == lo else dense(at)
+            hits = left[toxic].T @ right[toxic]
+            ratio = likelihood_ratio(hits, hits + left[~toxic].T @ right[~toxic], positive, n)
+            i, j = often[lo:lo + left.shape[1]], often[at:at + right.shape[1]]
+            passed = ratio >= least + np.maximum(alone[i][:, None], alone[j])
+            passed &= i[:, None] < j
+            told[i[passed.any(axis=1)]] = True
+            told[j[passed.any(axis=0)]] = True
+    return told
+
+
 def term_buckets(texts: pa.Array, bits: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Blocks of texts: (first row, rows, bucket, row within the block), each
     bucket once a text, sorted by row."""
@@ -110,12 +158,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     """The fitted machine as a table: bucket (-1: the bias), weight, factors.
 
     ``labels`` has the id and a 0/1 label; rows with a null in either are
-    ignored, a repeated id counts once (with its highest label). At most about
+    ignored, a repeated id counts once (with its highest label; of its texts the
+    one whose buckets sort first). At most about
     ``per_class`` documents of each label are used; the bias is corrected by the
     logarithm of the ratio of their shares, so scores follow the class ratio of
     all labels. Features are the buckets
     whose frequencies under the two labels differ by a log-likelihood ratio of
-    ``least_ratio`` or more, so that a million rare terms can't be learned by
+    ``least_ratio`` or more, alone or in pairs (``telling_pairs``), so that a
+    million rare terms can't be learned by
     heart. Without labels of both kinds the table has
     at most a bias, NO_LABELS.
     """
@@ -150,7 +200,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
             row = np.repeat(np.arange(len(label)), np.concatenate([p[1] for p in parts]))
             bucket = np.concatenate([p[2] for p in parts])
             used, which, count = np.unique(bucket, return_inverse=True, return_counts=True)
-            often = likelihood_ratio(np.bincount(which, label[row] > 0), count, int((label > 0).sum()), len(label)) >= least_ratio
+            alone = likelihood_ratio(np.bincount(which, label[row] > 0), count, int((label > 0).sum()), len(label))
+            often = (alone >= least_ratio) | telling_pairs(which, row, label, alone, least_ratio)
             dense = np.cumsum(often) - 1
             keep = often[which]
             model = FactorizationMachine.fit(dense[which[keep]], row[keep], (label > 0).astype(float), int(often.sum()))
@@ -159,8 +210,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         yield pa.RecordBatch.from_pydict({"bucket": pa.array(table["bucket"], pa.int32()), "weight": pa.array(table["weight"], pa.float64()),
                                           "factors": pa.array(table["factors"], pa.list_(pa.float64()))})
 
-    described = materialize(texts.select("id", "text", "label").mapInArrow(describe, f"id {dict(known.dtypes)['id']}, label int, buckets array<int>"),
-                            "toxicity-terms")
+    terms = texts.select("id", "text", "label").mapInArrow(describe, f"id {dict(known.dtypes)['id']}, label int, buckets array<int>")
+    described = materialize(terms.groupBy("id", "label").agg(F.min("buckets").alias("buckets")), "toxicity-terms")
     ordered = described.repartition(1).sortWithinPartitions("id").select("label", "buckets")   # the bounded sample
     return materialize(ordered.mapInArrow(fit, "bucket int, weight double, factors array<double>"), "toxicity-model")
 

@@ -87,25 +87,40 @@ def _hashes(key: Column) -> tuple[Column, Column]:
     return F.xxhash64(F.lit(1), key), F.xxhash64(F.lit(2), key)
 
 
+def level_rate(listed: int, others: int) -> float:
+    """The false-positive rate of level 1 for which all levels take least bits."""
+    return min(0.5, listed / (2 * math.log(2) * others)) if listed and others else 0.5
+
+
+def cascade_bits(listed: int, others: int, rate: float) -> float:
+    """Expected bits of all levels: level 1 has the listed keys, level 2 the
+    others it passes, level 3 half the listed ones, and so on by halves."""
+    return (listed * -math.log2(rate) + 2 * others * rate + listed) / math.log(2) if listed else 0.0
+
+
 class BloomCascade:
     """An exact membership filter for ``listed`` over ``universe``.
 
     Both are frames with a string column ``key`` (nulls are ignored, repeats
-    count once). Keys are dealt to as many shards by their hash as keep each
-    shard's filters within ``shard_bytes``, the bound of every broadcast.
-    ``rate`` is the false-positive rate of level 1; later levels use one half.
+    count once). ``rate`` is the false-positive rate of level 1; later levels use
+    one half. Without one it follows from both sizes (``level_rate``), so that all
+    levels together take about ``log2(universe / listed) + 3`` bits * 1.44 a listed
+    key: they grow with the list, not with the corpus. Keys are dealt to as many
+    shards by their hash as keep all levels of a shard within ``shard_bytes``, the
+    bound of every broadcast and of what the driver builds at a time.
     """
 
-    def __init__(self, listed: DataFrame, universe: DataFrame, rate: float = 0.01, shard_bytes: int = 32 << 20):
+    def __init__(self, listed: DataFrame, universe: DataFrame, rate: float | None = None, shard_bytes: int = 32 << 20):
         spark = listed.sparkSession
         ship_package(spark)
         h1, h2 = _hashes(F.col("key"))
         flagged = (listed.select("key", F.lit(1).alias("on")).unionByName(universe.select("key", F.lit(0).alias("on")))
                    .where("key is not null").groupBy("key").agg(F.max("on").alias("on")))
         keys = materialize(flagged.select(h1.alias("h1"), h2.alias("h2"), (F.col("on") == 1).alias("on")), "cascade-keys")
-        n = keys.where("on").count()
-        per_key = -math.log(rate) / math.log(2) ** 2
-        self.shards = max(1, math.ceil(4 * n * per_key / 8 / shard_bytes))
+        n, others = keys.agg(F.count_if("on"), F.count_if(~F.col("on"))).first()
+        rate = level_rate(n, others) if rate is None else rate
+        # level sizes vary by chance: room for twice the expectation
+        self.shards = max(1, math.ceil(2 * cascade_bits(n, others, rate) / 8 / shard_bytes))
         shard = F.pmod(F.col("h1"), F.lit(self.shards)).cast("int")
         self.filters = []
         for s in range(self.shards):
@@ -196,8 +211,10 @@ def url_filter(pages: DataFrame, rules: list[tuple[str, str, str]], listed: Data
     """Judge every url: id, host, path, rule, verdict and ``listed_key``.
 
     ``rules`` are (host, path prefix, "allow" or "block"); a rule fits its host
+    (A-Z lower-cased, as in the keys of ``listed``)
     and all subdomains when the url's path starts with the rule's path, and the
-    longest fitting rule (host and path together) decides. Without one, the
+    longest fitting rule (host and path together) decides; one that is listed
+    both ways blocks. Without one, the
     verdict is "block" when a host suffix of the url is among the keys of
     ``listed`` (``listed_key`` is the longest such), else "allow". Membership
     in the blocking rules, the allowing rules and the list comes from three
@@ -208,16 +225,19 @@ def url_filter(pages: DataFrame, rules: list[tuple[str, str, str]], listed: Data
     result; other columns of ``pages`` are ignored.
     """
     spark = pages.sparkSession
+    ascii_lower = str.maketrans(UPPER, LOWER)
+    rules = [(h.translate(ascii_lower), p, a) for h, p, a in rules]
     host, path = url_parts(F.col(url_col))
     parts = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
     rule_keys = url_keys(F.col("host"), F.col("path"), [len(p) for _, p, _ in rules]) if rules else F.array().cast("array<string>")
     keyed = parts.select("*", rule_keys.alias("rule_keys"), url_keys(F.col("host"), F.lit(""), [0]).alias("host_keys"))
     universe = {c: keyed.select(F.explode(c).alias("key")).distinct() for c in ("rule_keys", "host_keys")}
+    universe["rule_keys"] = materialize(universe["rule_keys"], "url-rule-keys")     # of two cascades
     out = keyed
     for action in ("block", "allow"):
         own = spark.createDataFrame([(h + p,) for h, p, a in rules if a == action], "key string")
         out = BloomCascade(own, universe["rule_keys"]).add(out, "rule_keys", action)
-    listed = spark.createDataFrame([], "key string") if listed is None else listed
+    listed = spark.createDataFrame([], "key string") if listed is None else listed.select(F.translate("key", UPPER, LOWER).alias("key"))
     out = BloomCascade(listed, universe["host_keys"]).add(out, "host_keys", "on_list")
     # keys are longest first, so the first listed one decides
     block, allow = F.get("block", F.lit(0)), F.get("allow", F.lit(0))
