@@ -16,15 +16,16 @@ from casaflow.llm.embed_dedup import embed_dedup
 from casaflow.llm.filter_audit import audit_filters
 from casaflow.llm.importance import importance_resample
 from casaflow.llm.line_dedup import line_dedup
-from casaflow.llm.mixing import mix_sources, word_count
+from casaflow.llm.mixing import mix_sources
 from casaflow.llm.ngram_join import ngram_join
 from casaflow.llm.packing import pack
 from casaflow.llm.suffix_dedup import dedup_strings
+from casaflow.llm.tokens import token_count
 from casaflow.llm.topk import sign_words, topk_codes
 from casaflow.llm.toxicity import fit_toxicity, score_toxicity
 from casaflow.llm.url_filter import url_filter
 from casaflow.llm.window_packing import pack_windows
-from casaflow.session import scratch_path
+from casaflow.session import materialize, scratch_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -199,9 +200,12 @@ def op4_toxicity(spark, sf_dir):
 
 @register
 def op5_packing(spark, sf_dir):
-    """Every document's pieces in bins of the permitted sequence lengths."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", word_count(F.col("text")).alias("n_tokens"))
-    return pack(docs)
+    """Every document's pieces in bins of the permitted sequence lengths. Lengths
+    are token ids, an end id after every document included."""
+    import public_tokenizers
+    ship_package(spark)
+    ids = token_count(F.col("text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(materialize(table(spark, sf_dir, "documents").select("doc_id", (ids + 1).alias("n_tokens")), "packing-lengths"))
 
 
 #: The mixture: weights by domain, language and source; share of the tokens.

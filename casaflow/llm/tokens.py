@@ -13,6 +13,9 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 from casaflow.llm.arrays import segment_hashes
 
@@ -157,3 +160,25 @@ def encoder(tokenizer_path: str) -> PieceEncoder:
     if tokenizer_path not in _ENCODERS:
         _ENCODERS[tokenizer_path] = PieceEncoder(tokenizer_path)
     return _ENCODERS[tokenizer_path]
+
+
+def count_ids(texts: list[str], enc: PieceEncoder) -> np.ndarray:
+    """The number of ids of each text, encoded in blocks of the encoder's size."""
+    sizes, lo = [np.empty(0, np.int64)], 0
+    while lo < len(texts):
+        hi, chars = lo, 0
+        while hi < len(texts) and (hi == lo or chars + len(texts[hi]) <= enc.block):
+            chars += len(texts[hi])
+            hi += 1
+        sizes.append(np.diff(enc.encode(texts[lo:hi])[1]))
+        lo = hi
+    return np.concatenate(sizes)
+
+
+def token_count(text: Column, tokenizer_path: str) -> Column:
+    """The number of ids of each whole text (null: none). The caller ships the
+    package and stores what it reads twice."""
+    def count(texts: pd.Series) -> pd.Series:
+        return pd.Series(count_ids(texts.fillna("").tolist(), encoder(tokenizer_path)))
+
+    return F.pandas_udf(count, "long")(text)
