@@ -24,25 +24,30 @@ from casaflow.session import ship_package
 RESULT = "query_id long, query_code array<long>, id long, distance int"
 
 
-def sign_code(vector: Column, bits: int = 64) -> Column:
-    """A long whose bit j says whether component j is above zero (missing, null
-    and NaN components are 0). A vector of more than ``bits`` components is an
-    error: ``sign_words`` holds longer ones whole."""
+def _signs(vector: Column, first: int, bits: int) -> Column:
+    """A long of the signs of ``bits`` components from ``first`` on."""
     def bit(j: int) -> Column:
-        x = F.get(vector, F.lit(j)).cast("double")
+        x = F.get(vector, F.lit(first + j)).cast("double")
         return F.when((x > 0) & ~F.isnan(x), F.lit(1 << j if j < 63 else -(1 << 63)).cast("long")).otherwise(F.lit(0).cast("long"))
     code = bit(0)
     for j in range(1, bits):
         code = code.bitwiseOR(bit(j))
+    return code
+
+
+def sign_code(vector: Column, bits: int = 64) -> Column:
+    """A long whose bit j says whether component j is above zero (missing, null
+    and NaN components are 0). A vector of more than ``bits`` components is an
+    error: ``sign_words`` holds longer ones whole."""
     too_long = F.raise_error(F.lit(f"a vector has more than {bits} components")).cast("long")
-    return F.when(F.size(vector) > bits, too_long).when(vector.isNotNull(), code)
+    return F.when(F.size(vector) > bits, too_long).when(vector.isNotNull(), _signs(vector, 0, bits))
 
 
 def sign_words(vector: Column, components: int) -> Column:
     """The signs of ``components`` components as an array of longs, 64 each; a
     longer vector is an error."""
     words = -(-max(components, 1) // 64)
-    cut = [sign_code(F.slice(vector, 64 * w + 1, 64)) for w in range(words)]
+    cut = [_signs(vector, 64 * w, 64) for w in range(words)]
     too_long = F.raise_error(F.lit(f"a vector has more than {64 * words} components")).cast("array<long>")
     return F.when(F.size(vector) > 64 * words, too_long).when(vector.isNotNull(), F.array(*cut))
 
