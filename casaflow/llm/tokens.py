@@ -10,6 +10,7 @@ contraction) go to the library whole.
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
@@ -24,6 +25,8 @@ from casaflow.llm.arrays import segment_hashes
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e¡-ɏ]*")
 CONTRACTION = re.compile(r"'(?:[stmd]|re|ve|ll)")
 SPACE, BREAK, LETTER, DIGIT, OTHER = range(5)
+#: New pieces that the library encodes in one call (it holds about a KB for each).
+PIECES_AT_ONCE = 1 << 12
 
 
 def _classes() -> np.ndarray:
@@ -140,10 +143,14 @@ class PieceEncoder:
         new = np.flatnonzero(~known)
         if len(new):
             ends = np.append(starts[1:], len(joined))
-            ids = self._library([joined[starts[i]:ends[i]] for i in first[new]])
-            size = np.array([len(x) for x in ids], dtype=np.int32)
+            sizes, flat = [], [self.flat]
+            for lo in range(0, len(new), PIECES_AT_ONCE):
+                ids = self._library([joined[starts[i]:ends[i]] for i in first[new[lo:lo + PIECES_AT_ONCE]]])
+                sizes.append(np.array([len(x) for x in ids], dtype=np.int32))
+                flat.append(np.fromiter((i for x in ids for i in x), np.uint32, int(sizes[-1].sum())))
+            size = np.concatenate(sizes)
             at = len(self.flat) + np.concatenate([[0], np.cumsum(size[:-1], dtype=np.int64)])
-            self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.uint32, int(size.sum()))])
+            self.flat = np.concatenate(flat)
             where = slot[new]
             self.keys = np.insert(self.keys, where, keys[new])
             self.at = np.insert(self.at, where, at)
@@ -156,7 +163,9 @@ _ENCODERS: dict[str, PieceEncoder] = {}
 
 
 def encoder(tokenizer_path: str) -> PieceEncoder:
-    """One encoder per worker process and vocabulary file."""
+    """One encoder per worker process and vocabulary file. Spark gives a worker
+    one core: the library's own threads would only hold memory each."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if tokenizer_path not in _ENCODERS:
         _ENCODERS[tokenizer_path] = PieceEncoder(tokenizer_path)
     return _ENCODERS[tokenizer_path]
