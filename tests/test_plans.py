@@ -3,6 +3,8 @@
 import os
 import re
 
+from pyspark.sql import functions as F
+
 from casaflow.session import materialize
 from casaflow.operators import panel as P
 from casaflow.operators.facts import fact_average
@@ -80,3 +82,38 @@ def test_merge_reads_each_side_once_and_roi_shuffles_once(spark, tmp_dir):
     monthly = materialize(spark.createDataFrame([("a", 1.0)], "metro string, avg_house_value double")
                           .selectExpr("*", "DATE'2020-01-01' AS metric_month"), "monthly")
     assert _shuffles(roi_5y(monthly)) == 1
+
+
+def test_pivot_compares_a_cell_with_few_columns(spark):
+    """Cells are dealt to blocks: no aggregate has a condition per column."""
+    from casaflow.operators.reshape import PIVOT_BLOCK, to_wide
+    names = [f"{m}/28/2001" for m in range(1, 31)]      # not in the order of text
+    rows = [("a", n, f"a{n}") for n in names] + [("b", names[9], "x"), ("c", "other", "y"), ("d", None, "z"), (None, names[29], "n")]
+    wide = to_wide(spark.createDataFrame(rows, "k string, h string, v string"), ["k"], "h", names, "v")
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert max(line.count("first(") for line in plan.splitlines()) <= PIVOT_BLOCK
+    got = {r["k"]: r for r in wide.collect()}
+    assert wide.columns == ["k", *names] and set(got) == {"a", "b", "c", "d", None}
+    assert all(got["a"][n] == f"a{n}" for n in names)
+    assert {n: v for n, v in got["b"].asDict().items() if v} == {"k": "b", names[9]: "x"}
+    assert not any(got[k][n] for k in ("c", "d") for n in names) and got[None][names[29]] == "n"
+
+
+def test_landing_log_deals_a_partition_value_in_shares(spark, tmp_dir):
+    """One state's rows go to several tasks, and kinds need no interpreted lambda."""
+    import dataclasses
+    from casaflow.plans.landing import landing_log
+    from casaflow.schemas import LANDING_SPECS
+    spec = dataclasses.replace(LANDING_SPECS["rental_income"], min_date=None)
+    ids = list(spec.id_cols)
+    with open(os.path.join(tmp_dir, "rent.csv"), "w") as f:
+        f.write(",".join([*ids, "2020-01-31", "no date"]) + "\n")
+        for i in range(50):
+            f.write(",".join([str(i) if c in ("RegionID", "SizeRank") else "WA" for c in ids] + ["oops" if i == 7 else "1.5", "2" if i < 3 else ""]) + "\n")
+    log = landing_log(spark, spec, os.path.join(tmp_dir, "rent.csv"))
+    plan = log._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and re.search(r"RebalancePartitions \[\w+#\d+, __cf_share#", plan)
+    kinds = sorted((r["kind"], r["reason"], r["date_str"]) for r in log.where("kind <> 'landed'").select("kind", F.coalesce("reason", F.lit("")).alias("reason"),
+                   F.coalesce("date_str", F.lit("")).alias("date_str")).collect())
+    assert kinds == [("file", "", "")] * 50 + [("reject", "bad_date", "no date")] * 3 + [("reject", "bad_value", "2020-01-31")]
+    assert log.where("kind = 'landed'").count() == 52
