@@ -94,13 +94,42 @@ def group_counts(own: np.ndarray) -> np.ndarray:
     return np.bincount((own & U64(groups - 1)).astype(np.int64), minlength=groups).astype(np.uint16)
 
 
-def _points(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """The points of some rows as a matrix, with the groups of larger ones added
-    up to those of the smallest."""
-    groups = int(np.diff(offsets).min()) // 2
-    if len(flat) == groups * 2 * (len(offsets) - 1):
-        return flat.view(np.uint16).reshape(-1, groups)
-    return np.stack([flat[a:b].view(np.uint16).reshape(-1, groups).sum(axis=0, dtype=np.uint32) for a, b in zip(offsets[:-1], offsets[1:])])
+class Folded:
+    """The points of some rows at every width that two of them share: wider
+    points are added up to the narrower one of a pair, never to that of a third
+    row, under which large sets would look alike."""
+
+    def __init__(self, flat: np.ndarray, offsets: np.ndarray, sizes: np.ndarray):
+        self.flat, self.offsets, self.sizes = flat, offsets, sizes
+        self.widths = np.diff(offsets) // 2
+        self.levels: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def level(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row of the matrix by point, matrix) of the points at least so wide."""
+        if width not in self.levels:
+            rows = np.flatnonzero(self.widths >= width)
+            place = np.full(len(self.widths), -1)
+            place[rows] = np.arange(len(rows))
+            matrix = np.empty((len(rows), width), np.uint16 if self.sizes[rows].max() < 1 << 16 else np.uint32)
+            counts, begin = self.flat.view(np.uint16), self.offsets // 2
+            for wide in np.unique(self.widths[rows]).tolist():
+                own = np.flatnonzero(self.widths == wide)
+                step = max(1, (1 << 20) // wide)
+                for part in (own[lo:lo + step] for lo in range(0, len(own), step)):
+                    points = counts[begin[part][:, None] + np.arange(wide)]
+                    matrix[place[part]] = points.reshape(len(part), wide // width, width).sum(axis=1, dtype=np.uint32)
+            self.levels[width] = place, matrix
+        return self.levels[width]
+
+    def allow(self, i: int, others: np.ndarray, num: int, den: int) -> np.ndarray:
+        """Those of ``others`` whose bound with the row ``i`` allows a link."""
+        shared, fits = np.minimum(self.widths[others], self.widths[i]), np.zeros(len(others), dtype=bool)
+        for width in np.unique(shared).tolist():
+            at = np.flatnonzero(shared == width)
+            place, matrix = self.level(width)
+            bound = np.minimum(matrix[place[others[at]]], matrix[place[i]]).sum(axis=1, dtype=np.int64)
+            fits[at] = bound >= _need(self.sizes[i], self.sizes[others[at]], num, den)
+        return others[fits]
 
 
 def _pair_bounds(flat: np.ndarray, offsets: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -117,9 +146,9 @@ def _pair_bounds(flat: np.ndarray, offsets: np.ndarray, first: np.ndarray) -> np
             bound[part] = np.minimum(counts[(offsets[first[part]] // 2)[:, None] + column],
                                      counts[(offsets[first[part] + 1] // 2)[:, None] + column]).sum(axis=1, dtype=np.int64)
     for k in np.flatnonzero(~same).tolist():
-        i = int(first[k])
-        a, b = _points(flat[offsets[i]:offsets[i + 2]], offsets[i:i + 3] - offsets[i])
-        bound[k] = np.minimum(a, b).sum(dtype=np.int64)
+        a, b = (counts[offsets[i] // 2:offsets[i + 1] // 2] for i in (first[k], first[k] + 1))
+        groups = min(len(a), len(b))
+        bound[k] = np.minimum(*(x.reshape(-1, groups).sum(axis=0, dtype=np.int64) for x in (a, b))).sum()
     return bound
 
 
@@ -227,26 +256,32 @@ def _candidates(num: int, den: int):
             labels[good + 1] = good
             for lo, hi in zip(cuts[:-1], cuts[1:]):
                 if hi - lo > 2:
-                    points = _points(flat[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
-                    labels[lo:hi] = lo + _candidate_groups(n[lo:hi], points, side[lo:hi], num, den)
+                    points = Folded(flat[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], n[lo:hi])
+                    labels[lo:hi] = lo + _candidate_groups(points, side[lo:hi], num, den)
             tied = np.flatnonzero(labels != np.arange(len(cell)))
             yield pa.RecordBatch.from_pydict({"a": rep[tied], "b": rep[labels[tied]]})
 
     return run
 
 
-def _candidate_groups(sizes: np.ndarray, counts: np.ndarray, side: np.ndarray, num: int, den: int) -> np.ndarray:
-    """The smallest index of each point's connected set of candidate pairs."""
-    tree = CountTree(sizes, counts)
-    forest = Forest(len(sizes))
-    two = bool(side.any())
-    for pos in range(len(sizes)):
+def _candidate_groups(points: Folded, side: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The smallest index of each point's connected set of candidate pairs. The
+    tree knows all points at the narrowest width only; what it finds is held
+    against the pair's own width."""
+    n = len(points.sizes)
+    tree = CountTree(points.sizes, points.level(int(points.widths.min()))[1])
+    label, two = np.arange(n), bool(side.any())
+    for pos in range(n):
         i = int(tree.order[pos])
-        for hit in tree.search(int(tree.sizes[pos]), tree.counts[pos], num, den).tolist():
-            j = int(tree.order[hit])
-            if j != i and not (two and side[i] == side[j]):
-                forest.join(i, j)
-    return np.array([forest.root(i) for i in range(len(sizes))])
+        hits = tree.order[tree.search(int(tree.sizes[pos]), tree.counts[pos], num, den)]
+        hits = hits[label[hits] != label[i]]
+        if two:
+            hits = hits[side[hits] != side[i]]
+        if len(hits):
+            tied = np.unique(np.append(label[points.allow(i, hits, num, den)], label[i]))
+            if len(tied) > 1:
+                label[np.isin(label, tied)] = tied[0]
+    return label
 
 
 def _verify(num: int, den: int):
@@ -266,15 +301,13 @@ def _verify(num: int, den: int):
                 sizes = np.array([len(x) for x in own])
                 label, sides = np.arange(hi - lo), side[lo:hi]
                 two = bool(sides.any())
-                points = _points(packed[ends[lo]:ends[hi]], ends[lo:hi + 1] - ends[lo])
+                points = Folded(packed[ends[lo]:ends[hi]], ends[lo:hi + 1] - ends[lo], sizes)
                 for i in range(hi - lo - 1):
                     j = i + 1 + np.flatnonzero((label[i + 1:] != label[i])
                                                & (sizes[i + 1:] * den >= sizes[i] * num) & (sizes[i] * den >= sizes[i + 1:] * num))
                     if two:
                         j = j[sides[j] != sides[i]]
-                    bound = np.minimum(points[j], points[i]).sum(axis=1, dtype=np.int64)
-                    j = j[bound >= _need(sizes[i], sizes[j], num, den)]
-                    for other in j.tolist():
+                    for other in points.allow(i, j, num, den).tolist():
                         if label[other] != label[i]:
                             both = len(np.intersect1d(own[i], own[other], assume_unique=True))
                             if den * both >= num * (sizes[i] + sizes[other] - both):
